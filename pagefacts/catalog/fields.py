@@ -99,7 +99,7 @@ def first_text(spark, sf_dir):
 # Running text with a posting date, a reference and labels without any markup.
 TEXT_PAGES = """SELECT o_orderkey AS page_id, concat('<html><head><title>x</title></head><body>', CASE WHEN o_orderkey % 4 = 3 THEN '' ELSE '<main>' END, '<p>Some words about order ', o_orderkey,
   CASE WHEN o_orderkey % 2 = 0 THEN concat(', POSTED: ', lpad(concat('', 1 + o_orderkey % 28), 2, '0'), '-Feb-1998 by us') ELSE ' and nothing more' END, '</p>', chr(10), 'Location: City ', o_custkey, chr(10),
-  'Business Area', chr(10), '  Area ', o_orderpriority, chr(10), CASE o_orderkey % 3 WHEN 0 THEN concat('Reference: AB', o_custkey, chr(10)) WHEN 1 THEN concat('Job # ', o_orderkey) ELSE '' END,
+  'Business Area', chr(10), '  Area ', o_orderpriority, chr(10), CASE o_orderkey % 3 WHEN 0 THEN concat('Reference: AB', o_custkey, chr(10)) WHEN 1 THEN concat('Job # ', o_orderkey, chr(10)) ELSE '' END, 'Salary: open', chr(10),
   CASE WHEN o_orderkey % 4 = 3 THEN '' ELSE '</main>' END, '<footer>end of page</footer></body></html>') AS html FROM {orders}"""
 
 
@@ -122,7 +122,7 @@ def posted_date_raw(spark, sf_dir):
     return pages.select("page_id", "raw", parse.parse_date(F.col("raw")).alias("posted"))
 
 
-@add("field_from_text", """SELECT o_orderkey AS page_id, 'City ' || o_custkey AS location, 'Area ' || o_orderpriority AS department FROM orders""")
+@add("field_from_text", """SELECT o_orderkey AS page_id, 'City ' || o_custkey AS location, CASE WHEN o_orderkey % 3 <> 1 THEN 'Area ' || o_orderpriority END AS department FROM orders""")
 def field_from_text(spark, sf_dir):
     body = F.col("body")
     return text_docs(spark, sf_dir).select(

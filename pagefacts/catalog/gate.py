@@ -73,8 +73,7 @@ def body_text_5000(spark, sf_dir):
 
 @add("content_error_type", twin(f"SELECT page_id, {MARK_TYPES} AS error_type FROM {{marked}}", marked=MARKED_PAGES))
 def content_error_type(spark, sf_dir):
-    pages = marked(spark, sf_dir).select("page_id", G.gate_text(F.col("html")).alias("_text"))
-    return pages.select("page_id", G.error_type_of_text(F.col("_text")).alias("error_type"))
+    return marked(spark, sf_dir).select("page_id", G.content_error_type(F.col("html")).alias("error_type"))
 
 
 FAILURES = """SELECT event_id, user_id, concat('https://h', user_id, '.example.net/') AS url, CASE event_type WHEN 'view' THEN concat('net::timeout after ', event_id)

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import WS, decode_entities, trim
+from .text import WS, decode_entities, let, trim
 
 TITLE = "(?i)<title[^>]*>([^<]*)</title>"
 BODY = "(?is)<body[^>]*>(.*?)</body>"
+OPEN_BODY = r"(?is)<body[^>]*>(.*?)(?:</body\s*>|\z)"
 TAG = "<[^>]+>"
 COMMENT = "(?s)<!--.*?-->"
 
@@ -42,13 +43,14 @@ def body_text(html: Column, mode: str = "tags", limit: int | None = None) -> Col
     """Text of the body element.
 
     ``tags`` puts a blank in place of every tag and keeps character references;
-    ``content`` joins the text as a browser's ``textContent`` does and decodes them.
+    ``content`` joins the text as a browser's ``textContent`` does, decodes them and does not
+    need an end tag.
     Script text counts in both.
     """
-    inner = F.regexp_extract(html, BODY, 1)
     if mode == "tags":
-        text = F.regexp_replace(inner, TAG, " ")
+        text = F.regexp_replace(F.regexp_extract(html, BODY, 1), TAG, " ")
     elif mode == "content":
+        inner = F.regexp_extract(html, OPEN_BODY, 1)
         text = decode_entities(F.regexp_replace(strip_comments(inner), TAG, ""))
     else:
         raise ValueError(f"unknown mode: {mode}")
@@ -58,16 +60,19 @@ def body_text(html: Column, mode: str = "tags", limit: int | None = None) -> Col
 def attribute(tag_attrs: Column, name: str) -> Column:
     """Value of one attribute out of the text between tag name and '>'; null if absent."""
     pattern = rf"""(?i)(?:^|[\s"'/]){name}{WS}*={WS}*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-    raw = F.regexp_extract(tag_attrs, pattern, 1)
-    quoted = F.startswith(raw, F.lit('"')) | F.startswith(raw, F.lit("'"))
-    value = F.when(quoted, F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
-    return F.when(raw != "", decode_entities(value))
+
+    def unquoted(raw: Column) -> Column:
+        quoted = raw.startswith('"') | raw.startswith("'")
+        value = F.when(quoted, F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
+        return F.when(raw != "", decode_entities(value))
+
+    return let(F.regexp_extract(tag_attrs, pattern, 1), unquoted)
 
 
 def anchor_pieces(html: Column) -> Column:
     """One array entry per ``<a ...>``, holding everything up to the next one."""
     return F.slice(
-        F.split(visible_markup(html), r"(?i)<a(?=[\s>])"), F.lit(2), F.lit(2**31 - 1)
+        F.split(visible_markup(html), r"(?i)<a(?=[\s>])"), F.lit(2), F.lit(1 << 30)
     )
 
 

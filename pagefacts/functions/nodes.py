@@ -111,18 +111,18 @@ DOC_TYPE = T.StructType(
 )
 _ARROW = {"int": pa.int32(), "string": pa.string()}
 
+# A comment or declaration, an element whose content is plain text, or any other tag.
+_ATTRS = r"((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|))*+)"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|))*+)>",
-    re.S,
+    rf"|<(script|style|title|textarea)(?=[\s/>]){_ATTRS}>(.*?)(?:</\1\s*>|\Z)"
+    rf"|<(/?)([a-z][^\s/>]*){_ATTRS}>",
+    re.S | re.I,
 )
-_ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
-_RAW_END = {
-    tag: re.compile(rf"</{tag}[\s/>]", re.I)
-    for tag in ("script", "style", "title", "textarea")
-}
+_ATTR = re.compile(r"""([^\s=/>"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*))""")
 _DROPPED = frozenset(["script", "style", "noscript"])
+_MAX_LOOKS = 50_000
 
 
 def _marks(tag, ident, cls, role):
@@ -142,153 +142,144 @@ def _marks(tag, ident, cls, role):
     return bits
 
 
-class _Page:
-    """Elements and text of one page, filled tag by tag."""
-
-    def __init__(self, rows, seen_marks, drop_hidden):
-        self.rows = rows                  # node rows of this page
-        self.seen_marks = seen_marks      # cache: look of an element -> marks
-        self.drop_hidden = drop_hidden
-        self.chunks = []                  # text pieces in order
-        self.starts = []                  # where each piece starts
-        self.length = 0
-        # open elements: tag, row or None when dropped, inherited marks, last child, open heading
-        self.stack = [["", None, 0, None, None]]
-        self.open_tags = {}
-
-    def text(self, data):
-        top = self.stack[-1]
-        if data and (top[1] is not None or len(self.stack) == 1):
-            if "&" in data:
-                data = _html.unescape(data)
-            self.chunks.append(data)
-            self.starts.append(self.length)
-            self.length += len(data)
-
-    def start(self, tag, attr_text):
-        stack = self.stack
+def _look(tag, attr_text, drop_hidden):
+    """What a start tag says: dropped or not, its marks, and the attributes that are kept."""
+    attrs = {}
+    if "=" in attr_text:
+        for name, a, b, c in _ATTR.findall(attr_text):
+            attrs.setdefault(name.lower(), _html.unescape(a or b or c))
+    cls, ident, role = attrs.get("class"), attrs.get("id"), attrs.get("role")
+    dropped = tag in _DROPPED or (drop_hidden and cls is not None and HIDDEN_CLASS in cls.split())
+    content = attrs.get("content") if tag == "meta" else None
+    kept = (tag, ident, cls, role, attrs.get("href"), attrs.get("property"), content)
+    return dropped, _marks(tag, ident, cls, role), kept
+
+
+def read_page(source, looks=None, drop_hidden=True):
+    """Text and node rows of one page. ``looks`` remembers start tags from page to page."""
+    looks = {} if looks is None else looks
+    rows, chunks, starts = [], [], []
+    length = at = 0
+    # Open elements: [tag, row or None when dropped, marks for children, last child, open heading]
+    top = ["", [0] * 12, 0, None, None]
+    stack = [top]
+    open_tags = {}
+
+    def close():
+        """End the innermost open element."""
+        tag, row, _, _, heading = stack.pop()
+        open_tags[tag] -= 1
+        if row is not None:
+            row[2] = len(rows)
+            row[9] = length
+            row[11] = len(chunks)
+            if heading is not None:
+                heading[4] = len(rows) + 1
+        return stack[-1]
+
+    # A tag cannot begin behind the last '>'.
+    tags_end = source.rfind(">") + 1
+    for m in _TOKEN.finditer(source, 0, tags_end):
+        begin = m.start()
+        if begin > at and top[1] is not None:
+            data = source[at:begin]
+            data = _html.unescape(data) if "&" in data else data
+            chunks.append(data)
+            starts.append(length)
+            length += len(data)
+        at = m.end()
+        raw_tag, raw_attrs, raw_text, slash, tag, attr_text = m.groups()
+        if raw_tag is not None:
+            tag, attr_text = raw_tag, raw_attrs
+        elif tag is None:
+            continue
+        tag = tag.lower()
+
+        if slash:
+            if open_tags.get(tag):
+                while top[0] != tag:
+                    top = close()
+                top = close()
+            continue
+
         ends = ENDS.get(tag)
-        if ends:
-            while stack[-1][0] in ends:
-                self.pop()
-        attrs = {}
-        if attr_text and "=" in attr_text:
-            for m in _ATTR.finditer(attr_text):
-                name, a, b, c = m.groups()
-                value = a if a is not None else b if b is not None else c
-                if value is not None:
-                    if "&" in value:
-                        value = _html.unescape(value)
-                    attrs.setdefault(name.lower(), value)
-        cls = attrs.get("class")
-        above = stack[-1]
-        dropped = (
-            (above[1] is None and len(stack) > 1)
-            or tag in _DROPPED
-            or (self.drop_hidden and cls is not None and HIDDEN_CLASS in cls.split())
-        )
-        row = None
-        inherited = above[2]
-        if not dropped:
-            ident, role = attrs.get("id"), attrs.get("role")
-            look = (tag, ident, cls, role)
-            own = self.seen_marks.get(look)
-            if own is None:
-                own = self.seen_marks[look] = _marks(*look)
-            seq = len(self.rows) + 1
-            parent = above[1][0] if above[1] is not None else 0
-            at = len(self.chunks)
-            row = [
-                seq, parent, seq, 0, 0, 0, own, inherited, self.length, self.length, at, at,
-                tag, ident, cls, role, attrs.get("href"), attrs.get("property"),
-                attrs.get("content") if tag == "meta" else None,
-            ]
-            self.rows.append(row)
+        if ends is not None:
+            while top[0] in ends:
+                top = close()
+        look = looks.get((tag, attr_text))
+        if look is None:
+            if len(looks) > _MAX_LOOKS:
+                looks.clear()
+            look = looks[tag, attr_text] = _look(tag, attr_text, drop_hidden)
+        dropped, own, kept = look
+
+        row, parent, inherited = None, top[1], top[2]
+        if parent is not None and not dropped:
+            seq, at_chunk = len(rows) + 1, len(chunks)
+            row = [seq, parent[0], seq, 0, 0, 0, own, inherited, length, length, at_chunk, at_chunk, *kept]
+            rows.append(row)
             inherited |= own
-            if above[3] is not None:
-                above[3][3] = seq
-            above[3] = row
+            if top[3] is not None:
+                top[3][3] = seq
+            top[3] = row
             if tag in ("h1", "h2", "h3"):
-                if above[4] is not None:
-                    above[4][4] = seq
-                above[4] = row
+                if top[4] is not None:
+                    top[4][4] = seq
+                top[4] = row
             elif tag in ("strong", "b"):
+                # Tell the elements around it, up to one that knows of an earlier bold.
                 for entry in reversed(stack):
-                    if entry[1] is None or entry[1][5]:
+                    if entry[1][5]:
                         break
                     entry[1][5] = seq
-        if tag not in VOID:
-            stack.append([tag, row, inherited, None, None])
-            self.open_tags[tag] = self.open_tags.get(tag, 0) + 1
-
-    def pop(self):
-        tag, row, _, _, heading = self.stack.pop()
-        self.open_tags[tag] -= 1
-        if row is not None:
-            row[2] = len(self.rows)
-            row[9] = self.length
-            row[11] = len(self.chunks)
-            if heading is not None:
-                heading[4] = row[2] + 1
-
-    def end(self, tag):
-        if self.open_tags.get(tag):
-            while self.stack[-1][0] != tag:
-                self.pop()
-            self.pop()
-
-    def finish(self):
-        while len(self.stack) > 1:
-            self.pop()
-        if self.stack[0][4] is not None:
-            self.stack[0][4][4] = len(self.rows) + 1
-        # Where the next text that is not blank starts, and where the last one ended.
-        n = len(self.chunks)
-        ahead, behind = [self.length] * (n + 1), [0] * (n + 1)
-        for i in range(n - 1, -1, -1):
-            kept = self.chunks[i].lstrip(BLANKS)
-            ahead[i] = self.starts[i] + len(self.chunks[i]) - len(kept) if kept else ahead[i + 1]
-        for i in range(n):
-            kept = self.chunks[i].rstrip(BLANKS)
-            behind[i + 1] = self.starts[i] + len(kept) if kept else behind[i]
-        for row in self.rows:
-            first, last = ahead[row[10]], behind[row[11]]
-            row[10], row[11] = (first, last) if first < last else (row[8], row[8])
-        return "".join(self.chunks)
-
-
-def read_page(source, seen_marks=None, drop_hidden=True):
-    """Text and node rows of one page."""
-    page = _Page([], {} if seen_marks is None else seen_marks, drop_hidden)
-    at, size = 0, len(source)
-    tags_end = source.rfind(">") + 1
-    while at < tags_end:
-        m = _TOKEN.search(source, at, tags_end)
-        if m is None:
-            break
-        page.text(source[at : m.start()])
-        at = m.end()
-        if m.group(2) is None:
-            continue
-        tag = m.group(2).lower()
-        if m.group(1):
-            page.end(tag)
-            continue
-        page.start(tag, m.group(3))
-        if tag in _RAW_END:
-            close = _RAW_END[tag].search(source, at)
-            stop = close.start() if close else size
-            page.text(source[at:stop])
-            at = stop
-    page.text(source[at:])
-    return page.finish(), page.rows
+        if raw_tag is not None:
+            if row is not None and raw_text:
+                data = _html.unescape(raw_text) if "&" in raw_text else raw_text
+                chunks.append(data)
+                starts.append(length)
+                length += len(data)
+                row[9], row[11] = length, len(chunks)
+        elif tag not in VOID:
+            top = [tag, row, inherited, None, None]
+            stack.append(top)
+            open_tags[tag] = open_tags.get(tag, 0) + 1
+
+    if at < len(source) and top[1] is not None:
+        data = _html.unescape(source[at:])
+        chunks.append(data)
+        starts.append(length)
+        length += len(data)
+    while len(stack) > 1:
+        top = close()
+    if top[4] is not None:
+        top[4][4] = len(rows) + 1
+    _trim_ranges(rows, chunks, starts, length)
+    return "".join(chunks), rows
+
+
+def _trim_ranges(rows, chunks, starts, length):
+    """Turn the chunk numbers of each row into its text range without outer blanks."""
+    n = len(chunks)
+    # Where the next text that is not blank starts, and where the last one ended.
+    ahead, behind = [length] * (n + 1), [0] * (n + 1)
+    for i in range(n - 1, -1, -1):
+        kept = len(chunks[i].lstrip(BLANKS))
+        ahead[i] = starts[i] + len(chunks[i]) - kept if kept else ahead[i + 1]
+    for i in range(n):
+        kept = len(chunks[i].rstrip(BLANKS))
+        behind[i + 1] = starts[i] + kept if kept else behind[i]
+    for row in rows:
+        first, last = ahead[row[10]], behind[row[11]]
+        if first >= last:
+            first = last = row[8]
+        row[10], row[11] = first, last
 
 
 def _parse_batch(pages, drop_hidden):
     columns = [[] for _ in NODE_FIELDS]
-    texts, offsets, seen_marks = [], [0], {}
+    texts, offsets, looks = [], [0], {}
     for source in pages.to_pylist():
-        text, rows = read_page(source or "", seen_marks, drop_hidden)
+        text, rows = read_page(source or "", looks, drop_hidden)
         texts.append(text)
         for column, values in zip(columns, zip(*rows)):
             column.extend(values)

@@ -6,6 +6,8 @@ do, so the class is spelled out once here and used everywhere.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,6 +40,11 @@ NAMED_REFERENCES = (
 )
 
 
+def let(col: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` with ``col`` computed once, where a projection of its own is not possible."""
+    return F.get(F.transform(F.array(col), body), F.lit(0))
+
+
 def trim(col: Column) -> Column:
     """Strip browser white space from both ends."""
     return F.btrim(col, F.lit(BLANKS))
@@ -61,7 +68,7 @@ def contains_any(col: Column, words) -> Column:
     """True when any of the literal words occurs in the text."""
     hit = F.lit(False)
     for word in words:
-        hit = hit | F.contains(col, F.lit(word))
+        hit = hit | col.contains(word)
     return hit
 
 
@@ -72,31 +79,28 @@ def rlike_any(col: Column, patterns) -> Column:
 
 def _numeric_references(col: Column) -> Column:
     # Split at '&#', turn the leading code of each later piece into its character.
-    pieces = F.split(col, "&#")
-
-    def one(piece: Column, i: Column) -> Column:
-        dec = F.regexp_extract(piece, "^([0-9]{1,7});", 1)
-        hexa = F.regexp_extract(piece, "^[xX]([0-9a-fA-F]{1,6});", 1)
-        code = F.coalesce(
-            dec.try_cast("bigint"),
-            F.conv(F.nullif(hexa, F.lit("")), 16, 10).try_cast("bigint"),
-        )
+    def decoded(piece: Column, code: Column) -> Column:
         known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
         char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
         rest = F.regexp_replace(piece, "^[xX]?[0-9a-fA-F]+;", "")
-        return (
-            F.when(i == 0, piece)
-            .when(known, F.concat(char, rest))
-            .otherwise(F.concat(F.lit("&#"), piece))
-        )
+        return F.when(known, F.concat(char, rest)).otherwise(F.concat(F.lit("&#"), piece))
 
-    return F.array_join(F.transform(pieces, one), "")
+    def one(piece: Column, i: Column) -> Column:
+        decimal = F.regexp_extract(piece, "^([0-9]{1,7});", 1).try_cast("bigint")
+        hexadecimal = extract(piece, "^[xX]([0-9a-fA-F]{1,6});")
+        code = F.coalesce(decimal, F.conv(hexadecimal, 16, 10).try_cast("bigint"))
+        return F.when(i == 0, piece).otherwise(let(code, lambda c: decoded(piece, c)))
+
+    return F.array_join(F.transform(F.split(col, "&#"), one), "")
 
 
 def decode_entities(col: Column) -> Column:
     """Decode common named and all numeric character references, in the JVM."""
-    out = F.when(F.contains(col, F.lit("&#")), _numeric_references(col)).otherwise(col)
-    for name, char in NAMED_REFERENCES:
-        out = F.replace(out, F.lit(name), F.lit(char))
-    out = F.replace(out, F.lit("&amp;"), F.lit("&"))
-    return F.when(F.contains(col, F.lit("&")), out).otherwise(col)
+
+    def decoded(text: Column) -> Column:
+        out = F.when(text.contains("&#"), _numeric_references(text)).otherwise(text)
+        for name, char in NAMED_REFERENCES:
+            out = F.replace(out, F.lit(name), F.lit(char))
+        return F.replace(out, F.lit("&amp;"), F.lit("&"))
+
+    return let(col, lambda text: F.when(text.contains("&"), decoded(text)).otherwise(text))

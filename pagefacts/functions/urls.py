@@ -107,12 +107,12 @@ def slug_title(url: Column) -> Column:
 def resolve_url(base: Column, href: Column, mode: str = "join") -> Column:
     """Make a link absolute. ``join`` repairs a missing slash, ``concat`` does not."""
     if mode == "join":
-        glue = F.when(F.startswith(href, F.lit("/")), "").otherwise("/")
+        glue = F.when(href.startswith("/"), "").otherwise("/")
     elif mode == "concat":
         glue = F.lit("")
     else:
         raise ValueError(f"unknown mode: {mode}")
-    return F.when(F.startswith(href, F.lit("http")), href).otherwise(F.concat(base, glue, href))
+    return F.when(href.startswith("http"), href).otherwise(F.concat(base, glue, href))
 
 
 def is_page_link(href: Column) -> Column:
@@ -143,7 +143,7 @@ def url_unique_key(url: Column) -> Column:
         ),
     )
     kept = F.filter(
-        params, lambda p: (p["param"] != "") & ~F.startswith(p["name"], F.lit("utm_"))
+        params, lambda p: (p["param"] != "") & ~p["name"].startswith("utm_")
     )
     joined = F.array_join(F.transform(F.array_sort(kept), lambda p: p["param"]), "&")
     tail = F.when(query == "", "").when(joined == "", "").otherwise(F.concat(F.lit("?"), joined))

@@ -7,13 +7,14 @@ All of that happens on the page's own row: nothing is joined or shuffled.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import nodes as N
-from ..functions.text import BLANK_CLASS, BLANKS, WS, blank_to_null, contains_any, trim
+from ..functions.text import BLANK_CLASS, BLANKS, WS, blank_to_null, contains_any, let, trim
 
 # What each target is called on pages, best label first.
 LABELS: dict[str, tuple[str, ...]] = {
@@ -108,7 +109,7 @@ def _method_1(doc: Column) -> Column:
         found,
         lambda c: (c["value"] != "")
         & (F.length(c["value"]) < MAX_VALUE)
-        & ~F.contains(c["value"], F.lit(SCRIPT_TRACE)),
+        & ~c["value"].contains(SCRIPT_TRACE),
     )
 
 
@@ -136,7 +137,7 @@ def _method_3(doc: Column) -> Column:
         return _candidate(3, node, F.lower(label), value)
 
     found = F.transform(F.filter(nodes, lambda n: n["tag"] == "tr"), of_row)
-    return F.filter(found, lambda c: (c["value"] != "") & (F.length(c["value"]) < MAX_VALUE))
+    return F.filter(found, lambda c: (c["label"] != "") & (c["value"] != "") & (F.length(c["value"]) < MAX_VALUE))
 
 
 def _method_4(doc: Column, longest: int) -> Column:
@@ -179,32 +180,32 @@ def candidates(
 
 
 def dictionary(labels: Mapping[str, Sequence[str]] = LABELS) -> Column:
-    """The dictionary as a literal array: it is folded into the plan, not shipped as a table."""
-    return F.array(
-        *[
-            F.struct(
-                F.lit(target).alias("target"), F.lit(prio).alias("prio"), F.lit(label.lower()).alias("label")
-            )
-            for target, names in labels.items()
-            for prio, label in enumerate(names, 1)
-        ]
+    """The dictionary as one constant array: folded into the plan, not shipped as a table."""
+    entries = [
+        {"target": target, "prio": prio, "label": label.lower()}
+        for target, names in labels.items()
+        for prio, label in enumerate(names, 1)
+    ]
+    return F.from_json(
+        F.lit(json.dumps(entries)), "array<struct<target:string,prio:int,label:string>>"
     )
 
 
-def label_matches(candidate: Column, entry: Column, strict: bool = False) -> Column:
-    """Does the label found on the page stand for the dictionary's label?
+def bare_label(label: Column) -> Column:
+    return blank_to_null(trim(F.translate(label, ":#", "")))
+
+
+def label_matches(label: Column, bare: Column, method: Column, wanted: Column, strict: bool = False) -> Column:
+    """Does the label found on the page stand for the dictionary's ``wanted`` label?
 
-    Field blocks also match when the dictionary's label contains the page's
+    Field blocks also match when the dictionary's label contains the page's bare label
     (``strict`` turns that off); stand-alone labels must be equal.
     """
-    found, wanted, method = candidate["label"], entry["label"], candidate["method"]
-    part_of = F.contains(found, wanted)
-    bare = trim(F.regexp_replace(found, "[:#]", ""))
-    reverse = (bare != "") & F.contains(wanted, bare)
-    in_block = part_of if strict else part_of | reverse
+    part_of = F.contains(label, wanted)
+    in_block = part_of if strict else part_of | F.coalesce(F.contains(wanted, bare), F.lit(False))
     return (
         F.when(method == 0, in_block)
-        .when(method == 4, (found == wanted) | (found == F.concat(wanted, F.lit(":"))))
+        .when(method == 4, (label == wanted) | (label == F.concat(wanted, F.lit(":"))))
         .otherwise(part_of)
     )
 
@@ -216,8 +217,18 @@ def matches(
     entries = dictionary(labels)
 
     def of_candidate(c: Column) -> Column:
+        def hits(bare: Column) -> Column:
+            # Few labels pass the two plain tests; only those get the method's own rule.
+            near = F.filter(
+                entries,
+                lambda e: F.contains(c["label"], e["label"]) | F.contains(e["label"], bare),
+            )
+            return F.filter(
+                near, lambda e: label_matches(c["label"], bare, c["method"], e["label"], strict)
+            )
+
         return F.transform(
-            F.filter(entries, lambda e: label_matches(c, e, strict)),
+            let(bare_label(c["label"]), hits),
             lambda e: F.struct(
                 e["target"].alias("target"),
                 e["prio"].alias("prio"),
@@ -293,7 +304,7 @@ def field_from_text(text: Column, labels: Sequence[str]) -> Column:
     found = []
     for label in labels:
         value = trim(F.regexp_extract(text, text_field_pattern(label), 1))
-        kept = (value != "") & (F.length(value) < 200) & ~F.contains(value, F.lit(SCRIPT_TRACE))
+        kept = (value != "") & (F.length(value) < 200) & ~value.contains(SCRIPT_TRACE)
         # The regex only runs on texts that hold the label at all.
         found.append(F.when(F.contains(F.lower(text), F.lit(label.lower())), F.when(kept, value)))
     return F.coalesce(*found)

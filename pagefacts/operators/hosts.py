@@ -94,12 +94,12 @@ def judge_attempts(
     )
     title, text, lower, markup = (F.col(c) for c in ("_title", "_text", "_lower", "_markup"))
 
-    timeout = F.contains(F.lower(message), F.lit("timeout")) | F.contains(message, F.lit("AbortError"))
+    timeout = F.contains(F.lower(message), F.lit("timeout")) | message.contains("AbortError")
     limited = code.isin(429, 499)
-    proxy_limited = F.contains(page, F.lit(PROXY_LIMIT_TEXT))
+    proxy_limited = page.contains(PROXY_LIMIT_TEXT)
     login_form = markup.rlike("|".join(H.attribute_pattern("form", "action", p) for p in LOGIN_ACTIONS))
     login_text = contains_any(lower, LOGIN_PHRASES) | (
-        F.contains(lower, F.lit("username")) & F.contains(lower, F.lit("password"))
+        lower.contains("username") & lower.contains("password")
     )
     needs_login = (
         login_form
@@ -108,7 +108,7 @@ def judge_attempts(
         | login_text
     )
     missing = contains_any(lower, MISSING_PHRASES) | (
-        F.contains(lower, F.lit("sorry")) & F.contains(lower, F.lit("not exist"))
+        lower.contains("sorry") & lower.contains("not exist")
     )
     has_jobs = (
         markup.rlike(_DETAIL_HREF)

@@ -25,25 +25,24 @@ LINK_TYPE = "array<struct<url:string,label:string>>"
 
 def anchors(pages: DataFrame, keys=("page_id", "url"), html: str = "html") -> DataFrame:
     """All ``<a href>`` of a page in order, with their text."""
-    pieces = pages.select(
-        *keys, F.posexplode(H.anchor_pieces(F.col(html))).alias("pos", "_piece")
+    found = F.filter(_hrefs(F.col(html)), lambda a: a["href"].isNotNull())
+    return pages.select(*keys, F.explode(found).alias("_a")).select(
+        *keys, "_a.pos", "_a.href", H.piece_text(F.col("_a.piece")).alias("text")
     )
-    return (
-        pieces.withColumn("href", H.piece_href(F.col("_piece")))
-        .withColumn("text", H.piece_text(F.col("_piece")))
-        .filter(F.col("href").isNotNull())
-        .drop("_piece")
+
+
+def _hrefs(html: Column) -> Column:
+    """Anchors with their href, computed inside the array: a filter cannot repeat it."""
+    return F.transform(
+        H.anchor_pieces(html),
+        lambda p, i: F.struct(i.alias("pos"), H.piece_href(p).alias("href"), p.alias("piece")),
     )
 
 
 def _distinct_links(html: Column, url: Column, accept, mode: str, label: str) -> Column:
     """Distinct absolute links of one page, first seen first, as an array."""
     base = urls.base_url(url)
-    found = F.transform(
-        H.anchor_pieces(html),
-        lambda p: F.struct(H.piece_href(p).alias("href"), p.alias("piece")),
-    )
-    kept = F.filter(found, lambda a: (a["href"] != "") & accept(a["href"], a["piece"]))
+    kept = F.filter(_hrefs(html), lambda a: (a["href"] != "") & accept(a["href"], a["piece"]))
     links = F.array_distinct(
         F.transform(kept, lambda a: urls.resolve_url(base, a["href"], mode))
     )
@@ -66,13 +65,13 @@ def pagination_array(html: Column, url: Column) -> Column:
 
 def fallback_job_array(html: Column, url: Column) -> Column:
     return _distinct_links(
-        html, url, lambda href, _: F.contains(href, F.lit("/JobDetail/")), "concat", urls.JOB_DETAIL
+        html, url, lambda href, _: href.contains("/JobDetail/"), "concat", urls.JOB_DETAIL
     )
 
 
 def fallback_listing_array(html: Column, url: Column) -> Column:
     return _distinct_links(
-        html, url, lambda href, _: F.contains(href, F.lit("SearchJobs")), "concat", urls.LISTING
+        html, url, lambda href, _: href.contains("SearchJobs"), "concat", urls.LISTING
     )
 
 
@@ -130,7 +129,7 @@ def cards_array(doc: Column, url: Column) -> Column:
     def entries(part: Column) -> Column:
         def of_wrapper(wrapper: Column) -> Column:
             named = F.filter(
-                N.inside(nodes, wrapper), lambda n: F.startswith(n["cls"], F.lit(SUBTITLE_PREFIX))
+                N.inside(nodes, wrapper), lambda n: n["cls"].startswith(SUBTITLE_PREFIX)
             )
             pairs = F.transform(
                 named,

@@ -20,6 +20,12 @@ SETTINGS = {
     ),
 }
 
+# Settings that only count when the session is made.
+STARTUP_SETTINGS = {
+    # Plans here hold thousands of expressions; recording a call site for each is slow.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session made elsewhere."""
@@ -37,7 +43,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("PAGEFACTS_MEMORY", "6g"))
     )
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **STARTUP_SETTINGS}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -76,8 +76,8 @@ def read_html_files(
 def page_type(name):
     """Kind of a saved page by its file name: listing before job."""
     return (
-        F.when(F.contains(name, F.lit("listing")), "LISTING PAGE")
-        .when(F.contains(name, F.lit("job")), "JOB DETAIL PAGE")
+        F.when(name.contains("listing"), "LISTING PAGE")
+        .when(name.contains("job"), "JOB DETAIL PAGE")
         .otherwise("UNKNOWN PAGE")
     )
 
