@@ -160,10 +160,10 @@ FROM (SELECT o_orderkey, CAST(extract(YEAR FROM o_orderdate) AS INT) AS y, CAST(
 
 @add("parse_date", twin("""SELECT id, text, CASE WHEN style IN (1, 2, 3) THEN y || '-' || lpad(m::VARCHAR, 2, '0') || '-' || lpad(d::VARCHAR, 2, '0')
   WHEN style = 5 THEN y || '-' || lpad((d + 12)::VARCHAR, 2, '0') || '-45' ELSE nullif(text, '') END AS parsed,
-  CASE WHEN style < 4 THEN make_date(y, m, d) END AS day FROM {dates}""", dates=DATE_TEXTS))
+  CASE WHEN style < 4 THEN CAST(make_date(y, m, d) AS VARCHAR) END AS day FROM {dates}""", dates=DATE_TEXTS))
 def parse_date(spark, sf_dir):
     texts = derived(spark, sf_dir, DATE_TEXTS).select("id", "text", parse.parse_date(F.col("text")).alias("parsed"))
-    return texts.select("id", "text", "parsed", parse.date_value(F.col("parsed")).alias("day"))
+    return texts.select("id", "text", "parsed", parse.date_value(F.col("parsed")).cast("string").alias("day"))
 
 
 SALARY_TEXTS = """SELECT l_orderkey, l_linenumber, style, price, CASE style WHEN 0 THEN concat('$', price, ' - $', price + 5, ' per hour') WHEN 1 THEN concat('Up to ', price, ' USD annually')
@@ -172,7 +172,7 @@ SALARY_TEXTS = """SELECT l_orderkey, l_linenumber, style, price, CASE style WHEN
 FROM (SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DECIMAL(12,2)) AS price, (l_orderkey + l_linenumber) % 8 AS style FROM {lineitem}) l"""
 
 
-@add("parse_salary", twin("""SELECT l_orderkey, l_linenumber, low, high, period, CAST(low AS DECIMAL(18,4)) AS low_num FROM (SELECT *,
+@add("parse_salary", twin("""SELECT l_orderkey, l_linenumber, low, high, period, CAST(low AS DOUBLE) AS low_num FROM (SELECT *,
   CASE style WHEN 0 THEN price::VARCHAR WHEN 1 THEN price::VARCHAR WHEN 2 THEN '1' || (100 + l_linenumber) || '000' WHEN 4 THEN l_linenumber || '01' WHEN 6 THEN l_linenumber::VARCHAR END AS low,
   CASE style WHEN 0 THEN (price + 5)::VARCHAR WHEN 1 THEN price::VARCHAR WHEN 2 THEN '2' || (100 + l_linenumber) || '000.50' WHEN 4 THEN l_linenumber || '01' WHEN 6 THEN (l_linenumber + 1)::VARCHAR END AS high,
   CASE style WHEN 0 THEN 'hourly' WHEN 1 THEN 'yearly' WHEN 2 THEN 'monthly' WHEN 4 THEN 'weekly' WHEN 6 THEN 'hourly' END AS period FROM {salaries})""", salaries=SALARY_TEXTS))
@@ -181,7 +181,7 @@ def parse_salary(spark, sf_dir):
     parsed = texts.select("l_orderkey", "l_linenumber", parse.parse_salary(F.col("text")).alias("s"))
     return parsed.select(
         "l_orderkey", "l_linenumber", F.col("s.min").alias("low"), F.col("s.max").alias("high"), "s.period",
-        parse.amount_value(F.col("s.min")).alias("low_num"),
+        parse.amount_value(F.col("s.min")).cast("double").alias("low_num"),
     )
 
 

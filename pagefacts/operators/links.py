@@ -201,20 +201,26 @@ def subtitle_map(entries: Column) -> Column:
 # --- frontier ---------------------------------------------------------------------------
 
 
-def frontier_new_links(links: DataFrame, seen: DataFrame, url: str = "url", order=None) -> DataFrame:
-    """Links to pages not fetched yet, each once.
-
-    Both sides are reduced to distinct keys with map-side aggregation, so a URL that
-    a third of all pages link to costs one row per task, and the anti join finds both
-    sides already partitioned by key. Of equal links the smallest stays (``order`` to choose).
+def frontier_new_links(links: DataFrame, seen: DataFrame, url: str = "url", keep=("url",)) -> DataFrame:
+    """Links to pages not fetched yet, each key once; of equal links the smallest stays.
+
+    Copies collapse inside each task before the shuffle: a URL that a third of all pages
+    link to costs one row per task. ``seen`` is reduced the same way and both sides meet
+    partitioned by key, so the join adds no shuffle. A left join with a null test stands for
+    the anti join, which the optimizer would move below the grouping, where the hot keys
+    still are.
     """
-    rank = F.struct(*[F.col(c) for c in (order or links.columns)])
-    keyed = links.withColumn("url_key", urls.url_unique_key(F.col(url)))
-    fresh = keyed.groupBy("url_key").agg(
-        F.min_by(F.struct(*[F.col(c) for c in links.columns]), rank).alias("_link")
+    fresh = (
+        links.select(urls.url_unique_key(F.col(url)).alias("url_key"), *keep)
+        .groupBy("url_key")
+        .agg(F.min(F.struct(*keep)).alias("_link"))
     )
     known = distinct_keys(seen.select(urls.url_unique_key(F.col(url)).alias("url_key")), "url_key")
-    return fresh.join(known, "url_key", "left_anti").select("url_key", "_link.*")
+    return (
+        fresh.join(known.withColumn("_seen", F.lit(True)), "url_key", "left")
+        .filter(F.col("_seen").isNull())
+        .select("url_key", "_link.*")
+    )
 
 
 def same_host_links(links: DataFrame, page_url: str, url: str = "url") -> DataFrame:

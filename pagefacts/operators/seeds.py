@@ -44,11 +44,9 @@ def seed_urls(domains: DataFrame, path: str = urls.LISTING_PATH, domain: str = "
 def seed_union(domain_urls: DataFrame, start_urls: DataFrame, default_url: str) -> DataFrame:
     """Both lists one after the other, or the default when both are empty."""
     both = domain_urls.select("url").unionByName(start_urls.select("url"))
-    spark = both.sparkSession
-    # The default row survives only when no seed exists; one row decides that.
-    default = spark.range(1).select(F.lit(default_url).alias("url"))
-    found = both.limit(1).select(F.lit(True).alias("found"))
-    return both.unionByName(default.join(F.broadcast(found), F.lit(True), "left_anti"))
+    # One row is enough to know that there are seeds.
+    empty = both.limit(1).agg(F.count("*").alias("n")).filter("n = 0")
+    return both.unionByName(empty.select(F.lit(default_url).alias("url")))
 
 
 def label_start_urls(start_urls: DataFrame, url: str = "url") -> DataFrame:

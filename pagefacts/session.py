@@ -40,6 +40,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
         SparkSession.builder.master(f"local[{cores}]")
         .appName("pagefacts")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("PAGEFACTS_MEMORY", "6g"))
     )
