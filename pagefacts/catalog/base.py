@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..plans.spread import spread
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -16,14 +18,13 @@ TABLES = (
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    return spread(df.select(*columns) if columns else df)
 
 
 def derived(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """Run a shared SQL text on the tables of ``sf_dir``."""
-    for name in TABLES:
-        sql = sql.replace("{" + name + "}", f"parquet.`{sf_dir}/{name}.parquet`")
-    return spark.sql(sql)
+    used = [name for name in TABLES if "{" + name + "}" in sql]
+    return spark.sql(sql, **{name: table(spark, sf_dir, name) for name in used})
 
 
 def twin(sql: str, **inputs: str) -> str:

@@ -1,0 +1,16 @@
+"""Give page work enough tasks."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Deal rows out when the scan has fewer tasks than the cluster has cores.
+
+    Reading pages costs far more per byte than scanning them, so a table of few row groups
+    would keep most cores idle. A table with enough splits is left as it is: no shuffle.
+    Call it on raw tables, before the pages are parsed.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
