@@ -9,6 +9,7 @@ import __spark_entry__ as entry
 from pagefacts.functions import nodes as N
 from pagefacts.operators import gate, jobs, links
 from pagefacts.plans import skew
+from pagefacts.plans.spread import spread
 from pagefacts.session import shared_folder
 
 
@@ -29,8 +30,8 @@ def pages(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/pages.parquet")
 
 
-def test_records_use_python_once_and_no_shuffle(spark, sf_dir):
-    plan = plan_of(entry.queries()["job_record"](spark, sf_dir))
+def test_records_use_python_once_and_no_shuffle(pages):
+    plan = plan_of(jobs.job_records(N.with_doc(pages)))
     assert plan.count("ArrowEvalPython") == 1
     assert "Exchange" not in plan and "Join" not in plan
 
@@ -121,6 +122,11 @@ def test_hot_keys_are_counted_once_or_not_at_all(spark):
     assert final.count("Join") == 1
 
 
+def test_spread_only_widens(spark, pages):
+    assert "Exchange" in plan_of(spread(pages.coalesce(1)))
+    assert "Exchange" not in plan_of(spread(spark.range(0, 100, 1, 64)))
+
+
 def test_nodes_are_read_once_per_page(spark, pages):
     docs = N.with_doc(pages.select("page_id", "url", "html"))
     assert plan_of(docs.select(F.size("doc.nodes"), "doc.text")).count("ArrowEvalPython") == 1
