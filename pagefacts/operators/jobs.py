@@ -52,16 +52,40 @@ def cards_by_url(cards: DataFrame) -> DataFrame:
 def card_job_join(
     pages: DataFrame, cards: DataFrame, hot: DataFrame | None = None, spread: str = "page_id"
 ) -> DataFrame:
-    """Attach the card of a listing page to the page it links to.
+    """Attach the card of a listing page to the page it links to, by requested URL.
 
-    Give it pages before they are parsed: only then are the rows it shuffles small. URLs
-    with very many copies are found on the URL column alone and salted.
+    ``pages`` are moved when there are too many cards to broadcast: give it finished records
+    (``with_cards``) or key columns, not HTML. URLs with very many copies are found on
+    the URL column alone and salted.
     """
     if hot is None:
         hot = hot_keys(pages.select("url"), "url", HOT_PAGES)
     return salted_left_join(pages, cards_by_url(cards), "url", spread, hot)
 
 
+def with_cards(
+    records: DataFrame, cards: DataFrame, hot: DataFrame | None = None,
+    request_url: str = "request_url", spread: str = "page_id",
+) -> DataFrame:
+    """Let the values of listing cards come before those of the pages.
+
+    ``records`` carry the requested URL and ``spread`` (``job_records(keep=...)``); both are dropped.
+    Same result as reading the pages with their cards, but the rows on the move hold
+    extracted text and not markup.
+    """
+    final = [c for c in records.columns if c not in (request_url, spread)]
+    keyed = records.withColumnRenamed("url", "_url").withColumnRenamed(request_url, "url")
+    if hot is None:
+        hot = hot_keys(keyed.select("url"), "url", HOT_PAGES)
+    joined = card_job_join(keyed, cards, hot, spread).drop("url").withColumnRenamed("_url", "url")
+    card, ref = F.col("card"), card_ref(F.col("card"))
+    over = {t: F.coalesce(_card_value(card, keys), F.col(t)) for t, keys in CARD_KEYS.items()}
+    over["title"] = F.coalesce(F.nullif(card["title"], F.lit("")), F.col("title"))
+    over["refNumber"] = F.when(ref.isNotNull(), ref_not_job_id(ref, F.col("jobId"))).otherwise(F.col("refNumber"))
+    over["additional"] = card["subtitles"]
+    return joined.select(*[over[c].alias(c) if c in over else c for c in final])
+
+
 def _card_value(card: Column, keys: Sequence[str]) -> Column:
     values = [F.nullif(F.try_element_at(card["subtitles"], F.lit(k)), F.lit("")) for k in keys]
     return F.coalesce(*values)
@@ -82,8 +106,9 @@ def job_records(
     company_names: Sequence[str] = (),
     strict: bool = False,
     typed: bool = True,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Records of parsed detail pages.
+    """Records of parsed detail pages; columns named in ``keep`` come along.
 
     ``docs`` has ``url`` and ``doc``; ``loaded_url``, ``card`` and ``scraped_at`` count when present.
     One row in, one row out: nothing here shuffles.
@@ -99,6 +124,7 @@ def job_records(
         card.alias("card"),
         scraped.cast("timestamp").alias("scrapedAt"),
         "doc",
+        *keep,
     )
     doc = F.col("doc")
     step = step.select(
@@ -168,6 +194,7 @@ def job_records(
         "applyUrl",
         F.col("card")["subtitles"].alias("additional"),
         "scrapedAt",
+        *keep,
     )
     if not typed:
         return record

@@ -191,3 +191,26 @@ def test_later_subtitle_wins_and_default(spark):
     row = cards.select("url", "title", links.subtitle_map(F.col("entries")).alias("m")).first()
     assert (row.url, row.title) == ("https://board.example.net/j/1", "T")
     assert row.m == {"a": "2", "default": "plain"}
+
+
+def test_cards_after_the_page_equal_cards_before(spark):
+    """Joining cards to records gives what reading the pages with their cards gives."""
+    html = "<body>" + block("Location", "Oslo") + block("Department", "Sea") + block("Requisition", "R9") + "</body>"
+    pages = spark.createDataFrame(
+        [(1, URL, html), (2, URL + "?x", html), (3, URL, "<body></body>")], "page_id long, url string, html string"
+    )
+    entries = [("location", ""), ("department", "Air"), ("ref", "REF #4711")]
+    cards = spark.createDataFrame(
+        [(7, 0, URL, "Card title", entries)],
+        "page_id long, pos int, url string, title string, entries array<struct<key:string,value:string>>",
+    )
+    before = jobs.job_records(N.with_doc(jobs.card_job_join(pages, cards)))
+    records = jobs.job_records(N.with_doc(pages.withColumn("request_url", F.col("url"))), keep=("request_url", "page_id"))
+    after = jobs.with_cards(records, cards)
+
+    def rows(df):
+        return sorted((r.asDict() for r in df.collect()), key=str)
+
+    assert before.columns == after.columns and rows(before) == rows(after)
+    row = [r for r in rows(after) if r["location"] == "Oslo" and r["title"] == "Card title"][0]
+    assert (row["department"], row["refNumber"], row["additional"]["ref"]) == ("Air", None, "REF #4711")
