@@ -9,7 +9,7 @@ from ..functions import nodes as N
 from ..functions import urls as U
 from ..operators import hosts, jobs, links
 from .base import (
-    ATTEMPTS, JOB_PAGES, LISTING_PAGES, Family, derived, sql_base, sql_concat, sql_host, sql_join, sql_markup,
+    ATTEMPTS, JOB_PAGES, LISTING_PAGES, Family, derived, sql_base, sql_join, sql_markup,
     sql_site, table, twin,
 )
 

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from ..operators import gate as G
 from ..operators import jobs, seeds
+from ..operators.report import dataset_order, host_order, valid_hosts
 from ..functions import nodes as N
+from ..functions.urls import site_key
 from ..session import scratch_path
 from ..sources import readers, sinks
 from .base import JOB_PAGES, Family, derived, sql_site, table, twin
@@ -57,7 +59,7 @@ def src_html_samples(spark, sf_dir):
     path = scratch_path(spark, "samples")
     kind = F.element_at(F.array(F.lit("job-listing-"), F.lit("job-"), F.lit("page-")), (F.col("page_id") % 3 + 1).cast("int"))
     files = table(spark, sf_dir, "pages").select(
-        sinks.urls.site_key(F.col("url")).alias("site"), F.concat(kind, "page_id", F.lit(".html")).alias("name"), "html"
+        site_key(F.col("url")).alias("site"), F.concat(kind, "page_id", F.lit(".html")).alias("name"), "html"
     )
     # One folder per page, as the text writer names its files itself.
     files.write.partitionBy("site", "name").text(path)
@@ -103,8 +105,6 @@ REPORT = f"""SELECT host, CASE WHEN hash_pick = 0 THEN error || ', see "log"' ||
 @add("sink_csv", REPORT)
 def sink_csv(spark, sf_dir):
     path = scratch_path(spark, "csv")
-    from ..operators.report import host_order
-
     rows = checks(spark, sf_dir).withColumn(
         "error",
         F.when(F.col("pos") % 3 == 0, F.concat("error", F.lit(', see "log"\n next'))).otherwise(F.col("error")),
@@ -116,8 +116,6 @@ def sink_csv(spark, sf_dir):
 
 @add("sink_dataset_csv", f"SELECT domain, url, status FROM ({ENTRY_VERDICTS})")
 def sink_dataset_csv(spark, sf_dir):
-    from ..operators.report import dataset_order
-
     path = scratch_path(spark, "csv")
     rows = entry_verdicts(spark, sf_dir).select("domain", "url", "status", "page_id")
     sinks.write_csv(rows, path, dataset_order("page_id"))
@@ -127,8 +125,6 @@ def sink_dataset_csv(spark, sf_dir):
 
 @add("sink_host_json", f"SELECT host FROM ({CHECKS}) WHERE status = 'working' AND (total_jobs IS NULL OR total_jobs > 0)")
 def sink_host_json(spark, sf_dir):
-    from ..operators.report import valid_hosts
-
     path = scratch_path(spark, "json")
     sinks.write_hosts(valid_hosts(checks(spark, sf_dir)), path)
     return readers.read_host_list(spark, path).select("host")

@@ -39,10 +39,21 @@ def _hrefs(html: Column) -> Column:
     )
 
 
-def _distinct_links(html: Column, url: Column, accept, mode: str, label: str) -> Column:
-    """Distinct absolute links of one page, first seen first, as an array."""
+def _distinct_links(
+    html: Column, url: Column, accept, mode: str, label: str, pages_only: bool = False
+) -> Column:
+    """Distinct absolute links of one page, first seen first, as an array.
+
+    ``pages_only`` leaves out mail, phone and script links and bare fragments, which the plain
+    rules turn into addresses of no page.
+    """
     base = urls.base_url(url)
-    kept = F.filter(_hrefs(html), lambda a: (a["href"] != "") & accept(a["href"], a["piece"]))
+
+    def keep(a: Column) -> Column:
+        wanted = (a["href"] != "") & accept(a["href"], a["piece"])
+        return wanted & urls.is_page_link(a["href"]) if pages_only else wanted
+
+    kept = F.filter(_hrefs(html), keep)
     links = F.array_distinct(
         F.transform(kept, lambda a: urls.resolve_url(base, a["href"], mode))
     )
@@ -52,7 +63,7 @@ def _distinct_links(html: Column, url: Column, accept, mode: str, label: str) ->
     )
 
 
-def pagination_array(html: Column, url: Column) -> Column:
+def pagination_array(html: Column, url: Column, pages_only: bool = False) -> Column:
     def accept(href: Column, piece: Column) -> Column:
         return (
             contains_any(href, PAGINATION_PARTS)
@@ -60,18 +71,18 @@ def pagination_array(html: Column, url: Column) -> Column:
             & ~contains_any(F.lower(H.piece_text(piece)), BACKWARD_WORDS)
         )
 
-    return _distinct_links(html, url, accept, "join", urls.LISTING)
+    return _distinct_links(html, url, accept, "join", urls.LISTING, pages_only)
 
 
-def fallback_job_array(html: Column, url: Column) -> Column:
+def fallback_job_array(html: Column, url: Column, pages_only: bool = False) -> Column:
     return _distinct_links(
-        html, url, lambda href, _: href.contains("/JobDetail/"), "concat", urls.JOB_DETAIL
+        html, url, lambda href, _: href.contains("/JobDetail/"), "concat", urls.JOB_DETAIL, pages_only
     )
 
 
-def fallback_listing_array(html: Column, url: Column) -> Column:
+def fallback_listing_array(html: Column, url: Column, pages_only: bool = False) -> Column:
     return _distinct_links(
-        html, url, lambda href, _: href.contains("SearchJobs"), "concat", urls.LISTING
+        html, url, lambda href, _: href.contains("SearchJobs"), "concat", urls.LISTING, pages_only
     )
 
 
@@ -81,18 +92,24 @@ def _link_rows(pages: DataFrame, links: Column, page_id: str) -> DataFrame:
     )
 
 
-def pagination_links(pages: DataFrame, url: str = "url", html: str = "html", page_id: str = "page_id") -> DataFrame:
+def pagination_links(
+    pages: DataFrame, url: str = "url", html: str = "html", page_id: str = "page_id", pages_only: bool = False
+) -> DataFrame:
     """Links to further listing pages."""
-    return _link_rows(pages, pagination_array(F.col(html), F.col(url)), page_id)
+    return _link_rows(pages, pagination_array(F.col(html), F.col(url), pages_only), page_id)
 
 
-def fallback_job_links(pages: DataFrame, url: str = "url", html: str = "html", page_id: str = "page_id") -> DataFrame:
+def fallback_job_links(
+    pages: DataFrame, url: str = "url", html: str = "html", page_id: str = "page_id", pages_only: bool = False
+) -> DataFrame:
     """Detail links on pages no route knows."""
-    return _link_rows(pages, fallback_job_array(F.col(html), F.col(url)), page_id)
+    return _link_rows(pages, fallback_job_array(F.col(html), F.col(url), pages_only), page_id)
 
 
-def fallback_listing_links(pages: DataFrame, url: str = "url", html: str = "html", page_id: str = "page_id") -> DataFrame:
-    return _link_rows(pages, fallback_listing_array(F.col(html), F.col(url)), page_id)
+def fallback_listing_links(
+    pages: DataFrame, url: str = "url", html: str = "html", page_id: str = "page_id", pages_only: bool = False
+) -> DataFrame:
+    return _link_rows(pages, fallback_listing_array(F.col(html), F.col(url), pages_only), page_id)
 
 
 def route_links(pages: DataFrame, url: str = "url", html: str = "html", page_id: str = "page_id", label: str | None = None) -> DataFrame:

@@ -6,10 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PAGE_ROW = "url string, title string, h1 string, article string"
-PAGES = (
-    "page_id bigint, url string, loaded_url string, status_code int, html string, "
-    "error_message string, attempt int, fetched_at timestamp"
-)
 
 
 def read_host_list(spark: SparkSession, path: str) -> DataFrame:

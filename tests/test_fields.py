@@ -214,3 +214,15 @@ def test_cards_after_the_page_equal_cards_before(spark):
     assert before.columns == after.columns and rows(before) == rows(after)
     row = [r for r in rows(after) if r["location"] == "Oslo" and r["title"] == "Card title"][0]
     assert (row["department"], row["refNumber"], row["additional"]["ref"]) == ("Air", None, "REF #4711")
+
+
+def test_link_flags(spark):
+    html = "<a href='mailto:x?SearchJobs'>m</a><a href='//cdn/SearchJobs'>c</a><a href='/SearchJobs'>s</a><a href='https://o.net/SearchJobs'>o</a>"
+    df = spark.createDataFrame([(1, URL, html)], "page_id long, url string, html string")
+    compat = [r.url for r in links.pagination_links(df).orderBy("pos").collect()]
+    base = "https://board.example.net"
+    assert compat == [base + "/mailto:x?SearchJobs", base + "//cdn/SearchJobs", base + "/SearchJobs", "https://o.net/SearchJobs"]
+    pages = links.pagination_links(df, pages_only=True)
+    assert [r.url for r in pages.orderBy("pos").collect()] == compat[2:]
+    paired = pages.withColumn("page", F.lit(URL))
+    assert [r.url for r in links.same_host_links(paired, "page").collect()] == [base + "/SearchJobs"]
