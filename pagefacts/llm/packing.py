@@ -10,9 +10,13 @@ form step groups of the same number of tokens.
 from __future__ import annotations
 
 import bisect
+import json
+import os
+import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark import TaskContext
@@ -25,9 +29,11 @@ TIERS = (512, 1024, 2048, 4096)
 END = 2
 POOL = 256  # rests a tier holds before it is packed
 STEP_TOKENS = 1 << 18
-KNOWN_MAX = 300_000  # words whose ids a task remembers; the table is then begun anew
+KNOWN_MAX = 250_000  # words whose ids a task remembers; the table is then begun anew
 KNOWN_BYTES = 48
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 2_000_000
+# Letters, then one or a few of these signs: two pre-tokens, whatever follows.
+ENDING = re.compile(r"(\w+)([.,;:!?*$%&#]{1,4})")
 PIECES = pa.schema(
     [
         ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
@@ -43,29 +49,66 @@ class Encoder:
 
     White space is dropped by this tokenizer and ends every pre-token, so the ids of a text
     are those of its words in a row. Words are cut at blanks, tabs and line feeds; other
-    white space stays inside a word and is left to the library.
+    white space stays inside a word and is left to the library. Words of letters alone are
+    one pre-token, whose last id is marked in the vocabulary: many are encoded as one string
+    and told apart by the marks.
     """
 
     def __init__(self, content: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        suffix = json.loads(content)["model"].get("end_of_word_suffix") or "</w>"
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for piece, i in vocabulary.items() if piece.endswith(suffix)]] = True
         self.known: dict[bytes, bytes] = {}
+        self.signs: dict[str, bytes] = {}
+
+    def encoded(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def of_letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters alone."""
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(words):  # a letter that lower case turns into several signs
+            return [self.encoded(w) for w in words]
+        data = ids.tobytes()
+        return [data[4 * a : 4 * b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+
+    def learn(self, fresh: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words not known yet; those of long words are returned and not kept."""
+        long: dict[bytes, bytes] = {}
+        letters: dict[str, list[tuple[bytes, str]]] = {}
+        for word in fresh:
+            string = word.decode("utf-8", "replace")
+            if len(word) > KNOWN_BYTES:
+                long[word] = self.encoded(string)
+            elif string.isalpha():
+                letters.setdefault(string, []).append((word, ""))
+            elif (cut := ENDING.fullmatch(string)) and cut[1].lower().isalpha():
+                letters.setdefault(cut[1], []).append((word, cut[2]))
+            else:
+                self.known[word] = self.encoded(string)
+        strings = list(letters)
+        for i in range(0, len(strings), 500):
+            some = strings[i : i + 500]
+            for string, data in zip(some, self.of_letters(some)):
+                for word, sign in letters[string]:
+                    if sign and sign not in self.signs:
+                        self.signs[sign] = self.encoded(sign)
+                    self.known[word] = data + self.signs[sign] if sign else data
+        return long
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         cut = [t.replace(b"\n", b" ").replace(b"\t", b" ").split(b" ") for t in texts]
         if len(self.known) > KNOWN_MAX:
-            self.known.clear()
-        fresh = {w for words in cut for w in words if w not in self.known}
-        long: dict[bytes, bytes] = {}
-        todo = list(fresh)
-        for i in range(0, len(todo), 20_000):
-            some = todo[i : i + 20_000]
-            for word, e in zip(some, self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)):
-                data = b"".join(n.to_bytes(4, "little") for n in e.ids)
-                (self.known if len(word) <= KNOWN_BYTES else long)[word] = data
+            self.known = {}
+        long = self.learn([w for w in set().union(*cut) if w not in self.known])
         known = {**self.known, **long} if long else self.known
         return [b"".join(map(known.__getitem__, words)) for words in cut]
 
