@@ -8,10 +8,12 @@ sum over its pre-tokens. Ids of a text are never built.
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +24,74 @@ from .common import slices
 # Unicode White_Space, as the tokenizer's own pattern has it.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PRE_TOKEN = f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
-KNOWN_MAX = 400_000  # pre-tokens a task remembers; the table is then begun anew
+KNOWN_MAX = 250_000  # pre-tokens a task remembers; the table is then begun anew
 KNOWN_CHARS = 48  # longer pre-tokens are rare and are counted each time
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 2_000_000
+
+
+class PieceCounter:
+    """Pieces of pre-tokens, each counted once while the task remembers it.
+
+    Words with a blank before them are joined, some hundred to a string, and counted in one
+    call: none reaches over a blank. The lengths of the pieces in bytes tell which word each
+    is of. Words without a blank are joined by line feeds, of which each is one piece.
+    """
+
+    def __init__(self, content: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(content)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.special = special_strings(content)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        # In a byte-level vocabulary each character of a piece stands for one byte.
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for piece, i in vocabulary.items():
+            self.bytes_of[i] = len(piece)
+        self.plain = re.compile(f"[^{WHITE}]+")
+        self.known: dict[str, int] = {}
+
+    def encoded(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int64)
+
+    def joined(self, words: list[str], sizes: list[int], before: str) -> list[int] | None:
+        """Pieces of each word; None if a border between words lies inside a piece."""
+        ends = np.cumsum(self.bytes_of[self.encoded(before.join(["", *words]) if before else "".join(words))])
+        borders = np.cumsum(np.array(sizes) + len(before))
+        at = np.searchsorted(ends, borders)
+        if len(ends) == 0 or ends[-1] != borders[-1] or (ends[at] != borders).any():
+            return None
+        return (np.diff(np.concatenate([[-1], at])) - len(before)).tolist()
+
+    def pieces(self, wanted: set[str]) -> dict[str, int]:
+        """Counts of at least the wanted pre-tokens."""
+        if len(self.known) > KNOWN_MAX:
+            self.known = {}
+        new = [w for w in wanted if w not in self.known]
+        blank, bare, other = [], [], []
+        for w in new:
+            if len(w) > KNOWN_CHARS or any(s in w for s in self.special):
+                other.append(w)
+            elif w[0] == " " and len(w) > 1 and self.plain.fullmatch(w, 1):
+                blank.append(w)
+            elif self.plain.fullmatch(w):
+                bare.append(w)
+            else:
+                other.append(w)
+        for words, before in ((blank, ""), (bare, "\n")):
+            for i in range(0, len(words), 500):
+                some = words[i : i + 500]
+                counts = self.joined(some, [len(w.encode("utf-8")) for w in some], before)
+                if counts is None:
+                    other += some
+                else:
+                    self.known.update(zip(some, counts))
+        long = {}
+        for w in other:
+            (self.known if len(w) <= KNOWN_CHARS else long)[w] = len(self.encoded(w))
+        return {**self.known, **long} if long else self.known
 
 
 def special_strings(tokenizer_json: str) -> list[str]:
@@ -46,15 +113,10 @@ def count_tokens(
     special = special_strings(content)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(content)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
+        counter = PieceCounter(content)
         find = re.compile(PRE_TOKEN).findall
         parts = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")").split
         any_special = [s.encode() for s in special]
-        pieces: dict[str, int] = {}
 
         def pre_tokens(data: bytes) -> Counter:
             string = data.decode("utf-8", "replace")
@@ -68,20 +130,8 @@ def count_tokens(
         for batch in slices(batches, "_data", BATCH_BYTES):
             texts = batch.column("_data").to_pylist()
             frequencies = [pre_tokens(data) for data in texts]
-            if len(pieces) > KNOWN_MAX:
-                pieces.clear()
-            long: dict[str, int] = {}
-            new = [p for p in set().union(*frequencies) if p not in pieces]
-            for i in range(0, len(new), 20_000):
-                some = new[i : i + 20_000]
-                for token, encoded in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                    (pieces if len(token) <= KNOWN_CHARS else long)[token] = len(encoded)
-            totals = []
-            for frequency in frequencies:
-                total = 0
-                for token, n in frequency.items():
-                    total += n * (pieces[token] if len(token) <= KNOWN_CHARS else long[token])
-                totals.append(total)
+            pieces = counter.pieces(set().union(*frequencies))
+            totals = [sum(n * pieces[token] for token, n in frequency.items()) for frequency in frequencies]
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(k) for k in keep),
