@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +19,7 @@ GAP_SQL = r"[\x20\x09-\x0D]+"
 
 def tuned(spark: SparkSession, df: DataFrame | None = None) -> DataFrame | None:
     """Bound the batches sent to Python by rows and bytes: texts are of very different length."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     return df
 
@@ -49,7 +52,7 @@ def in_bytes(df: DataFrame, text: str, *keep: str | Column) -> DataFrame:
 def slices(batches: Iterator[pa.RecordBatch], column: str, budget: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose ``column`` holds about ``budget`` bytes at most (or one row)."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(column)).to_pylist()
+        sizes = pc.binary_length(batch.column(column)).to_pylist()
         start, held = 0, 0
         for i, size in enumerate(sizes):
             if i > start and held + size > budget:
@@ -60,6 +63,39 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, budget: int) -> Itera
             yield batch.slice(start)
 
 
+class Remembered:
+    """Values of words, kept in a Python worker from task to task; at most ``most`` of them.
+
+    Two generations: words met since the younger one began move into it, and when that is
+    half full it becomes the older. ``name`` stands for all that values depend on.
+    """
+
+    def __init__(self, name: str, most: int):
+        held = sys.modules.setdefault("_remembered_words", types.ModuleType("_remembered_words")).__dict__
+        self.state = held.setdefault(name, {"new": {}, "old": {}})
+        self.most = most
+
+    def values(self, words: list, learn) -> list:
+        """The value of each word; ``learn`` makes those of a list of words not remembered."""
+        new, old = self.state["new"], self.state["old"]
+        out = list(map(new.get, words))
+        missing = []
+        for i in [i for i, v in enumerate(out) if v is None]:
+            value = old.get(words[i])
+            if value is None:
+                missing.append(i)
+            else:
+                out[i] = new[words[i]] = value
+        if missing:
+            for i, value in zip(missing, learn([words[i] for i in missing])):
+                out[i] = value
+                if len(words[i]) <= 48:
+                    new[words[i]] = value
+        if len(new) > self.most // 2:
+            self.state["old"], self.state["new"] = new, {}
+        return out
+
+
 def words_of(data: bytes) -> list[bytes]:
     """Words of UTF-8 text with A-Z lower-cased; both steps only touch ASCII bytes."""
     return data.lower().split()

@@ -19,6 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -265,7 +266,7 @@ def score_texts(docs: DataFrame, held_out: Column, text: str = "text") -> DataFr
         columns = list(zip(*result)) if result else [(), (), (), ()]
         types = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
         return pa.table(
-            [left.column("doc_id"), pa.compute.invert(left.column("_train")), *(pa.array(c, t) for c, t in zip(columns, types))],
+            [left.column("doc_id"), pc.invert(left.column("_train")), *(pa.array(c, t) for c, t in zip(columns, types))],
             names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
         )
 

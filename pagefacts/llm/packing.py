@@ -19,19 +19,20 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common
-from .common import slices
+from .common import Remembered, slices
 
 TIERS = (512, 1024, 2048, 4096)
 END = 2
 POOL = 256  # rests a tier holds before it is packed
 STEP_TOKENS = 1 << 18
-KNOWN_MAX = 250_000  # words whose ids a task remembers; the table is then begun anew
+KNOWN_MAX = 1_000_000  # words whose ids a Python worker remembers
 KNOWN_BYTES = 48
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 12_000_000
 # Letters, then one or a few of these signs: two pre-tokens, whatever follows.
 ENDING = re.compile(r"(\w+)([.,;:!?*$%&#]{1,4})")
 PIECES = pa.schema(
@@ -65,8 +66,9 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for piece, i in vocabulary.items() if piece.endswith(suffix)]] = True
-        self.known: dict[bytes, bytes] = {}
+        self.known = Remembered(f"ids-{zlib.crc32(content.encode())}-{len(content)}", KNOWN_MAX)
         self.signs: dict[str, bytes] = {}
+        self.special = [x["content"].encode() for x in json.loads(content)["added_tokens"]]
 
     def encoded(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -80,37 +82,49 @@ class Encoder:
         data = ids.tobytes()
         return [data[4 * a : 4 * b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
-    def learn(self, fresh: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of words not known yet; those of long words are returned and not kept."""
-        long: dict[bytes, bytes] = {}
-        letters: dict[str, list[tuple[bytes, str]]] = {}
-        for word in fresh:
+    def learn(self, fresh: list[bytes]) -> list[bytes]:
+        """Ids of each of some different words."""
+        out: list[bytes] = [b""] * len(fresh)
+        letters: dict[str, list[tuple[int, str]]] = {}
+        for i, word in enumerate(fresh):
             string = word.decode("utf-8", "replace")
-            if len(word) > KNOWN_BYTES:
-                long[word] = self.encoded(string)
-            elif string.isalpha():
-                letters.setdefault(string, []).append((word, ""))
-            elif (cut := ENDING.fullmatch(string)) and cut[1].lower().isalpha():
-                letters.setdefault(cut[1], []).append((word, cut[2]))
-            else:
-                self.known[word] = self.encoded(string)
+            if string.isalpha() and len(word) <= KNOWN_BYTES:
+                letters.setdefault(string, []).append((i, ""))
+            elif (cut := ENDING.fullmatch(string)) and cut[1].lower().isalpha() and len(word) <= KNOWN_BYTES:
+                letters.setdefault(cut[1], []).append((i, cut[2]))
+            elif word:
+                out[i] = self.encoded(string)
         strings = list(letters)
-        for i in range(0, len(strings), 500):
-            some = strings[i : i + 500]
+        for at in range(0, len(strings), 500):
+            some = strings[at : at + 500]
             for string, data in zip(some, self.of_letters(some)):
-                for word, sign in letters[string]:
+                for i, sign in letters[string]:
                     if sign and sign not in self.signs:
                         self.signs[sign] = self.encoded(sign)
-                    self.known[word] = data + self.signs[sign] if sign else data
-        return long
+                    out[i] = data + self.signs[sign] if sign else data
+        return out
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        cut = [t.replace(b"\n", b" ").replace(b"\t", b" ").split(b" ") for t in texts]
-        if len(self.known) > KNOWN_MAX:
-            self.known = {}
-        long = self.learn([w for w in set().union(*cut) if w not in self.known])
-        known = {**self.known, **long} if long else self.known
-        return [b"".join(map(known.__getitem__, words)) for words in cut]
+        """Ids of each text: different words are looked up once, ids gathered by position."""
+        if not texts:
+            return []
+        # The tokenizer lower-cases all but its special strings.
+        lower = [t if any(s in t.lower() for s in self.special) else t.lower() for t in texts]
+        words = pc.split_pattern(pa.array([t.replace(b"\n", b" ").replace(b"\t", b" ") for t in lower], pa.binary()), b" ")
+        coded = words.flatten().dictionary_encode()
+        found = self.known.values(coded.dictionary.to_pylist(), self.learn)
+        place = coded.indices.to_numpy()
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        values = np.frombuffer(b"".join(found), "<u4")
+        starts = np.cumsum(sizes) - sizes
+        out, offsets = [], words.offsets.to_numpy()
+        for a, b in zip(offsets[:-1], offsets[1:]):
+            of = place[a:b]
+            n = sizes[of]
+            ends = np.cumsum(n)
+            at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[of] - ends + n, n)
+            out.append(values[at].tobytes())
+        return out
 
 
 class Packer:

@@ -10,23 +10,25 @@ from __future__ import annotations
 import json
 import os
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common
-from .common import slices
+from .common import Remembered, slices
 
 # Unicode White_Space, as the tokenizer's own pattern has it.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PRE_TOKEN = f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
-KNOWN_MAX = 250_000  # pre-tokens a task remembers; the table is then begun anew
+KNOWN_MAX = 1_000_000  # pre-tokens a Python worker remembers
 KNOWN_CHARS = 48  # longer pre-tokens are rare and are counted each time
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 12_000_000
 
 
 class PieceCounter:
@@ -51,7 +53,10 @@ class PieceCounter:
         for piece, i in vocabulary.items():
             self.bytes_of[i] = len(piece)
         self.plain = re.compile(f"[^{WHITE}]+")
-        self.known: dict[str, int] = {}
+        self.known = Remembered(f"pieces-{zlib.crc32(content.encode())}-{len(content)}", KNOWN_MAX)
+        self.special_bytes = [s.encode() for s in self.special]
+        self.find = re.compile(PRE_TOKEN).findall
+        self.parts = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else (lambda t: [t])
 
     def encoded(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int64)
@@ -65,33 +70,73 @@ class PieceCounter:
             return None
         return (np.diff(np.concatenate([[-1], at])) - len(before)).tolist()
 
-    def pieces(self, wanted: set[str]) -> dict[str, int]:
-        """Counts of at least the wanted pre-tokens."""
-        if len(self.known) > KNOWN_MAX:
-            self.known = {}
-        new = [w for w in wanted if w not in self.known]
+    def learn(self, new: list[str | bytes]) -> list[int]:
+        """Pieces of each of some different pre-tokens (bytes stand for a word after a blank)."""
+        out = [0] * len(new)
         blank, bare, other = [], [], []
-        for w in new:
-            if len(w) > KNOWN_CHARS or any(s in w for s in self.special):
-                other.append(w)
-            elif w[0] == " " and len(w) > 1 and self.plain.fullmatch(w, 1):
-                blank.append(w)
-            elif self.plain.fullmatch(w):
-                bare.append(w)
+        for i, w in enumerate(new):
+            string = " " + w.decode("utf-8", "replace") if isinstance(w, bytes) else w
+            if len(string) > KNOWN_CHARS or any(s in string for s in self.special):
+                other.append((i, string))
+            elif string[0] == " " and self.plain.fullmatch(string, 1):
+                blank.append((i, string))
+            elif self.plain.fullmatch(string):
+                bare.append((i, string))
             else:
-                other.append(w)
+                other.append((i, string))
         for words, before in ((blank, ""), (bare, "\n")):
-            for i in range(0, len(words), 500):
-                some = words[i : i + 500]
-                counts = self.joined(some, [len(w.encode("utf-8")) for w in some], before)
-                if counts is None:
-                    other += some
-                else:
-                    self.known.update(zip(some, counts))
-        long = {}
-        for w in other:
-            (self.known if len(w) <= KNOWN_CHARS else long)[w] = len(self.encoded(w))
-        return {**self.known, **long} if long else self.known
+            for at in range(0, len(words), 500):
+                some = words[at : at + 500]
+                counts = self.joined([w for _, w in some], [len(w.encode("utf-8")) for _, w in some], before)
+                for k, (i, w) in enumerate(some):
+                    if counts is None:
+                        other.append((i, w))
+                    else:
+                        out[i] = counts[k]
+        for at in range(0, len(other), 2000):
+            some = other[at : at + 2000]
+            for (i, _), e in zip(some, self.tokenizer.encode_batch_fast([w for _, w in some], add_special_tokens=False)):
+                out[i] = len(e)
+        return out
+
+    def frequencies(self, data: bytes) -> Counter:
+        """Pre-tokens of any text, around special strings, by the whole pattern."""
+        found = Counter()
+        for i, part in enumerate(self.parts(data.decode("utf-8", "replace"))):
+            found.update([part] if i % 2 else self.find(part))
+        return found
+
+    def totals(self, texts: list[bytes]) -> list[int]:
+        """Pieces of each text.
+
+        Where a text has no two blanks in a row and no special string, each blank begins a
+        pre-token (what follows it up to the next blank, other white space included), so a
+        split at blanks gives them; other texts take the whole pattern.
+        """
+        out = [0] * len(texts)
+        odd = [i for i, t in enumerate(texts) if b"  " in t or any(s in t for s in self.special_bytes)]
+        if odd:
+            per_text = [self.frequencies(texts[i]) for i in odd]
+            names = list(set().union(*per_text))
+            pieces = dict(zip(names, self.known.values(names, self.learn)))
+            for i, frequency in zip(odd, per_text):
+                out[i] = sum(n * pieces[token] for token, n in frequency.items())
+        skip = set(odd)
+        even = [i for i in range(len(texts)) if i not in skip]
+        if even:
+            first, rest = zip(*(texts[i].partition(b" ")[::2] for i in even))
+            has_rest = [b" " in texts[i] for i in even]
+            words = pc.split_pattern(pa.array([r if h else None for r, h in zip(rest, has_rest)], pa.binary()), b" ")
+            coded = words.flatten().dictionary_encode()
+            counts = np.array(self.known.values(coded.dictionary.to_pylist(), self.learn), np.int64)
+            upto = np.concatenate([[0], np.cumsum(counts[coded.indices.to_numpy()])])
+            offsets = words.offsets.to_numpy()
+            sums = upto[offsets[1:]] - upto[offsets[:-1]]
+            names = list({f.decode("utf-8", "replace") for f in first if f})
+            bare = dict(zip(names, self.known.values(names, self.learn)))
+            for i, f, s in zip(even, first, sums.tolist()):
+                out[i] = s + (bare[f.decode("utf-8", "replace")] if f else 0)
+        return out
 
 
 def special_strings(tokenizer_json: str) -> list[str]:
@@ -110,28 +155,11 @@ def count_tokens(
     """
     with open(tokenizer_path, encoding="utf-8") as file:
         content = file.read()
-    special = special_strings(content)
-
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = PieceCounter(content)
-        find = re.compile(PRE_TOKEN).findall
-        parts = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")").split
-        any_special = [s.encode() for s in special]
-
-        def pre_tokens(data: bytes) -> Counter:
-            string = data.decode("utf-8", "replace")
-            if not any(s in data for s in any_special):
-                return Counter(find(string))
-            found = Counter()
-            for i, part in enumerate(parts(string)):
-                found.update([part] if i % 2 else find(part))
-            return found
-
         for batch in slices(batches, "_data", BATCH_BYTES):
             texts = batch.column("_data").to_pylist()
-            frequencies = [pre_tokens(data) for data in texts]
-            pieces = counter.pieces(set().union(*frequencies))
-            totals = [sum(n * pieces[token] for token, n in frequency.items()) for frequency in frequencies]
+            totals = counter.totals(texts)
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(k) for k in keep),
