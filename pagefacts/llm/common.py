@@ -75,6 +75,10 @@ class Remembered:
         self.state = held.setdefault(name, {"new": {}, "old": {}})
         self.most = most
 
+    def peek(self, word):
+        value = self.state["new"].get(word)
+        return self.state["old"].get(word) if value is None else value
+
     def values(self, words: list, learn) -> list:
         """The value of each word; ``learn`` makes those of a list of words not remembered."""
         new, old = self.state["new"], self.state["old"]

@@ -12,7 +12,6 @@ from __future__ import annotations
 import bisect
 import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -30,11 +29,10 @@ TIERS = (512, 1024, 2048, 4096)
 END = 2
 POOL = 256  # rests a tier holds before it is packed
 STEP_TOKENS = 1 << 18
-KNOWN_MAX = 1_000_000  # words whose ids a Python worker remembers
+KNOWN_MAX = 1_600_000  # words whose ids a Python worker remembers
 KNOWN_BYTES = 48
 BATCH_BYTES = 12_000_000
-# Letters, then one or a few of these signs: two pre-tokens, whatever follows.
-ENDING = re.compile(r"(\w+)([.,;:!?*$%&#]{1,4})")
+SIGNS = frozenset(".,;:!?*$%&#|")  # one of them after letters is a pre-token of its own
 PIECES = pa.schema(
     [
         ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
@@ -85,23 +83,27 @@ class Encoder:
     def learn(self, fresh: list[bytes]) -> list[bytes]:
         """Ids of each of some different words."""
         out: list[bytes] = [b""] * len(fresh)
-        letters: dict[str, list[tuple[int, str]]] = {}
+        stems: dict[str, int] = {}
+        parts: list[tuple[int, int, str]] = []
         for i, word in enumerate(fresh):
             string = word.decode("utf-8", "replace")
-            if string.isalpha() and len(word) <= KNOWN_BYTES:
-                letters.setdefault(string, []).append((i, ""))
-            elif (cut := ENDING.fullmatch(string)) and cut[1].lower().isalpha() and len(word) <= KNOWN_BYTES:
-                letters.setdefault(cut[1], []).append((i, cut[2]))
+            stem, sign = string, ""
+            if not string.isalpha() and string[-1:] in SIGNS:
+                stem, sign = string[:-1], string[-1]
+            if stem.isalpha() and len(word) <= KNOWN_BYTES and (not sign or stem.lower().isalpha()):
+                parts.append((i, stems.setdefault(stem, len(stems)), sign))
             elif word:
                 out[i] = self.encoded(string)
-        strings = list(letters)
-        for at in range(0, len(strings), 500):
-            some = strings[at : at + 500]
-            for string, data in zip(some, self.of_letters(some)):
-                for i, sign in letters[string]:
-                    if sign and sign not in self.signs:
-                        self.signs[sign] = self.encoded(sign)
-                    out[i] = data + self.signs[sign] if sign else data
+        found: list[bytes | None] = [self.known.peek(stem.encode()) for stem in stems]
+        new = [(k, stem) for stem, k in stems.items() if found[k] is None]
+        for at in range(0, len(new), 1000):
+            some = new[at : at + 1000]
+            for (k, _), data in zip(some, self.of_letters([stem for _, stem in some])):
+                found[k] = data
+        for sign in {sign for _, _, sign in parts if sign and sign not in self.signs}:
+            self.signs[sign] = self.encoded(sign)
+        for i, k, sign in parts:
+            out[i] = found[k] + self.signs[sign] if sign else found[k]
         return out
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
