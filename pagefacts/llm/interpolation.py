@@ -14,7 +14,6 @@ below 1e-5 in ten million words.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -27,33 +26,34 @@ from . import common
 from .common import words_of
 from .superminhash import GOLDEN, mixed
 
-CHUNK_BYTES = 8_000_000  # text of a chunk
+CHUNK_BYTES = 6_000_000  # text of a chunk
 SHARD_BYTES = 12_000_000  # text whose words and pairs one shard adds up
 FOLDS = 16  # one training text in so many is deleted for the mixture weights
 ROUNDS, NEAR = 25, 1e-6
 BUCKETS = 48  # by the binary logarithm of the context's count
 # Hashes that stand for the end and the start of a text.
 END, START = np.uint64(0x5EED0E4D5EED0E4D), np.uint64(0x5EED57A45EED57A4)
-WORD, PAIR, KNOWN, DELETED, TOTAL = range(5)  # kinds of rows
+WORD, PAIR, KNOWN, DELETED, TOTAL, VOCABULARY = range(6)  # kinds of rows
 ASKED = "kind int, shard int, chunk long, keys binary, n binary, m binary, h binary, w binary"
 ANSWERED = "kind int, chunk long, shard int, data binary, h long, w long, n long, m long"
 
 
 def hashed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tokens of all texts in a row as hashes (an end after each text), their contexts, and tokens per text."""
-    parts = [words_of(t) for t in texts]
-    index = {w: i for i, w in enumerate(dict.fromkeys(w for words in parts for w in words))}
+    index: dict[bytes, int] = {}
+    parts = []
+    for text in texts:
+        words = words_of(text)
+        for w in set(words).difference(index):
+            index[w] = len(index)
+        # The end gets its place when all words are known.
+        parts.append(np.fromiter(map(index.__getitem__, words), np.int32, len(words)))
+        parts.append(np.array([-1], np.int32))
     keys = np.empty(len(index), object)
     keys[:] = list(index)
     hashes = np.append(pd.util.hash_array(keys, categorize=False) if len(index) else np.empty(0, np.uint64), END)
-    end = len(index)
-    lengths = np.array([len(p) + 1 for p in parts], np.int64)
-    codes = np.empty(lengths.sum(), np.int64)
-    at = 0
-    for words in parts:
-        codes[at : at + len(words)] = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-        codes[at + len(words)] = end
-        at += len(words) + 1
+    lengths = np.array([len(p) + 1 for p in parts[::2]], np.int64)
+    codes = np.concatenate(parts) if parts else np.empty(0, np.int32)
     tokens = hashes[codes]
     before = np.empty_like(tokens)
     before[1:] = tokens[:-1]
@@ -75,6 +75,22 @@ def by_shard(keys: np.ndarray, shards: int) -> list[np.ndarray]:
     return [order[cuts[s] : cuts[s + 1]] for s in range(shards)]
 
 
+def packed_keys(kind: int, keys: np.ndarray) -> bytes:
+    """Words whole; of pairs the high 40 bits: a shard has some million pairs, so that one in a
+    million shares them with another."""
+    if kind == WORD:
+        return keys.astype("<u8").tobytes()
+    return np.ascontiguousarray((keys >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+
+
+def unpacked_keys(kind: int, data: bytes) -> np.ndarray:
+    if kind == WORD:
+        return np.frombuffer(data, "<u8")
+    out = np.zeros((len(data) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    return out.view("<u8").ravel()
+
+
 def small(x: np.ndarray) -> bytes:
     return x.astype("<u4").tobytes()
 
@@ -99,9 +115,9 @@ def questions(table: pa.Table, shards: int) -> pa.Table:
             if kind == PAIR:
                 taken = some[m[some] > 0]
                 h, w = before[first[taken]].tobytes(), tokens[first[taken]].tobytes()
-            rows.append((kind, s, chunk, keys[some].tobytes(), small(n[some]), small(m[some]), h, w))
+            rows.append((kind, s, chunk, packed_keys(kind, keys[some]), small(n[some]), small(m[some]), h, w))
     docs = table.column("_train").to_pylist(), table.column("_deleted").to_pylist()
-    rows.append((TOTAL, 0, chunk, np.array([train.sum(), deleted.sum(), sum(docs[0]), sum(docs[1])], "<i8").tobytes(), b"", b"", None, None))
+    rows.append((TOTAL, chunk % shards, chunk, np.array([train.sum(), deleted.sum(), sum(docs[0]), sum(docs[1])], "<i8").tobytes(), b"", b"", None, None))
     return pa.table(
         [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 5))],
         names=["kind", "shard", "chunk", "keys", "n", "m", "h", "w"],
@@ -111,7 +127,10 @@ def questions(table: pa.Table, shards: int) -> pa.Table:
 def answers(table: pa.Table) -> pa.Table:
     """What a shard sends back to each chunk, and what it found for the mixture weights."""
     kind, shard = table.column("kind")[0].as_py(), table.column("shard")[0].as_py()
-    chunks, asked = table.column("chunk").to_pylist(), [np.frombuffer(k, np.uint64) for k in table.column("keys").to_pylist()]
+    if kind == TOTAL:
+        sums = np.sum([np.frombuffer(k, "<i8") for k in table.column("keys").to_pylist()], 0)
+        return _table([(TOTAL, None, shard, None, *sums.tolist())])
+    chunks, asked = table.column("chunk").to_pylist(), [unpacked_keys(kind, k) for k in table.column("keys").to_pylist()]
     n_in, m_in = (np.concatenate([np.frombuffer(x, "<u4") for x in table.column(c).to_pylist()]) for c in "nm")
     keys, place = np.unique(np.concatenate(asked), return_inverse=True)
     n = np.bincount(place, n_in, len(keys)).astype(np.int64)
@@ -124,17 +143,21 @@ def answers(table: pa.Table) -> pa.Table:
         at += len(k)
     blocks = [out]
     if kind == WORD:
-        out.append((TOTAL, None, shard, None, None, None, int((n > 0).sum()), int((left > 0).sum())))
+        out.append((VOCABULARY, None, shard, None, None, None, int((n > 0).sum()), int((left > 0).sum())))
         some = np.flatnonzero(m)
         blocks.append(_columns(KNOWN, shard, keys[some].view(np.int64), None, left[some], None))
     else:
         h, w = (np.concatenate([np.frombuffer(x, np.uint64) for x in table.column(c).to_pylist()]) for c in "hw")
         counted = m_in > 0
         blocks.append(_columns(DELETED, shard, h.view(np.int64), w.view(np.int64), m_in[counted].astype(np.int64), left[place[counted]]))
+    first = _table(out)
+    return pa.concat_tables([first, *(b.cast(first.schema) for b in blocks[1:])])
+
+
+def _table(rows: list[tuple]) -> pa.Table:
     types = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
     names = ["kind", "chunk", "shard", "data", "h", "w", "n", "m"]
-    first = pa.table([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
-    return pa.concat_tables([first, *(b.cast(first.schema) for b in blocks[1:])])
+    return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
 
 def _columns(kind: int, shard: int, h, w, n, m) -> pa.Table:
@@ -231,13 +254,10 @@ def score_texts(docs: DataFrame, held_out: Column, text: str = "text") -> DataFr
         (~held_out & (F.pmod(F.xxhash64("doc_id", F.lit("deleted")), F.lit(FOLDS)) == 0)).alias("_deleted"),
         data.alias("_data"),
     )
-    asked = common.staged(rows.groupBy("_chunk").applyInArrow(lambda t: questions(t, shards), ASKED), "lm-asked")
-    told = common.staged(asked.filter(f"kind <> {TOTAL}").groupBy("kind", "shard").applyInArrow(answers, ANSWERED), "lm-answered")
-
-    counts = np.zeros(4, np.int64)
-    sums = asked.filter(f"kind = {TOTAL}").select("keys").mapInArrow(_added, "a long, b long, c long, d long").agg(*(F.sum(c) for c in "abcd")).first()
-    counts += [v or 0 for v in sums]
-    vocabulary = told.filter(f"kind = {TOTAL}").agg(F.sum("n"), F.sum("m")).first()
+    asked = rows.groupBy("_chunk").applyInArrow(lambda t: questions(t, shards), ASKED)
+    told = common.staged(asked.groupBy("kind", "shard").applyInArrow(answers, ANSWERED), "lm-answered")
+    counts = told.filter(f"kind = {TOTAL}").agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("h", "w", "n", "m"))).first()
+    vocabulary = told.filter(f"kind = {VOCABULARY}").agg(F.sum("n"), F.sum("m")).first()
     n, gone, texts, texts_gone = (int(v) for v in counts)
     facts = {"tokens": n, "words": int(vocabulary[0] or 0), "texts": texts}
 
@@ -277,14 +297,6 @@ def score_texts(docs: DataFrame, held_out: Column, text: str = "text") -> DataFr
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
-def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(4, np.int64)
-    for batch in batches:
-        for blob in batch.column("keys").to_pylist():
-            total += np.frombuffer(blob, "<i8")
-    yield pa.RecordBatch.from_pydict({c: [int(v)] for c, v in zip("abcd", total)})
-
-
 def op4_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.read(spark, sf_dir, "documents")
     return score_texts(docs, common.crc_mod(F.col("doc_id"), 5) == 1)
