@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from . import common
 from .common import slices, words_of
 
-SLOTS, ROWS = 128, 4  # 32 bands: a pair at 0.8 is missed once in 20 million times
+SLOTS, ROWS = 192, 6  # 32 bands: a pair at 0.8 is missed 6 times in 100,000, at 0.85 3 in 10 million
 BLOCK = 8192  # shingles worked on at once
-SLACK = 0.2  # a sketch this far below the threshold (over five deviations) is hopeless
+SLACK = 0.1  # a sketch this far below the threshold (near four deviations) is hopeless
+ROUNDS = 6  # rounds in which each open bucket compares one more of its nodes with all others
 BATCH_BYTES = 4_000_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -210,9 +211,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", width: int = 5, thresho
     with nothing. Rows with a null doc_id take part; their group's id is the least known one,
     and they are kept only where none is known.
 
-    In each band bucket all nodes are compared with its first and its last. Where that leaves
-    a bucket in several components, the nodes outside its largest one are compared with all
-    of other components, so that no link that could join groups is lost to the bucket's size.
+    In each band bucket all nodes are compared with its first and its last. While that leaves
+    a bucket in several components, one more of its nodes is compared with those of the other
+    components, as long as rounds find links; at last the nodes outside the largest component
+    are compared with all of other components. So no link that could join groups is lost to
+    a bucket's size, and a large group of copies costs a few times its number of rows.
     """
     rows = common.staged(signed(docs, text, width, keep), "signed")
     nodes = rows.filter("n_shingles > 0").groupBy("digest").agg(
@@ -234,16 +237,34 @@ def near_duplicates(docs: DataFrame, text: str = "text", width: int = 5, thresho
     chosen = one_text.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("digest").alias("digest"))
     texts = _texts(docs, text, chosen, width)
     links = common.staged(verified(stars, texts, threshold, width), "verified")
-    found = components(links)
-    placed = members.select("bucket", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = common.staged(placed, "placed")
-    open_ = placed.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 < c1").select("bucket")
-    parts = placed.join(open_, "bucket").groupBy("bucket", "component").agg(F.count("*").alias("n"))
+
+    def placed() -> DataFrame:
+        """Members of the buckets that still hold several components."""
+        found = components(links)
+        rows = members.select("bucket", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        rows = common.staged(rows, "placed")
+        several = rows.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 < c1")
+        return common.staged(rows.join(several.select("bucket"), "bucket"), "open")
+
+    done, rest = stars, placed()
+    for turn in range(ROUNDS):
+        # Another node of each open bucket, in no order of its own, meets the other components.
+        draw = F.min(F.struct(F.xxhash64("node", F.lit(turn)), F.col("node").alias("x"), F.col("component").alias("cx"))).alias("one")
+        one = rest.groupBy("bucket").agg(draw).select("bucket", "one.x", "one.cx")
+        met = rest.join(one, "bucket").filter("component <> cx").select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b"))
+        met = common.staged(promising(met.distinct().join(done, ["a", "b"], "left_anti"), nodes, threshold), "met")
+        more = common.staged(verified(met, texts, threshold, width), "verified")
+        done = done.unionByName(met)
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+        rest = placed()
+    parts = rest.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     major = parts.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("m")).select("bucket", F.col("m.component").alias("major"))
-    rest = placed.join(major, "bucket")
+    rest = rest.join(major, "bucket")
     minor = rest.filter("component <> major").select("bucket", F.col("node").alias("x"), F.col("component").alias("cx"))
     across = rest.join(minor, "bucket").filter("component <> cx").select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b"))
-    across = common.staged(promising(across.distinct().join(stars, ["a", "b"], "left_anti"), nodes, threshold), "across")
+    across = common.staged(promising(across.distinct().join(done, ["a", "b"], "left_anti"), nodes, threshold), "across")
     more = verified(across, texts, threshold, width)
     groups = components(links.unionByName(common.staged(more, "verified")))
     named = nodes.select("node", "digest", "first_id").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
