@@ -9,7 +9,6 @@ import __spark_entry__ as entry
 from pagefacts.functions import nodes as N
 from pagefacts.operators import gate, jobs, links
 from pagefacts.plans import skew
-from pagefacts.plans.spread import spread
 from pagefacts.session import shared_folder
 
 
@@ -122,9 +121,9 @@ def test_hot_keys_are_counted_once_or_not_at_all(spark):
     assert final.count("Join") == 1
 
 
-def test_spread_only_widens(spark, pages):
-    assert "Exchange" in plan_of(spread(pages.coalesce(1)))
-    assert "Exchange" not in plan_of(spread(spark.range(0, 100, 1, 64)))
+def test_pages_are_not_dealt_out_behind_the_caller(spark, sf_dir):
+    for name in ("card_job_join", "job_record", "anchors"):
+        assert "RoundRobinPartitioning" not in plan_of(entry.queries()[name](spark, sf_dir))
 
 
 def test_nodes_are_read_once_per_page(spark, pages):
