@@ -86,9 +86,10 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         parts = active.select("query_id", F.posexplode("code").alias("part", "_v"))
         probe = parts.select("query_id", "part", F.explode(F.lit(probes)).alias("_mask"), "_v")
         probe = probe.select("query_id", "part", F.col("_v").bitwiseXOR(F.col("_mask")).alias("value"))
-        met = probe.join(index, ["part", "value"]).select("query_id", "entry").distinct()
+        # Probes are many more than their plan's size says: neither side is sent to all tasks.
+        met = probe.join(index.hint("merge"), ["part", "value"]).select("query_id", "entry").distinct()
         if found is not None:
-            met = met.join(found.select("query_id", "entry"), ["query_id", "entry"], "left_anti")
+            met = met.join(found.select("query_id", "entry").hint("merge"), ["query_id", "entry"], "left_anti")
         new = met.join(entries, "entry").join(active.withColumnRenamed("code", "_code"), "query_id")
         new = new.select("query_id", "entry", "m", distance(F.col("code"), F.col("_code")).alias("distance"))
         found = common.staged(_union(found, new), "mih-found")
@@ -99,7 +100,7 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         active = common.staged(active.join(proven, "query_id", "left_anti"), "mih-active")
     if found is None:
         return _empty(spark, codes, queries)
-    rows = found.dropDuplicates(["query_id", "entry"]).join(entries.select("entry", "code"), "entry").join(few, "code")
+    rows = found.dropDuplicates(["query_id", "entry"]).join(entries.select("entry", "code").hint("merge"), "entry").join(few.hint("merge"), "code")
     best = first_k(rows.select("query_id", "distance", "id", "_id"), "query_id", k, "distance", "_id")
     return best.select("query_id", "rank", "id", "distance")
 
