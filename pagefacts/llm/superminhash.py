@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -170,6 +170,40 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float, width: int) -
     return rows.mapInArrow(confirm, "a long, b long")
 
 
+def crossing(nodes: DataFrame, texts: DataFrame, threshold: float, width: int) -> DataFrame:
+    """Pairs (a, b) of nodes of different components whose sets can reach the threshold.
+
+    Only shingles held in several components count. Of sets ordered by one rule, rarest first,
+    two that reach the threshold share one among the first few of each (the prefix filter), and
+    its places bound what they can have in common. Nodes whose own shingles alone fill the first
+    few meet nothing. No pair that reaches the threshold is left out.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "_data", BATCH_BYTES):
+            sets = sets_of(batch.column("_data").to_pylist(), width)
+            sizes = np.array([len(x) for x in sets], np.int64)
+            held = [pa.array(np.repeat(np.asarray(batch.column(k)), sizes)) for k in ("node", "component")]
+            items = np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*held, pa.array(np.repeat(sizes, sizes)), pa.array(items)], names=["node", "component", "n", "item"])
+
+    percent = round(100 * threshold)
+    items = texts.join(nodes, "node").select("node", "component", "_data").mapInArrow(work, "node long, component long, n long, item long")
+    items = common.staged(items, "items")
+    counts = F.count("*").alias("holders"), F.min("component").alias("c0"), F.max("component").alias("c1")
+    several = items.groupBy("item").agg(*counts).filter("c0 < c1").select("item", "holders")
+    one = Window.partitionBy("node")
+    rows = items.join(several, "item").withColumn("place", F.row_number().over(one.orderBy("holders", "item"))).withColumn("held", F.count("*").over(one))
+    # Shingles of its own component only come first; of n, all but the least overlap and one more are looked at.
+    first = F.expr(f"n - ({percent} * n + 99) div 100 + 1")
+    rows = common.staged(rows.filter(F.col("n") - F.col("held") + F.col("place") <= first), "prefixes")
+    x, y = (rows.select("item", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "component", "n", "place", "held"))) for k in "xy")
+    most = F.least("place_x", "place_y") + F.least(F.col("held_x") - F.col("place_x"), F.col("held_y") - F.col("place_y"))
+    can = (100 + percent) * most >= percent * (F.col("n_x") + F.col("n_y"))
+    met = x.join(y, (x["item"] == y["item"]) & (F.col("node_x") < F.col("node_y")) & (F.col("component_x") != F.col("component_y")) & can)
+    return met.select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and its component's least node, for nodes of ``links`` (a, b).
 
@@ -213,8 +247,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", width: int = 5, thresho
 
     In each band bucket all nodes are compared with its first and its last. While that leaves
     a bucket in several components, one more of its nodes is compared with those of the other
-    components, as long as rounds find links; at last the nodes outside the largest component
-    are compared with all of other components. So no link that could join groups is lost to
+    components, as long as rounds find links; at last ``crossing`` gives all pairs of such
+    buckets that can still link components. So no link that could join groups is lost to
     a bucket's size, and a large group of copies costs a few times its number of rows.
     """
     rows = common.staged(signed(docs, text, width, keep), "signed")
@@ -259,12 +293,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", width: int = 5, thresho
             break
         links = links.unionByName(more)
         rest = placed()
-    parts = rest.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    major = parts.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("m")).select("bucket", F.col("m.component").alias("major"))
-    rest = rest.join(major, "bucket")
-    minor = rest.filter("component <> major").select("bucket", F.col("node").alias("x"), F.col("component").alias("cx"))
-    across = rest.join(minor, "bucket").filter("component <> cx").select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b"))
-    across = common.staged(promising(across.distinct().join(done, ["a", "b"], "left_anti"), nodes, threshold), "across")
+    nodes_left = rest.select("node", "component").distinct()
+    across = crossing(nodes_left, texts, threshold, width).join(done, ["a", "b"], "left_anti")
+    across = common.staged(promising(across, nodes, threshold), "across")
     more = verified(across, texts, threshold, width)
     groups = components(links.unionByName(common.staged(more, "verified")))
     named = nodes.select("node", "digest", "first_id").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -162,6 +162,28 @@ def test_near_duplicates_match_brute_force(docs):
     assert all(r.n_shingles == len(sets[r.doc_id]) and r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_crossing_leaves_out_no_pair_that_reaches_the_threshold(spark):
+    rng = np.random.default_rng(8)
+    base = [f"b{i}" for i in range(60)]
+    texts = []
+    for i in range(90):  # copies just above and just below the threshold, of three bases
+        w = [f"{'xyz'[i % 3]}{x}" if i % 3 else x for x in base]
+        for k in rng.choice(60, rng.integers(0, 5), replace=False):
+            w[k] = f"new{rng.integers(0, 40)}"
+        texts.append(" ".join(w[: rng.integers(50, 61)]))
+    texts += ["one", "one", "one two", ""]
+    nodes = spark.createDataFrame([(i, i % 17) for i in range(len(texts))], "node long, component long")
+    rows = spark.createDataFrame([(i, t.encode()) for i, t in enumerate(texts)], "node long, _data binary")
+    sets = [set(x.tolist()) for x in superminhash.sets_of([t.encode() for t in texts], 3)]
+    want = {
+        (a, b) for b in range(len(sets)) for a in range(b)
+        if a % 17 != b % 17 and sets[a] & sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])
+    }
+    got = [tuple(r) for r in superminhash.crossing(nodes, rows, 0.85, 3).collect()]
+    assert len(got) == len(set(got)) and want <= set(got) and len(want) > 20
+    assert len(got) < sum(a % 17 != b % 17 for b in range(len(sets)) for a in range(b)) / 2
+
+
 def test_near_duplicates_of_odd_rows(spark, odd):
     got = Counter((r.doc_id, r.component_id, r.kept) for r in superminhash.near_duplicates(odd).collect())
     assert got[3, 3, True] == 2 and got[None, 3, False] == 1 and got[2, 2, True] == 1 and got[1, 1, True] == 1
