@@ -3,7 +3,9 @@
 Codes are cut into segments of about log2(n) bits, each with its own index. A query probes
 all segment values at radius 0, then 1, 2, ...: when radius r is done in all S segments,
 every code within S * (r + 1) - 1 bits has been met. A query ends as soon as its k-th
-verified distance is within that bound, so the result is exact.
+verified distance is within that bound, so the result is exact. With radius r done in all
+segments and r + 1 in ``a`` of them, the bound is S * (r + 1) + a - 1: a query that knows its
+k-th distance so far probes only as many segments as the proof still needs.
 """
 
 from __future__ import annotations
@@ -73,7 +75,7 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     entries = common.staged(entries.withColumn("entry", F.monotonically_increasing_id()), "mih-entries")
     index = common.staged(entries.select("entry", F.posexplode("code").alias("part", "value")), "mih-index")
     total = entries.count()
-    active = common.staged(cut(queries, "query_id").dropDuplicates(["query_id"]), "mih-queries")
+    active = common.staged(cut(queries, "query_id").dropDuplicates(["query_id"]).withColumn("need", F.lit(count)), "mih-queries")
     found = None
     for radius in range(size + 1):
         left = active.count()
@@ -83,21 +85,23 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         if len(probes) * count > total:
             found = _union(found, _all_codes(active, entries))
             break
-        parts = active.select("query_id", F.posexplode("code").alias("part", "_v"))
+        parts = active.select("query_id", "need", F.posexplode("code").alias("part", "_v")).filter("part < need")
         probe = parts.select("query_id", "part", F.explode(F.lit(probes)).alias("_mask"), "_v")
         probe = probe.select("query_id", "part", F.col("_v").bitwiseXOR(F.col("_mask")).alias("value"))
         # Probes are many more than their plan's size says: neither side is sent to all tasks.
         met = probe.join(index.hint("merge"), ["part", "value"]).select("query_id", "entry").distinct()
         if found is not None:
             met = met.join(found.select("query_id", "entry").hint("merge"), ["query_id", "entry"], "left_anti")
-        new = met.join(entries, "entry").join(active.withColumnRenamed("code", "_code"), "query_id")
+        new = met.join(entries, "entry").join(active.select("query_id", F.col("code").alias("_code")), "query_id")
         new = new.select("query_id", "entry", "m", distance(F.col("code"), F.col("_code")).alias("distance"))
         found = common.staged(_union(found, new), "mih-found")
         # A query's distances are at most as many as the bits.
         upto = F.sum("m").over(Window.partitionBy("query_id").orderBy("distance"))
         kth = found.groupBy("query_id", "distance").agg(F.sum("m").alias("m")).withColumn("m", upto)
-        proven = kth.filter((F.col("m") >= k) & (F.col("distance") <= count * (radius + 1) - 1)).select("query_id").distinct()
-        active = common.staged(active.join(proven, "query_id", "left_anti"), "mih-active")
+        reached = kth.filter(F.col("m") >= k).groupBy("query_id").agg(F.min("distance").alias("reached"))
+        active = active.join(reached, "query_id", "left").filter(F.col("reached").isNull() | (F.col("reached") > count * radius + F.col("need") - 1))
+        need = F.least(F.lit(count), F.coalesce(F.col("reached") - count * (radius + 1) + 1, F.lit(count)))
+        active = common.staged(active.select("query_id", "code", need.alias("need")), "mih-active")
     if found is None:
         return _empty(spark, codes, queries)
     rows = found.dropDuplicates(["query_id", "entry"]).join(entries.select("entry", "code").hint("merge"), "entry").join(few.hint("merge"), "code")
