@@ -3,8 +3,10 @@
 An Arrow UDF turns HTML into ``STRUCT<text, nodes>``. ``text`` is the page's text without
 scripts, styles and hidden parts; each node is an element with its place in document order
 and the range of ``text`` it covers. A node's subtree is a contiguous slice of ``nodes``
-and its text a substring of ``text``, so the output is linear in the page and everything
-after it (selectors, fields, sections, titles) is Spark expressions on one row.
+and its text a slice of ``chunks``, the pieces of ``text`` between tags: reading it costs
+its own length, where a substring would walk the page from its start. So the output is
+linear in the page and everything after it (selectors, fields, sections, titles) is Spark
+expressions on one row.
 """
 
 from __future__ import annotations
@@ -103,11 +105,15 @@ NODE_FIELDS = [
     ("text_start", "int"), ("text_end", "int"),    # the same without blanks at the ends
     ("tag", "string"), ("id", "string"), ("cls", "string"), ("role", "string"),
     ("href", "string"), ("property", "string"), ("content", "string"),
+    ("chunk", "int"), ("n_chunks", "int"),         # range of chunks
 ]
 _SPARK = {"int": T.IntegerType(), "string": T.StringType()}
 NODE_TYPE = T.StructType([T.StructField(n, _SPARK[t]) for n, t in NODE_FIELDS])
 DOC_TYPE = T.StructType(
-    [T.StructField("text", T.StringType()), T.StructField("nodes", T.ArrayType(NODE_TYPE))]
+    [
+        T.StructField("text", T.StringType()), T.StructField("nodes", T.ArrayType(NODE_TYPE)),
+        T.StructField("chunks", T.ArrayType(T.StringType())),
+    ]
 )
 _ARROW = {"int": pa.int32(), "string": pa.string()}
 
@@ -157,6 +163,12 @@ def _look(tag, attr_text, drop_hidden):
 
 def read_page(source, looks=None, drop_hidden=True):
     """Text and node rows of one page. ``looks`` remembers start tags from page to page."""
+    chunks, rows = read_chunks(source, looks, drop_hidden)
+    return "".join(chunks), rows
+
+
+def read_chunks(source, looks=None, drop_hidden=True):
+    """As ``read_page``, the text in its chunks."""
     looks = {} if looks is None else looks
     rows, chunks, starts = [], [], []
     length = at = 0
@@ -254,11 +266,11 @@ def read_page(source, looks=None, drop_hidden=True):
     if top[4] is not None:
         top[4][4] = len(rows) + 1
     _trim_ranges(rows, chunks, starts, length)
-    return "".join(chunks), rows
+    return chunks, rows
 
 
 def _trim_ranges(rows, chunks, starts, length):
-    """Turn the chunk numbers of each row into its text range without outer blanks."""
+    """Turn the chunk numbers of each row into its text range without outer blanks; they move to its end."""
     n = len(chunks)
     # Where the next text that is not blank starts, and where the last one ended.
     ahead, behind = [length] * (n + 1), [0] * (n + 1)
@@ -269,6 +281,7 @@ def _trim_ranges(rows, chunks, starts, length):
         kept = len(chunks[i].rstrip(BLANKS))
         behind[i + 1] = starts[i] + kept if kept else behind[i]
     for row in rows:
+        row += row[10], row[11] - row[10]
         first, last = ahead[row[10]], behind[row[11]]
         if first >= last:
             first = last = row[8]
@@ -277,10 +290,11 @@ def _trim_ranges(rows, chunks, starts, length):
 
 def _parse_batch(pages, drop_hidden):
     columns = [[] for _ in NODE_FIELDS]
-    texts, offsets, looks = [], [0], {}
+    texts, pieces, offsets, looks = [], [], [0], {}
     for source in pages.to_pylist():
-        text, rows = read_page(source or "", looks, drop_hidden)
-        texts.append(text)
+        chunks, rows = read_chunks(source or "", looks, drop_hidden)
+        texts.append("".join(chunks))
+        pieces.append(chunks)
         for column, values in zip(columns, zip(*rows)):
             column.extend(values)
         offsets.append(len(columns[0]))
@@ -289,8 +303,11 @@ def _parse_batch(pages, drop_hidden):
         names=[n for n, _ in NODE_FIELDS],
     )
     return pa.StructArray.from_arrays(
-        [pa.array(texts, pa.string()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), nodes)],
-        names=["text", "nodes"],
+        [
+            pa.array(texts, pa.string()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), nodes),
+            pa.array(pieces, pa.list_(pa.string())),
+        ],
+        names=["text", "nodes", "chunks"],
     )
 
 
@@ -316,9 +333,11 @@ def with_doc(pages: DataFrame, html: str = "html", drop_hidden: bool = True) ->
 def page_nodes(pages: DataFrame, keys=("page_id",), html: str = "html") -> DataFrame:
     """One row per element with its trimmed text."""
     doc = with_doc(pages.select(*keys, html), html)
-    return doc.select(*keys, "doc", F.explode("doc.nodes").alias("node")).select(
-        *keys, "node.*", node_text(F.col("doc"), F.col("node")).alias("text")
-    )
+    # Texts are taken before the explode, which would copy the page to each of its elements.
+    texts = F.transform("doc.nodes", lambda n: node_text(F.col("doc"), n)).alias("text")
+    pairs = doc.select(*keys, F.explode(F.arrays_zip(F.col("doc.nodes").alias("node"), texts)).alias("_one"))
+    fields = [F.col(f"_one.node.{n}") for n, _ in NODE_FIELDS if n not in ("chunk", "n_chunks")]
+    return pairs.select(*keys, *fields, F.col("_one.text").alias("text"))
 
 
 # --- reading a parsed page ------------------------------------------------------------
@@ -343,11 +362,11 @@ def is_within(node: Column, *names: str) -> Column:
 
 def node_text(doc: Column, node: Column) -> Column:
     """Trimmed text of an element."""
-    return F.substring(doc["text"], node["text_start"] + 1, node["text_end"] - node["text_start"])
+    return F.btrim(raw_text(doc, node), F.lit(BLANKS))
 
 
 def raw_text(doc: Column, node: Column) -> Column:
-    return F.substring(doc["text"], node["raw_start"] + 1, node["raw_end"] - node["raw_start"])
+    return F.array_join(F.slice(doc["chunks"], node["chunk"] + 1, node["n_chunks"]), "")
 
 
 def text_length(node: Column) -> Column:
