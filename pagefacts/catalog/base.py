@@ -111,12 +111,12 @@ FROM {part}
 
 # Fetch attempts of hosts: three per host, one of 22 kinds of outcome each.
 ATTEMPTS = """
-SELECT event_id, concat('h', CAST(floor(event_id / 3) AS BIGINT), '.example.net') AS host,
-  CAST(event_id % 3 AS INT) + 1 AS attempt, CAST(event_id % 22 AS INT) AS kind,
+SELECT event_id, concat('h', CAST(floor(event_id / 4) AS BIGINT), '.example.net') AS host,
+  CAST(event_id % 4 AS INT) + 1 AS attempt, CAST(event_id % 22 AS INT) AS kind,
   CAST(10 + event_id % 83 AS BIGINT) AS jobs, CAST(floor(event_id / 22) % 9 AS INT) AS wording,
   CAST(CASE event_id % 22 WHEN 0 THEN 499 WHEN 1 THEN 429 WHEN 4 THEN 404 WHEN 5 THEN 401 WHEN 6 THEN 403
     WHEN 7 THEN 503 WHEN 3 THEN NULL WHEN 21 THEN NULL ELSE 200 END AS INT) AS status_code,
-  CASE event_id % 22 WHEN 3 THEN 'AbortError: timeout' WHEN 21 THEN 'getaddrinfo ENOTFOUND' END AS error_message,
+  CASE event_id % 22 WHEN 3 THEN 'AbortError: timeout' WHEN 21 THEN 'connect timeout of proxy' END AS error_message,
   concat('<html><head><title>',
     CASE event_id % 22 WHEN 8 THEN '' WHEN 11 THEN 'SSO gateway' WHEN 18 THEN 'Open roles' ELSE 'Acme page' END,
     '</title><script>var a = "<form action=login>";</script></head><body>',
@@ -160,20 +160,20 @@ SELECT event_id, host, attempt,
     WHEN kind = 3 THEN 'Timeout' WHEN kind = 4 THEN 'Page not found' WHEN kind IN (5, 6) THEN 'Access denied'
     WHEN kind = 7 THEN 'Server error 503' WHEN kind = 8 THEN 'Empty page (likely requires auth)'
     WHEN kind BETWEEN 9 AND 13 THEN 'Requires login' WHEN kind IN (14, 15) THEN 'Page not found (in content)'
-    WHEN kind = 20 THEN 'No job elements found' WHEN kind = 21 THEN 'getaddrinfo ENOTFOUND' END AS error,
+    WHEN kind = 20 THEN 'No job elements found' WHEN kind = 21 THEN 'connect timeout of proxy' END AS error,
   CASE WHEN kind = 16 THEN jobs WHEN kind = 18 THEN 2 WHEN kind = 19 THEN 0 END AS total_jobs,
   kind IN (0, 1, 2, 3) AS retryable
 FROM {attempts}
 """
 
-# The deciding attempt of each host.
+# The deciding attempt of each host; a fourth one never counts.
 HOST_CHECKS = """
 SELECT host, attempt, status, error, total_jobs FROM (
   SELECT *, row_number() OVER (PARTITION BY host ORDER BY retryable,
-    CASE WHEN retryable THEN -attempt ELSE attempt END) AS rn FROM {verdicts}) WHERE rn = 1
+    CASE WHEN retryable THEN -attempt ELSE attempt END) AS rn FROM {verdicts} WHERE attempt <= 3) WHERE rn = 1
 """
 
-# Listing pages: a repeated card, a card without a link, a link without a leading slash.
+# Listing pages: hidden links and words, links for readers without scripts, a repeated card, a card without a link, a link without a leading slash.
 LISTING_PAGES = """
 SELECT c_custkey AS page_id, c_name, c_mktsegment, concat('https://board.example.net/careers/SearchJobs/?jobOffset=', c_custkey) AS url,
   concat('<html><body><script>var t = "<div class=article>";</script><main><div class="section__content__results">',
@@ -190,7 +190,9 @@ SELECT c_custkey AS page_id, c_name, c_mktsegment, concat('https://board.example
     '<div class="list__item__text__subtitle"><span class="list-item-workingTime">Part time</span></div></li></ul>',
     '<p>Showing 1-3 of ', 10 + c_custkey, ' results</p></main><nav><a href="/careers/SearchJobs/?jobOffset=', c_custkey + 20, '">Next</a>',
     '<a href="?jobOffset=', c_custkey, '">&lt;&lt; Prev</a><a href="#">', c_nationkey, '</a><a class=x href=''/careers/SearchJobs/?jobOffset=', c_custkey + 20,
-    '''>More</a><a href="?pageNumber=', c_nationkey, '&amp;x=1">', c_nationkey, '</a><a href="/careers/Login">Go back</a></nav></body></html>') AS html
+    '''>More</a><a href="?pageNumber=', c_nationkey, '&amp;x=1">', c_nationkey, '</a><a href="/careers/Login">Go back</a>',
+    '<div class="x visibility--hidden--visually"><a href="/careers/SearchJobs/?jobOffset=1">Hidden</a></div><noscript><a href="/n/?pageNumber=', c_custkey, '">Plain</a></noscript>',
+    '<a href="/b/?jobOffset=9">On<span class="visibility--hidden--visually"> back</span></a></nav></body></html>') AS html
 FROM {customer}
 """
 

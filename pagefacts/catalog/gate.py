@@ -76,6 +76,23 @@ def content_error_type(spark, sf_dir):
     return marked(spark, sf_dir).select("page_id", G.content_error_type(F.col("html")).alias("error_type"))
 
 
+# The same sentences in pages without a written body, with a body tag in a head script, and behind 6,000 characters.
+ODD_PAGES = f"""SELECT page_id, url, status_code, CASE page_id % 3 WHEN 0 THEN regexp_replace(html, '</?body>', '')
+  WHEN 1 THEN replace(html, '<head>', '<head><script>var t = "<body>x</body>";</script>')
+  ELSE replace(html, '<body>', concat('<body><p>', repeat('lorem ', 1000), '</p>')) END AS html FROM ({MARKED_PAGES})"""
+
+
+@add("content_error_type_odd", twin(f"SELECT page_id, {MARK_TYPES} AS error_type FROM {{marked}}", marked=MARKED_PAGES))
+def content_error_type_odd(spark, sf_dir):
+    return derived(spark, sf_dir, ODD_PAGES).select("page_id", G.content_error_type(F.col("html")).alias("error_type"))
+
+
+@add("content_error_type_5000", twin(f"SELECT page_id, CASE WHEN page_id % 3 < 2 THEN {MARK_TYPES} END AS error_type FROM {{marked}}", marked=MARKED_PAGES))
+def content_error_type_5000(spark, sf_dir):
+    pages = derived(spark, sf_dir, ODD_PAGES)
+    return pages.select("page_id", G.content_error_type(F.col("html"), text_limit=G.TEXT_LIMIT).alias("error_type"))
+
+
 FAILURES = """SELECT event_id, user_id, concat('https://h', user_id, '.example.net/') AS url, CASE event_type WHEN 'view' THEN concat('net::timeout after ', event_id)
   WHEN 'click' THEN 'connect ECONNREFUSED' WHEN 'error' THEN concat('getaddrinfo ENOTFOUND h', user_id) ELSE
   CASE WHEN event_id % 3 = 0 THEN 'bad certificate' WHEN event_id % 3 = 1 THEN 'Timeout' END END AS error_message FROM {events}"""
@@ -90,9 +107,7 @@ def fetch_error_type(spark, sf_dir):
 
 @add("failed_fetch_rows", twin(f"""
 SELECT f.event_id, f.url, CAST(NULL AS INT) AS status_code, ({FAILURE_TYPE}) AS error_type, f.error_message,
-  '<!DOCTYPE html>' || chr(10) || '<html>' || chr(10) || '<head><title>Request Failed</title></head>' || chr(10) || '<body>' || chr(10)
-  || '<h1>Request Failed</h1>' || chr(10) || '<p>The request to this URL failed completely.</p>' || chr(10) || '<p>Error: ' || f.error_message || '</p>'
-  || chr(10) || '</body>' || chr(10) || '</html>' AS html
+  '<title>No page</title><p>' || f.error_message || '</p>' AS html
 FROM {{failures}} f JOIN (SELECT event_id AS id, event_type FROM events) e ON e.id = f.event_id WHERE f.error_message IS NOT NULL""", failures=FAILURES))
 def failed_fetch_rows(spark, sf_dir):
     rows = G.failed_fetch_rows(derived(spark, sf_dir, FAILURES))

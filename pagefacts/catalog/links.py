@@ -68,7 +68,7 @@ def listing_cards(spark, sf_dir):
 
 @add("card_dedupe", f"SELECT * FROM ({CARDS}) WHERE pos <> 2")
 def card_dedupe(spark, sf_dir):
-    return links.card_dedupe(cards(spark, sf_dir).select("page_id", "pos", "url", "title"))
+    return links.page_cards(N.with_doc(listing(spark, sf_dir).select("page_id", "url", "html"))).select("page_id", "pos", "url", "title")
 
 
 @add("card_subtitles", """SELECT c_custkey AS page_id, 0 AS pos, 'location' AS key, c_mktsegment || ' Office' AS value FROM customer
@@ -80,7 +80,9 @@ def card_subtitles(spark, sf_dir):
 
 
 PAGINATION = """SELECT c_custkey AS page_id, 0 AS pos, 'https://board.example.net/careers/SearchJobs/?jobOffset=' || (c_custkey + 20) AS url, 'LISTING' AS label FROM customer
-UNION ALL SELECT c_custkey, 1, 'https://board.example.net/?pageNumber=' || c_nationkey || '&x=1', 'LISTING' FROM customer"""
+UNION ALL SELECT c_custkey, 1, 'https://board.example.net/?pageNumber=' || c_nationkey || '&x=1', 'LISTING' FROM customer
+UNION ALL SELECT c_custkey, 2, 'https://board.example.net/n/?pageNumber=' || c_custkey, 'LISTING' FROM customer
+UNION ALL SELECT c_custkey, 3, 'https://board.example.net/b/?jobOffset=9', 'LISTING' FROM customer"""
 
 
 @add("pagination_links", PAGINATION)
@@ -90,8 +92,10 @@ def pagination_links(spark, sf_dir):
 
 # The given pages with two job links and a search link, in place of what follows the nav.
 UNROUTED = """SELECT page_id, url, replace(html, '</nav>', concat('<a href="/x/JobDetail/a/', page_id, '">j</a><a href=''JobDetail/', page_id, '/2''>j2</a>',
-  '<a data-href="/JobDetail/z/1" href="/x/JobDetail/a/', page_id, '">again</a><a href="https://h.example.net/SearchJobs">s</a></nav>')) AS html FROM {pages}"""
-FALLBACK_JOBS = f"""SELECT page_id, 0 AS pos, {sql_base('url')} || '/x/JobDetail/a/' || page_id AS url, 'JOB_DETAIL' AS label FROM pages"""
+  '<a data-href="/JobDetail/z/1" href="/x/JobDetail/a/', page_id, '">again</a><p class="visibility--hidden--visually"><a href="/x/JobDetail/h/1">h</a></p>',
+  '<noscript><a href="/x/JobDetail/n/', page_id, '">n</a></noscript><a href="https://h.example.net/SearchJobs">s</a></nav>')) AS html FROM {pages}"""
+FALLBACK_JOBS = f"""SELECT page_id, 0 AS pos, {sql_base('url')} || '/x/JobDetail/a/' || page_id AS url, 'JOB_DETAIL' AS label FROM pages
+UNION ALL SELECT page_id, 1, {sql_base('url')} || '/x/JobDetail/n/' || page_id, 'JOB_DETAIL' FROM pages"""
 FALLBACK_LISTING = "SELECT page_id, 0 AS pos, 'https://h.example.net/SearchJobs' AS url, 'LISTING' AS label FROM pages"
 
 

@@ -5,18 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import WS, decode_entities, let, trim
+from .text import decode_entities, let, trim
 
 TITLE = "(?i)<title[^>]*>([^<]*)</title>"
 BODY = "(?is)<body[^>]*>(.*?)</body>"
-OPEN_BODY = r"(?is)<body[^>]*>(.*?)(?:</body\s*>|\z)"
+# All before the body's own tag: text, comments, elements whose content is no markup, other tags.
+# Possessive throughout, so that a page costs one pass.
+HEAD_PART = r"(?:[^<]++|<!--.*?-->|<(script|style|title)\b[^>]*+>.*?</\1\s*+>|<(?!body[\s>/]))*+"
+BEFORE_BODY = rf"(?is)^{HEAD_PART}<body[^>]*+>"
+HEAD_END = r"(?is)^.*?</head\s*>"
+BODY_END = r"(?is)</body\s*>.*"
 TAG = "<[^>]+>"
 COMMENT = "(?s)<!--.*?-->"
 
-# Attributes of an opening tag, up to the '>' that really ends it. Possessive, so that
-# a broken tag costs one pass and not exponentially many.
-ATTRIBUTES = "((?:[^>=]++|=[ \\t\\r\\n]*+(?:\"[^\"]*+\"|'[^']*+'|))*+)"
-
 
 def title_text(html: Column) -> Column:
     return trim(F.regexp_extract(html, TITLE, 1))
@@ -39,53 +40,33 @@ def visible_markup(html: Column) -> Column:
     return strip_comments(strip_scripts(html))
 
 
+def body_markup(html: Column) -> Column:
+    """What a browser takes for the inside of the body; a body tag in a head's script is none."""
+
+    def inner(rest: Column) -> Column:
+        unwritten = F.length(rest) == F.length(html)
+        return F.when(unwritten, F.regexp_replace(html, HEAD_END, "")).otherwise(rest)
+
+    return F.regexp_replace(let(F.regexp_replace(html, BEFORE_BODY, ""), inner), BODY_END, "")
+
+
 def body_text(html: Column, mode: str = "tags", limit: int | None = None) -> Column:
     """Text of the body element.
 
     ``tags`` puts a blank in place of every tag and keeps character references;
     ``content`` joins the text as a browser's ``textContent`` does, decodes them and does not
-    need an end tag.
-    Script text counts in both.
+    need a written body: without its tag all behind the head counts, without a head the page.
+    Script text of the body counts in both.
     """
     if mode == "tags":
         text = F.regexp_replace(F.regexp_extract(html, BODY, 1), TAG, " ")
     elif mode == "content":
-        inner = F.regexp_extract(html, OPEN_BODY, 1)
-        text = decode_entities(F.regexp_replace(strip_comments(inner), TAG, ""))
+        text = decode_entities(F.regexp_replace(strip_comments(body_markup(html)), TAG, ""))
     else:
         raise ValueError(f"unknown mode: {mode}")
     return text if limit is None else F.substring(text, 1, limit)
 
 
-def attribute(tag_attrs: Column, name: str) -> Column:
-    """Value of one attribute out of the text between tag name and '>'; null if absent."""
-    pattern = rf"""(?i)(?:^|[\s"'/]){name}{WS}*={WS}*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-
-    def unquoted(raw: Column) -> Column:
-        quoted = raw.startswith('"') | raw.startswith("'")
-        value = F.when(quoted, F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
-        return F.when(raw != "", decode_entities(value))
-
-    return let(F.regexp_extract(tag_attrs, pattern, 1), unquoted)
-
-
-def anchor_pieces(html: Column) -> Column:
-    """One array entry per ``<a ...>``, holding everything up to the next one."""
-    return F.slice(
-        F.split(visible_markup(html), r"(?i)<a(?=[\s>])"), F.lit(2), F.lit(1 << 30)
-    )
-
-
-def piece_href(piece: Column) -> Column:
-    return attribute(F.regexp_extract(piece, "^" + ATTRIBUTES + ">", 1), "href")
-
-
-def piece_text(piece: Column) -> Column:
-    """Text of the anchor: up to its end tag, or to the end of the piece."""
-    inner = F.regexp_extract(piece, "(?is)^" + ATTRIBUTES + r">(.*?)(?:</a[\s>]|$)", 2)
-    return trim(decode_entities(F.regexp_replace(inner, TAG, "")))
-
-
 def attribute_pattern(tag: str, name: str, part: str, whole: bool = False) -> str:
     """Regex for a ``<tag>`` with an attribute that contains (or is) the literal part."""
     if whole:

@@ -128,6 +128,8 @@ _TOKEN = re.compile(
 )
 _ATTR = re.compile(r"""([^\s=/>"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*))""")
 _DROPPED = frozenset(["script", "style", "noscript"])
+_NO_MARKUP = frozenset(["script", "style"])
+_FIELD_AT = {name: i for i, (name, _) in enumerate(NODE_FIELDS)}
 _MAX_LOOKS = 50_000
 
 
@@ -148,14 +150,14 @@ def _marks(tag, ident, cls, role):
     return bits
 
 
-def _look(tag, attr_text, drop_hidden):
+def _look(tag, attr_text, drop_hidden, dropped_tags=_DROPPED):
     """What a start tag says: dropped or not, its marks, and the attributes that are kept."""
     attrs = {}
     if "=" in attr_text:
         for name, a, b, c in _ATTR.findall(attr_text):
             attrs.setdefault(name.lower(), _html.unescape(a or b or c))
     cls, ident, role = attrs.get("class"), attrs.get("id"), attrs.get("role")
-    dropped = tag in _DROPPED or (drop_hidden and cls is not None and HIDDEN_CLASS in cls.split())
+    dropped = tag in dropped_tags or (drop_hidden and cls is not None and HIDDEN_CLASS in cls.split())
     content = attrs.get("content") if tag == "meta" else None
     kept = (tag, ident, cls, role, attrs.get("href"), attrs.get("property"), content)
     return dropped, _marks(tag, ident, cls, role), kept
@@ -167,7 +169,7 @@ def read_page(source, looks=None, drop_hidden=True):
     return "".join(chunks), rows
 
 
-def read_chunks(source, looks=None, drop_hidden=True):
+def read_chunks(source, looks=None, drop_hidden=True, dropped_tags=_DROPPED):
     """As ``read_page``, the text in its chunks."""
     looks = {} if looks is None else looks
     rows, chunks, starts = [], [], []
@@ -222,7 +224,7 @@ def read_chunks(source, looks=None, drop_hidden=True):
         if look is None:
             if len(looks) > _MAX_LOOKS:
                 looks.clear()
-            look = looks[tag, attr_text] = _look(tag, attr_text, drop_hidden)
+            look = looks[tag, attr_text] = _look(tag, attr_text, drop_hidden, dropped_tags)
         dropped, own, kept = look
 
         row, parent, inherited = None, top[1], top[2]
@@ -325,6 +327,30 @@ def parse_html(html: Column, drop_hidden: bool = True) -> Column:
     return _parse_visible(html) if drop_hidden else _parse_all(html)
 
 
+ANCHORS_TYPE = T.ArrayType(
+    T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("href", T.StringType()), T.StructField("text", T.StringType())])
+)
+
+
+@F.arrow_udf(ANCHORS_TYPE)
+def _read_anchors(pages: pa.Array) -> pa.Array:
+    looks, out = {}, []
+    tag, href, chunk = (_FIELD_AT[n] for n in ("tag", "href", "chunk"))
+    for source in pages.to_pylist():
+        chunks, rows = read_chunks(source or "", looks, True, _NO_MARKUP)
+        found = [r for r in rows if r[tag] == "a"]
+        # An anchor left open ends where the next one starts.
+        ends = [r[chunk] for r in found[1:]] + [len(chunks)]
+        texts = ("".join(chunks[r[chunk] : min(r[chunk] + r[chunk + 1], end)]) for r, end in zip(found, ends))
+        out.append([{"pos": i, "href": r[href], "text": t.strip(BLANKS)} for i, (r, t) in enumerate(zip(found, texts))])
+    return pa.array(out, pa.list_(pa.struct([("pos", pa.int32()), ("href", pa.string()), ("text", pa.string())])))
+
+
+def page_anchors(html: Column) -> Column:
+    """All ``<a>`` of a page in order. Hidden elements are left out; markup for readers without scripts is read."""
+    return _read_anchors(html)
+
+
 def with_doc(pages: DataFrame, html: str = "html", drop_hidden: bool = True) -> DataFrame:
     """Replace the HTML column by ``doc``. Filter first: this is the expensive step."""
     return pages.withColumn("doc", parse_html(F.col(html), drop_hidden)).drop(html)
@@ -391,5 +417,9 @@ def joined_text(doc: Column, nodes: Column) -> Column:
 
 
 def body_text(doc: Column) -> Column:
-    bodies = F.filter(doc["nodes"], lambda n: n["tag"] == "body")
-    return F.array_join(F.transform(bodies, lambda n: raw_text(doc, n)), "")
+    """Text of the body; without its tag all behind the head, without a head the page."""
+    named = lambda tag: F.filter(doc["nodes"], lambda n: n["tag"] == tag)
+    bodies, head = named("body"), F.get(named("head"), F.lit(0))
+    start = F.coalesce(head["chunk"] + head["n_chunks"], F.lit(0))
+    rest = F.array_join(F.slice(doc["chunks"], start + 1, F.greatest(F.size(doc["chunks"]), F.lit(1))), "")
+    return F.when(F.size(bodies) == 0, rest).otherwise(F.array_join(F.transform(bodies, lambda n: raw_text(doc, n)), ""))

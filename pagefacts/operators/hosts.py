@@ -94,7 +94,8 @@ def judge_attempts(
     )
     title, text, lower, markup = (F.col(c) for c in ("_title", "_text", "_lower", "_markup"))
 
-    timeout = F.contains(F.lower(message), F.lit("timeout")) | message.contains("AbortError")
+    # Only a request that was given up is tried again; other failures that speak of time are final.
+    timeout = message.contains("AbortError")
     limited = code.isin(429, 499)
     proxy_limited = page.contains(PROXY_LIMIT_TEXT)
     login_form = markup.rlike("|".join(H.attribute_pattern("form", "action", p) for p in LOGIN_ACTIONS))
@@ -130,6 +131,7 @@ def judge_attempts(
             F.lit(retryable).alias("retryable"),
         )
 
+    # The reasons as reports name them.
     judged = (
         F.when(timeout, verdict("error", "Timeout", True))
         .when(message.isNotNull(), verdict("error", message))
@@ -154,12 +156,13 @@ def judge_attempts(
     )
 
 
-def resolve_attempts(judged: DataFrame, host: str = "host", attempt: str = "attempt") -> DataFrame:
-    """One row per host: its first attempt that decides, else its last one."""
+def resolve_attempts(judged: DataFrame, host: str = "host", attempt: str = "attempt", retries: int = ATTEMPTS) -> DataFrame:
+    """One row per host: its first attempt that decides, else its last one; none beyond ``retries`` counts."""
     payload = F.struct(*[c for c in judged.columns if c not in (host, "retryable")])
     order = F.col(attempt)
     return (
-        judged.groupBy(host)
+        judged.filter(order <= retries)
+        .groupBy(host)
         .agg(
             F.min_by(F.when(~F.col("retryable"), payload), F.when(~F.col("retryable"), order)).alias("_first"),
             F.max_by(payload, order).alias("_last"),
@@ -169,8 +172,8 @@ def resolve_attempts(judged: DataFrame, host: str = "host", attempt: str = "atte
     )
 
 
-def host_check(attempts: DataFrame, host: str = "host", **columns) -> DataFrame:
-    return resolve_attempts(judge_attempts(attempts, **columns), host)
+def host_check(attempts: DataFrame, host: str = "host", retries: int = ATTEMPTS, **columns) -> DataFrame:
+    return resolve_attempts(judge_attempts(attempts, retries=retries, **columns), host, retries=retries)
 
 
 def dataset_status(h1: Column, article: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import nodes as N
 from ..functions import parse, urls
 from ..functions.text import WS
-from ..plans.skew import hot_keys, salted_left_join
+from ..plans.skew import splittable_left_join
 from . import fields, links, sections, titles
 
 CARD_TYPE = "struct<title:string,subtitles:map<string,string>>"
@@ -33,8 +33,6 @@ CARD_KEYS: dict[str, tuple[str, ...]] = {
     "entity": ("legalEntity",),
 }
 
-HOT_PAGES = 100_000
-
 
 def cards_by_url(cards: DataFrame) -> DataFrame:
     """First-seen card of each URL, as ``url, card``."""
@@ -49,35 +47,27 @@ def cards_by_url(cards: DataFrame) -> DataFrame:
     )
 
 
-def card_job_join(
-    pages: DataFrame, cards: DataFrame, hot: DataFrame | None = None, spread: str = "page_id"
-) -> DataFrame:
+def card_job_join(pages: DataFrame, cards: DataFrame) -> DataFrame:
     """Attach the card of a listing page to the page it links to, by requested URL.
 
     ``pages`` are moved when there are too many cards to broadcast: give it finished records
-    (``with_cards``) or key columns, not HTML. URLs with very many copies are found on
-    the URL column alone and salted.
+    (``with_cards``) or key columns, not HTML.
     """
-    if hot is None:
-        hot = hot_keys(pages.select("url"), "url", HOT_PAGES)
-    return salted_left_join(pages, cards_by_url(cards), "url", spread, hot)
+    return splittable_left_join(pages, cards_by_url(cards), "url")
 
 
 def with_cards(
-    records: DataFrame, cards: DataFrame, hot: DataFrame | None = None,
-    request_url: str = "request_url", spread: str = "page_id",
+    records: DataFrame, cards: DataFrame, request_url: str = "request_url", drop: Sequence[str] = ("page_id",)
 ) -> DataFrame:
     """Let the values of listing cards come before those of the pages.
 
-    ``records`` carry the requested URL and ``spread`` (``job_records(keep=...)``); both are dropped.
+    ``records`` carry the requested URL (``job_records(keep=...)``); it and ``drop`` are dropped.
     Same result as reading the pages with their cards, but the rows on the move hold
     extracted text and not markup.
     """
-    final = [c for c in records.columns if c not in (request_url, spread)]
+    final = [c for c in records.columns if c not in (request_url, *drop)]
     keyed = records.withColumnRenamed("url", "_url").withColumnRenamed(request_url, "url")
-    if hot is None:
-        hot = hot_keys(keyed.select("url"), "url", HOT_PAGES)
-    joined = card_job_join(keyed, cards, hot, spread).drop("url").withColumnRenamed("_url", "url")
+    joined = card_job_join(keyed, cards).drop("url").withColumnRenamed("_url", "url")
     card, ref = F.col("card"), card_ref(F.col("card"))
     over = {t: F.coalesce(_card_value(card, keys), F.col(t)) for t, keys in CARD_KEYS.items()}
     over["title"] = F.coalesce(F.nullif(card["title"], F.lit("")), F.col("title"))

@@ -9,10 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import html as H
 from ..functions import nodes as N
 from ..functions import urls
-from ..functions.text import contains_any
+from ..functions.text import contains_any, let
 from ..plans.skew import distinct_keys
 
 # What marks a link to more listing pages, and one that leads back.
@@ -25,22 +24,13 @@ LINK_TYPE = "array<struct<url:string,label:string>>"
 
 def anchors(pages: DataFrame, keys=("page_id", "url"), html: str = "html") -> DataFrame:
     """All ``<a href>`` of a page in order, with their text."""
-    found = F.filter(_hrefs(F.col(html)), lambda a: a["href"].isNotNull())
-    return pages.select(*keys, F.explode(found).alias("_a")).select(
-        *keys, "_a.pos", "_a.href", H.piece_text(F.col("_a.piece")).alias("text")
-    )
-
-
-def _hrefs(html: Column) -> Column:
-    """Anchors with their href, computed inside the array: a filter cannot repeat it."""
-    return F.transform(
-        H.anchor_pieces(html),
-        lambda p, i: F.struct(i.alias("pos"), H.piece_href(p).alias("href"), p.alias("piece")),
-    )
+    found = F.filter("_anchors", lambda a: a["href"].isNotNull())
+    read = pages.select(*keys, N.page_anchors(F.col(html)).alias("_anchors"))
+    return read.select(*keys, F.explode(found).alias("_a")).select(*keys, "_a.pos", "_a.href", "_a.text")
 
 
 def _distinct_links(
-    html: Column, url: Column, accept, mode: str, label: str, pages_only: bool = False
+    found: Column, url: Column, accept, mode: str, label: str, pages_only: bool = False
 ) -> Column:
     """Distinct absolute links of one page, first seen first, as an array.
 
@@ -50,10 +40,10 @@ def _distinct_links(
     base = urls.base_url(url)
 
     def keep(a: Column) -> Column:
-        wanted = (a["href"] != "") & accept(a["href"], a["piece"])
+        wanted = (a["href"] != "") & accept(a["href"], a["text"])
         return wanted & urls.is_page_link(a["href"]) if pages_only else wanted
 
-    kept = F.filter(_hrefs(html), keep)
+    kept = F.filter(found, keep)
     links = F.array_distinct(
         F.transform(kept, lambda a: urls.resolve_url(base, a["href"], mode))
     )
@@ -63,31 +53,33 @@ def _distinct_links(
     )
 
 
-def pagination_array(html: Column, url: Column, pages_only: bool = False) -> Column:
-    def accept(href: Column, piece: Column) -> Column:
+def pagination_array(found: Column, url: Column, pages_only: bool = False) -> Column:
+    def accept(href: Column, text: Column) -> Column:
         return (
             contains_any(href, PAGINATION_PARTS)
             & (href != "#")
-            & ~contains_any(F.lower(H.piece_text(piece)), BACKWARD_WORDS)
+            & ~contains_any(F.lower(text), BACKWARD_WORDS)
         )
 
-    return _distinct_links(html, url, accept, "join", urls.LISTING, pages_only)
+    return _distinct_links(found, url, accept, "join", urls.LISTING, pages_only)
 
 
-def fallback_job_array(html: Column, url: Column, pages_only: bool = False) -> Column:
+def fallback_job_array(found: Column, url: Column, pages_only: bool = False) -> Column:
     return _distinct_links(
-        html, url, lambda href, _: href.contains("/JobDetail/"), "concat", urls.JOB_DETAIL, pages_only
+        found, url, lambda href, _: href.contains("/JobDetail/"), "concat", urls.JOB_DETAIL, pages_only
     )
 
 
-def fallback_listing_array(html: Column, url: Column, pages_only: bool = False) -> Column:
+def fallback_listing_array(found: Column, url: Column, pages_only: bool = False) -> Column:
     return _distinct_links(
-        html, url, lambda href, _: href.contains("SearchJobs"), "concat", urls.LISTING, pages_only
+        found, url, lambda href, _: href.contains("SearchJobs"), "concat", urls.LISTING, pages_only
     )
 
 
-def _link_rows(pages: DataFrame, links: Column, page_id: str) -> DataFrame:
-    return pages.select(page_id, F.posexplode(links).alias("pos", "_link")).select(
+def _link_rows(pages: DataFrame, html: Column, links: Column, page_id: str) -> DataFrame:
+    """Links made from ``_anchors``, which is read once per page."""
+    read = pages.withColumn("_anchors", N.page_anchors(html))
+    return read.select(page_id, F.posexplode(links).alias("pos", "_link")).select(
         page_id, "pos", "_link.url", "_link.label"
     )
 
@@ -96,38 +88,40 @@ def pagination_links(
     pages: DataFrame, url: str = "url", html: str = "html", page_id: str = "page_id", pages_only: bool = False
 ) -> DataFrame:
     """Links to further listing pages."""
-    return _link_rows(pages, pagination_array(F.col(html), F.col(url), pages_only), page_id)
+    return _link_rows(pages, F.col(html), pagination_array(F.col("_anchors"), F.col(url), pages_only), page_id)
 
 
 def fallback_job_links(
     pages: DataFrame, url: str = "url", html: str = "html", page_id: str = "page_id", pages_only: bool = False
 ) -> DataFrame:
     """Detail links on pages no route knows."""
-    return _link_rows(pages, fallback_job_array(F.col(html), F.col(url), pages_only), page_id)
+    return _link_rows(pages, F.col(html), fallback_job_array(F.col("_anchors"), F.col(url), pages_only), page_id)
 
 
 def fallback_listing_links(
     pages: DataFrame, url: str = "url", html: str = "html", page_id: str = "page_id", pages_only: bool = False
 ) -> DataFrame:
-    return _link_rows(pages, fallback_listing_array(F.col(html), F.col(url), pages_only), page_id)
+    return _link_rows(pages, F.col(html), fallback_listing_array(F.col("_anchors"), F.col(url), pages_only), page_id)
 
 
-def route_links(pages: DataFrame, url: str = "url", html: str = "html", page_id: str = "page_id", label: str | None = None) -> DataFrame:
+def route_links(pages: DataFrame, url: str = "url", html: str = "html", page_id: str = "page_id", label: str | None = None, pages_only: bool = False) -> DataFrame:
     """Links the handler of each page's route asks for, in one scan.
 
     Listing pages give pagination links, detail pages none, all others the fallback links.
     Card links need the page tree: see ``listing_cards``.
     """
     route = F.col(label) if label else urls.route_label(F.col(url))
-    markup, address = F.col(html), F.col(url)
+    found, address = F.col("_anchors"), F.col(url)
     links = (
-        F.when(route == urls.LISTING, pagination_array(markup, address))
+        F.when(route == urls.LISTING, pagination_array(found, address, pages_only))
         .when(route == urls.JOB_DETAIL, F.array().cast(LINK_TYPE))
         .otherwise(
-            F.concat(fallback_job_array(markup, address), fallback_listing_array(markup, address))
+            F.concat(fallback_job_array(found, address, pages_only), fallback_listing_array(found, address, pages_only))
         )
     )
-    return _link_rows(pages, links, page_id)
+    # Detail pages lead nowhere: they are not read.
+    leads = F.when(F.coalesce(route, F.lit("")) != urls.JOB_DETAIL, F.col(html))
+    return _link_rows(pages, leads, links, page_id)
 
 
 # --- listing cards ----------------------------------------------------------------------
@@ -186,6 +180,24 @@ def listing_cards(docs: DataFrame, url: str = "url", page_id: str = "page_id") -
     ).select(page_id, "pos", "_card.url", F.lit(urls.JOB_DETAIL).alias("label"), "_card.title", "_card.entries")
 
 
+def first_cards(cards: Column) -> Column:
+    """Cards of one page, of equal URLs the first, with their place: sorted inside the row, no shuffle."""
+    placed = F.transform(cards, lambda c, i: F.struct(c["url"].alias("url"), i.alias("pos"), c.alias("card")))
+
+    def firsts(rows: Column) -> Column:
+        return F.filter(rows, lambda r, i: (i == 0) | (F.get(rows, i - 1)["url"] != r["url"]))
+
+    kept = let(F.array_sort(placed), firsts)
+    return F.array_sort(F.transform(kept, lambda r: F.struct(r["pos"].alias("pos"), r["card"].alias("card"))))
+
+
+def page_cards(docs: DataFrame, url: str = "url", page_id: str = "page_id") -> DataFrame:
+    """As ``listing_cards``, each URL once per page."""
+    found = docs.select(page_id, cards_array(F.col("doc"), F.col(url)).alias("_cards"))
+    rows = found.select(page_id, F.explode(first_cards(F.col("_cards"))).alias("_one"))
+    return rows.select(page_id, "_one.pos", "_one.card.url", F.lit(urls.JOB_DETAIL).alias("label"), "_one.card.title", "_one.card.entries")
+
+
 def card_dedupe(cards: DataFrame, keys=("page_id", "url"), order=("pos",)) -> DataFrame:
     """First card per key. Partial aggregation keeps one candidate per key and task."""
     rest = [c for c in cards.columns if c not in keys]
@@ -194,13 +206,8 @@ def card_dedupe(cards: DataFrame, keys=("page_id", "url"), order=("pos",)) -> Da
 
 
 def card_subtitles(cards: DataFrame, keys=("page_id", "pos")) -> DataFrame:
-    """Subtitle entries as rows; of equal keys in a card the later one stays."""
-    rows = cards.select(*keys, F.posexplode("entries").alias("_i", "_e"))
-    return (
-        rows.select(*keys, F.col("_e.key").alias("key"), F.col("_e.value").alias("value"), "_i")
-        .groupBy(*keys, "key")
-        .agg(F.max_by("value", "_i").alias("value"))
-    )
+    """Subtitle entries as rows; of equal keys in a card the later one stays. No shuffle: a card is one row."""
+    return cards.select(*keys, F.explode(subtitle_map(F.col("entries"))).alias("key", "value"))
 
 
 def subtitle_map(entries: Column) -> Column:
@@ -221,16 +228,18 @@ def subtitle_map(entries: Column) -> Column:
 def frontier_new_links(links: DataFrame, seen: DataFrame, url: str = "url", keep=("url",)) -> DataFrame:
     """Links to pages not fetched yet, each key once; of equal links the smallest stays.
 
-    Copies collapse inside each task before the shuffle: a URL that a third of all pages
-    link to costs one row per task. ``seen`` is reduced the same way and both sides meet
+    Equal links collapse by hash inside each task before the shuffle: a URL that a third of all
+    pages link to costs one row per task, and only different links are sorted. ``seen`` is reduced the same way and both sides meet
     partitioned by key, so the join adds no shuffle. A left join with a null test stands for
     the anti join, which the optimizer would move below the grouping, where the hot keys
     still are.
     """
     fresh = (
         links.select(urls.url_unique_key(F.col(url)).alias("url_key"), *keep)
+        .distinct()
         .groupBy("url_key")
-        .agg(F.min(F.struct(*keep)).alias("_link"))
+        # Before a plain minimum the optimizer takes the distinct out again.
+        .agg(F.min_by(F.struct(*keep), F.struct(*keep)).alias("_link"))
     )
     known = distinct_keys(seen.select(urls.url_unique_key(F.col(url)).alias("url_key")), "url_key")
     return (

@@ -11,8 +11,9 @@ PAGE_ROW = "url string, title string, h1 string, article string"
 def read_host_list(spark: SparkSession, path: str) -> DataFrame:
     """JSON array of strings, one row per entry: ``pos, host``.
 
-    A string cannot span lines in JSON, so the file is read line by line and splits over
-    tasks however long the array is. ``pos`` grows with the place in the file; it has gaps.
+    A string cannot span lines in JSON, so the file is read line by line: an array with an entry
+    on each line splits over tasks, one written on a single line is one row and so one task.
+    ``pos`` grows with the place in one file and has gaps; over several files it says nothing.
     """
     line = F.regexp_extract_all("value", F.lit(r'"(?:[^"\\]++|\\.)*+"'), 0)
     entry = F.from_json(F.concat(F.lit("["), F.col("_s"), F.lit("]")), "array<string>")

@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pagefacts.functions import html as H
+from pagefacts.functions import nodes as N
 from pagefacts.functions import parse, text, urls
 
 x = F.col
@@ -148,16 +149,29 @@ def test_entities(one, raw, want):
     assert one(text.decode_entities(x("t")), t=raw) == want
 
 
-def test_anchor_pieces(one):
+def test_anchors_of_a_page(one):
     page = (
         "<script>'<a href=\"/no\">'</script><!-- <a href='/no'> --><a href=\"/1\" title='a > b'>One <b>x</b></a>"
         "<A\nHREF='/2&amp;3'>two<a data-href=/no href=/3>three</a><abbr href='/no'>x</abbr><a>no</a>"
+        "<div class='visibility--hidden--visually'><a href=/hidden>gone</a></div><noscript><a href=/4>four</a></noscript>"
+        "<a href=/5>on <span class='visibility--hidden--visually'>back</span></a>"
     )
-    pieces = H.anchor_pieces(x("h"))
-    hrefs = one(F.transform(pieces, lambda p: H.piece_href(p)), h=page)
-    texts = one(F.transform(pieces, lambda p: H.piece_text(p)), h=page)
-    assert hrefs == ["/1", "/2&3", "/3", None]
-    assert texts == ["One x", "two", "three", "no"] or texts[1].startswith("two")
+    got = one(N.page_anchors(x("h")), h=page)
+    assert [(a.href, a.text) for a in got] == [("/1", "One x"), ("/2&3", "two"), ("/3", "three"), (None, "no"), ("/4", "four"), ("/5", "on")]
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<html><h1>Page not found</h1></html>", "Page not found"),
+        ("<html><head><title>t</title></head><h1>in</h1>", "in"),
+        ("<head><script>var t='<body>x</body>';</script></head><body>real<script>s</script></body>", "reals"),
+        ("<!-- <body>no</body> --><body\nclass=x>yes</body> after", "yes"),
+        ("", ""),
+    ],
+)
+def test_every_page_has_a_body(one, page, want):
+    assert one(H.body_text(x("h"), "content"), h=page) == want
 
 
 def test_body_text_modes(one):

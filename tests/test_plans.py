@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from pagefacts.functions import nodes as N
 from pagefacts.operators import gate, jobs, links
-from pagefacts.plans import skew
+from pagefacts.plans import flows, skew
 from pagefacts.session import shared_folder
 
 
@@ -35,10 +35,25 @@ def test_records_use_python_once_and_no_shuffle(pages):
     assert "Exchange" not in plan and "Join" not in plan
 
 
-def test_link_operators_stay_in_the_jvm_without_shuffle(pages):
+def test_link_operators_read_a_page_once_without_shuffle(pages):
     for op in (links.anchors, links.pagination_links, links.fallback_job_links, links.route_links):
         plan = plan_of(op(pages))
-        assert "Exchange" not in plan and "Python" not in plan
+        assert "Exchange" not in plan and plan.count("ArrowEvalPython") == 1
+
+
+def test_cards_of_a_page_are_deduplicated_in_their_row(pages):
+    cards = links.page_cards(N.with_doc(pages))
+    for df in (cards, links.card_subtitles(cards)):
+        assert "Exchange" not in plan_of(df)
+
+
+def test_flows_start_no_job_while_they_are_built(spark, pages):
+    pages = pages.withColumn("status_code", F.lit(200))
+    spark.sparkContext.setJobGroup("building", "building")
+    out = flows.crawl(pages.groupBy("page_id", "url", "status_code").agg(F.first("html").alias("html")))
+    jobs.with_cards(jobs.job_records(N.with_doc(pages.withColumn("request_url", F.col("url"))), keep=("request_url", "page_id")), links.page_cards(N.with_doc(pages)))
+    assert out.jobs.columns and out.links.columns and out.quarantine.columns
+    assert not list(spark.sparkContext.statusTracker().getJobIdsForGroup("building"))
 
 
 def test_gate_reads_only_what_it_needs(pages):
@@ -55,8 +70,12 @@ def test_frontier_groups_before_it_joins(pages, no_broadcast):
     plan = plan_of(links.frontier_new_links(found, pages.select("url")))
     join = plan.index("SortMergeJoin") if "SortMergeJoin" in plan else plan.index("ShuffledHashJoin")
     # One grouping per side; the join adds no exchange.
-    assert plan.count("Exchange hashpartitioning") == 2
+    assert plan.count("Exchange hashpartitioning") == 3
     assert "Aggregate" in plan[join:] and "Aggregate" not in plan[:join]
+    # Before the first shuffle links collapse by hash and are not sorted.
+    first = plan[: plan.index("FileScan")]
+    first = first[first.rindex("Exchange hashpartitioning") :]
+    assert "HashAggregate" in first and "Sort" not in first
 
 
 def test_no_cartesian_products(spark, sf_dir):
@@ -65,62 +84,48 @@ def test_no_cartesian_products(spark, sf_dir):
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_salted_join_equals_the_plain_one(spark, no_broadcast):
-    # One key has a third of the rows, another a tenth; some keys match nothing.
-    left = spark.range(30_000).select(
-        "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 10 == 1, "warm").otherwise(F.concat(F.lit("k"), F.col("id") % 500)).alias("url")
-    )
-    right = spark.range(400).select(F.concat(F.lit("k"), "id").alias("url"), F.col("id").alias("v")).unionAll(
-        spark.createDataFrame([("hot", 1000), ("warm", 1001)], "url string, v long")
+def test_hot_url_is_split_by_adaptive_execution(spark, no_broadcast):
+    # One key has a third of the rows; both sides are shuffled and its partition is dealt out.
+    left = spark.range(60_000).select(
+        "id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 500)).alias("url"), F.sha2(F.col("id").cast("string"), 512).alias("load")
+    ).repartition(8)
+    right = spark.range(500).select(F.concat(F.lit("k"), "id").alias("url"), F.col("id").alias("v")).unionAll(
+        spark.createDataFrame([("hot", 1000)], "url string, v long")
     )
-    hot = skew.hot_keys(left, "url", 1000)
-    assert sorted(r.url for r in hot.collect()) == ["hot", "warm"]
-    joined = skew.salted_left_join(left, right, "url", "id", hot)
-    plain = left.join(right, "url", "left")
-    assert joined.count() == 30_000
-    assert joined.select("id", "url", "v").exceptAll(plain.select("id", "url", "v")).count() == 0
-    # The hot key's rows are spread over many salts.
-    flagged = left.join(hot.withColumn("h", F.lit(True)), "url", "left").filter("h and url = 'hot'")
-    sizes = flagged.groupBy(F.pmod(F.xxhash64("id"), F.lit(skew.SALTS))).count().collect()
-    assert len(sizes) == skew.SALTS and max(r["count"] for r in sizes) < 10_000 / 10
-
-
-def test_card_join_with_every_url_hot(spark):
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        joined = skew.splittable_left_join(left, right.groupBy("url").agg(F.max("v").alias("v")), "url")
+        rows = joined.collect()
+        final = plan_of(joined).split("Initial Plan")[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "skew=true" in final
+    assert len(rows) == 60_000 and sum(r.v == 1000 for r in rows) == 20_000
+
+
+def test_every_copy_of_a_page_gets_the_first_card(spark):
     cards = spark.createDataFrame(
         [(1, 0, "u1", "A", [("k", "v")]), (2, 0, "u1", "later", [])],
         "page_id long, pos int, url string, title string, entries array<struct<key:string,value:string>>",
     )
     pages = spark.createDataFrame([(i, "u1") for i in range(50)] + [(99, "u2")], "page_id long, url string")
-    hot = spark.createDataFrame([("u1",), ("u2",)], "url string")
-    out = jobs.card_job_join(pages, cards, hot).collect()
+    out = jobs.card_job_join(pages, cards).collect()
     assert len(out) == 51
     assert {r.card.title for r in out if r.url == "u1"} == {"A"} and [r.card for r in out if r.url == "u2"] == [None]
 
 
-def test_hot_keys_is_bounded(spark):
-    rows = spark.range(5000).select((F.col("id") % 2000).cast("string").alias("url"))
-    assert skew.hot_keys(rows, "url", 1, limit=7).count() == 7
-
-
 def test_shared_folder_comes_from_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_folder(spark) == named if named else shared_folder(spark)
 
 
-def test_hot_keys_are_counted_once_or_not_at_all(spark):
-    left = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("url"))
-    right = spark.createDataFrame([("hot", 1)], "url string, v long")
-    joined = skew.salted_left_join(left, right, "url", "id", skew.hot_keys(left, "url", 5000))
-    assert joined.filter("v = 1").count() == 10_000
-    joined.collect()
-    assert "ReusedExchange" in plan_of(joined)
-    # Without hot keys adaptive execution takes the extra joins out again.
-    cold = skew.salted_left_join(left, right, "url", "id", skew.hot_keys(left, "url", 50_000))
-    cold.collect()
-    final = plan_of(cold).split("Initial Plan")[0]
-    assert final.count("Join") == 1
-
-
 def test_pages_are_not_dealt_out_behind_the_caller(spark, sf_dir):
     for name in ("card_job_join", "job_record", "anchors"):
         assert "RoundRobinPartitioning" not in plan_of(entry.queries()[name](spark, sf_dir))

@@ -31,15 +31,7 @@ def test_host_lists(spark, tmp_path):
     df = spark.createDataFrame([('b"x',), ("a",)], "host string")
     sinks.write_hosts(df, str(tmp_path / "l"))
     assert sorted(json.loads(line) for line in lines(tmp_path / "l")) == ["a", 'b"x']
-    sinks.write_hosts(df, str(tmp_path / "a"), as_array=True)
-    assert json.loads("".join(lines(tmp_path / "a"))) == ["a", 'b"x']
-    assert sorted(r.host for r in readers.read_host_list(spark, str(tmp_path / "a")).collect()) == ["a", 'b"x']
-
-
-def test_long_list_is_not_gathered(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(sinks, "ARRAY_LIMIT", 3)
-    with pytest.raises(ValueError):
-        sinks.write_hosts(spark.range(5).select(F.col("id").cast("string").alias("host")), str(tmp_path / "x"), as_array=True)
+    assert sorted(r.host for r in readers.read_host_list(spark, str(tmp_path / "l")).collect()) == ["a", 'b"x']
 
 
 def test_host_list_keeps_file_order(spark, tmp_path):
@@ -86,10 +78,26 @@ def test_every_needle_is_in_its_pattern():
         assert p.needle in p.pattern
 
 
-def test_only_the_start_of_the_body_counts(spark):
+def test_the_whole_body_counts_unless_a_limit_is_given(spark):
     df = spark.createDataFrame([(1, "<body>" + "x " * 2600 + "not found</body>", 200), (2, "<body>not found", None)], "page_id int, html string, status_code int")
     got = {r.page_id: r.error_type for r in gate.page_gate(df).collect()}
-    assert got == {1: None, 2: "PAGE_NOT_FOUND"}
+    assert got == {1: "PAGE_NOT_FOUND", 2: "PAGE_NOT_FOUND"}
+    cut = {r.page_id: r.error_type for r in gate.page_gate(df, text_limit=gate.TEXT_LIMIT).collect()}
+    assert cut == {1: None, 2: "PAGE_NOT_FOUND"}
+
+
+def test_a_failed_fetch_is_no_good_page(spark):
+    rows = [(1, None, None, None), (2, "<p>ok</p>", 200, None), (3, "<p>ok</p>", None, "ENOTFOUND x"), (4, None, 503, None)]
+    df = spark.createDataFrame(rows, "page_id int, html string, status_code int, error_message string")
+    gated = gate.page_gate(df, error="error_message")
+    assert {r.page_id: r.error_type for r in gated.collect()} == {1: "REQUEST_FAILED", 2: None, 3: "DNS_ERROR", 4: "SERVER_ERROR"}
+    assert {r.page_id: r.html for r in gate.quarantine(gated).collect()}[1] == "<title>No page</title><p>no page</p>"
+
+
+def test_a_pattern_needs_no_needle(spark):
+    df = spark.createDataFrame([("<body>gone away",)], "html string")
+    own = (gate.ErrorPattern(None, "(gone|lost)", "GONE"),)
+    assert df.select(gate.content_error_type(F.col("html"), own).alias("e")).first().e == "GONE"
 
 
 def test_total_jobs_traps(spark):
@@ -100,10 +108,11 @@ def test_total_jobs_traps(spark):
 
 
 def test_attempts_all_retryable_take_the_last(spark):
-    rows = [("a", 1, 429, "", None), ("a", 2, None, None, "timeout"), ("b", 1, 499, "", None), ("b", 2, 404, "", None), ("b", 3, 200, "x", None)]
+    rows = [("a", 1, 429, "", None), ("a", 2, None, None, "AbortError"), ("a", 4, 404, "", None), ("c", 1, None, None, "proxy timeout"), ("c", 2, 404, "", None), ("b", 1, 499, "", None), ("b", 2, 404, "", None), ("b", 3, 200, "x", None)]
     df = spark.createDataFrame(rows, "host string, attempt int, status_code int, html string, error_message string")
     got = {r.host: (r.attempt, r.status, r.error, r.listing_url) for r in flows.host_check(df).collect()}
     assert got["a"] == (2, "error", "Timeout", "https://a/careers/SearchJobs")
+    assert got["c"][:3] == (1, "error", "proxy timeout")
     assert got["b"][:3] == (2, "not_working", "Page not found")
 
 
