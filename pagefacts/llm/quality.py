@@ -2,12 +2,15 @@
 
 Each text gives a vector of transformed statistics. Per language and source the minimum
 covariance determinant (the tightest three quarters of the rows) is found by concentration
-steps, each a grouped aggregation; a text is rejected by its Mahalanobis distance to it.
-Distances use the Cholesky factor, written out in column expressions.
+steps, each a grouped aggregation; so it is per language and over all rows. A group's
+estimate is drawn towards its language's and that towards the whole's, the more the fewer
+rows it has, and a text is rejected by its Mahalanobis distance to it. Distances use the
+Cholesky factor, written out in column expressions; the cutoff comes from their distribution.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,12 +24,18 @@ SHARE = 0.75  # rows of a group its estimate rests on
 # by this factor: share / P(chi2_6 <= quantile of chi2_4 at share).
 CONSISTENT = 1.485
 STEPS = 6
-MIN_ROWS = 40  # groups with fewer rows that passed the base rules reject nothing
-CUTOFF = 150.0  # squared distance beyond which a text is rejected
+PRIOR = 40  # rows the estimate of the next wider level counts as beside a group's own
+TAIL = 1e-4  # share of texts like the inner ones that the cutoff may cost
+# Of chi-square in four dimensions: its point at TAIL, and its quantile at SHARE over its median.
+NORMAL_LIMIT, NORMAL_RATIO = 23.51, 1.605
+HEAVY_RATIO = 5.66  # of a Weibull tail of exponent 0.4: a few tiny distances do not put the cutoff out of reach
 SHRINK = 50  # words added to each text, so that short ones vary no more than long ones
 # Least deviation of each statistic: many are 0 for nearly all texts of a group.
 FLOOR = (0.02, 0.25, 0.25, 0.25)
 DIMS = range(len(FLOOR))
+MEAN = [f"_m{i}" for i in DIMS]
+COVARIANCE = [f"_s{i}{j}" for i in DIMS for j in range(i + 1)]
+FACTOR = [f"_l{i}{j}" for i in DIMS for j in range(i + 1)]
 
 
 def repeat_words(words: Column, width: int = 5) -> Column:
@@ -98,7 +107,7 @@ def cholesky(covariance) -> dict[tuple[int, int], Column]:
 
 
 def estimate(rows: DataFrame, keys: list[str], inside: Column) -> DataFrame:
-    """Mean and Cholesky factor per group of the rows ``inside``; one partial aggregation."""
+    """Mean, covariance and Cholesky factor per group of the rows ``inside``; one partial aggregation."""
     x = [F.when(inside, F.col(f"_x{i}")) for i in DIMS]
     sums = [F.avg(x[i]).alias(f"_m{i}") for i in DIMS]
     sums += [F.covar_pop(x[i], x[j]).alias(f"_c{i}{j}") for i in DIMS for j in range(i + 1)]
@@ -108,10 +117,15 @@ def estimate(rows: DataFrame, keys: list[str], inside: Column) -> DataFrame:
         for j in range(i + 1):
             value = F.coalesce(F.col(f"_c{i}{j}"), F.lit(0.0)) * CONSISTENT + (ridge[i] if i == j else 0.0)
             table = table.withColumn(f"_s{i}{j}", value)
+    means = (F.coalesce(F.col(f"_m{i}"), F.lit(0.0)).alias(f"_m{i}") for i in DIMS)
+    return with_factor(table.select(*keys, "_rows", *means, *COVARIANCE))
+
+
+def with_factor(table: DataFrame) -> DataFrame:
+    """``table`` with the Cholesky factor of its covariance."""
     for (i, j), value in cholesky(lambda i, j: F.col(f"_s{i}{j}")).items():
         table = table.withColumn(f"_l{i}{j}", value)
-    lower = [f"_l{i}{j}" for i in DIMS for j in range(i + 1)]
-    return table.select(*keys, "_rows", *(F.coalesce(F.col(f"_m{i}"), F.lit(0.0)).alias(f"_m{i}") for i in DIMS), *lower)
+    return table
 
 
 def distance() -> Column:
@@ -149,23 +163,64 @@ def robust_estimates(rows: DataFrame, keys: list[str], steps: int = STEPS) -> Da
     return table
 
 
-def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", cutoff: float = CUTOFF) -> DataFrame:
+def levelled(rows: DataFrame) -> DataFrame:
+    """Each row three times: for all rows (level 0), for its language (1), for language and source (2)."""
+    none = F.lit(None).cast("string")
+    at = [(0, none, none), (1, F.col("lang"), none), (2, F.col("lang"), F.col("source"))]
+    levels = F.array(*(F.struct(F.lit(n).alias("level"), a.alias("lang"), b.alias("source")) for n, a, b in at))
+    return rows.select(F.explode(levels).alias("_at"), *(f"_x{i}" for i in DIMS)).select("_at.*", *(f"_x{i}" for i in DIMS))
+
+
+def towards(near: DataFrame, far: DataFrame, keys: list[str]) -> DataFrame:
+    """Means and covariances of ``near`` drawn towards those of its wider level ``far``.
+
+    Its own count by its rows, the wider level's by PRIOR rows.
+    """
+    own = F.col("_rows") / (F.col("_rows") + F.lit(PRIOR))
+    wide = far.select(*keys, *(F.col(c).alias(f"_far{c}") for c in MEAN + COVARIANCE))
+    both = by_group(near, wide, keys) if keys else near.join(F.broadcast(wide))
+    return both.select("lang", "source", "_rows", *((own * F.col(c) + (1 - own) * F.col(f"_far{c}")).alias(c) for c in MEAN + COVARIANCE))
+
+
+def group_estimates(rows: DataFrame) -> DataFrame:
+    """Mean and Cholesky factor for each language and source, drawn towards the wider levels."""
+    table = robust_estimates(levelled(rows), ["level", "lang", "source"])
+    whole, languages, groups = (table.filter(F.col("level") == n).drop("level", *FACTOR) for n in range(3))
+    found = towards(groups, towards(languages, whole, []), ["lang"])
+    return common.staged(with_factor(found).select("lang", "source", *MEAN, *FACTOR), "mcd-groups")
+
+
+def limit_of(distances: DataFrame) -> float:
+    """Squared distance that a share of TAIL of texts like the inner ones exceeds.
+
+    A Weibull tail through the median and the quantile at SHARE of the different distances, so
+    that copies count once; what lies beyond them has no part in it. It is never lighter than
+    that of a normal vector, nor heavier than HEAVY_RATIO says.
+    """
+    # One row of two numbers.
+    middle, inner = distances.select("distance").distinct().agg(F.percentile_approx("distance", [0.5, SHARE], 10_000)).first()[0] or (0.0, 0.0)
+    ratio = min(HEAVY_RATIO, max(NORMAL_RATIO, inner / max(middle, 1e-9)))
+    power = math.log(ratio) / math.log(math.log(1 - SHARE) / math.log(0.5))
+    return max(NORMAL_LIMIT, inner * (math.log(TAIL) / math.log(1 - SHARE)) ** power)
+
+
+def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", cutoff: float | None = None) -> DataFrame:
     """doc_id, base statistics, base_failed, distance and kept per row.
 
     Null texts have no words and fail the base rule. Null languages and sources are groups
-    of their own; groups of fewer than MIN_ROWS rows that passed the base rules have no
-    distance and keep what passed. Repeated rows count and stay each.
+    of their own. A group of any size is judged; only where no row passes the base rules
+    there is no distance. Without ``cutoff`` it is ``limit_of`` all rows that passed.
+    Repeated rows count and stay each.
     """
     some = docs.select("doc_id", F.col(lang).alias("lang"), F.col(source).alias("source"), F.col(text).alias("_text"))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     rows = text_statistics(some, "_text").drop("_text").withColumn("base_failed", failed)
     rows = common.staged(rows.select("*", *(v.alias(f"_x{i}") for i, v in zip(DIMS, vector()))), "quality")
-    keys = ["lang", "source"]
-    table = robust_estimates(rows.filter(~F.col("base_failed")), keys)
-    out = by_group(rows, table, keys)
-    enough = F.coalesce(F.col("_rows"), F.lit(0)) >= MIN_ROWS
-    out = out.withColumn("distance", F.when(enough, distance()))
-    kept = ~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= cutoff)
+    table = group_estimates(rows.filter(~F.col("base_failed")))
+    out = by_group(rows, table, ["lang", "source"]).withColumn("distance", distance())
+    if cutoff is None:
+        cutoff = limit_of(out.filter(~F.col("base_failed")))
+    kept = ~F.col("base_failed") & (F.col("distance") <= cutoff)
     return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "distance"
     )

@@ -280,6 +280,24 @@ def test_quality_statistics_and_outliers(spark, odd, docs):
     assert all(kept[i] for i in range(300)) and not any(kept[1000 + i] for i in range(12))
 
 
+def test_quality_judges_small_groups(spark):
+    rows = []
+    for s in range(30):  # sources of 8 texts, one of them junk; and one of three junk texts only
+        rows += [(100 * s + i, " ".join(f"w{(i * 31 + s * 17 + k * 7) % 997}" for k in range(60 + i % 40)), ["en", "de"][s % 2], f"s{s}") for i in range(7)]
+        rows.append((100 * s + 50, " ".join(f"### $$$ x{k}{s}" for k in range(60)), ["en", "de"][s % 2], f"s{s}"))
+    rows += [(9000 + i, " ".join(f"*** %%% y{k}{i}" for k in range(60)), ["en", None, "xx"][i], "odd") for i in range(3)]
+    got = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    assert all(r.distance is not None for r in got)
+    assert {r.doc_id for r in got if not r.kept} == {d for d, *_ in rows if d >= 9000 or d % 100 == 50}
+
+
+def test_quality_cutoff_follows_the_distances(spark):
+    wide = np.random.default_rng(2).chisquare(4, 4000)
+    limits = [quality.limit_of(spark.createDataFrame([(float(f * x),) for x in wide] + [(f * 1e4,)] * 400, "distance double")) for f in (2, 20)]
+    assert 30 < limits[0] < 60 and abs(limits[1] - 10 * limits[0]) < 0.1 * limits[1]
+    assert quality.limit_of(spark.createDataFrame([], "distance double")) == quality.NORMAL_LIMIT
+
+
 def test_pii_base_spans_match_the_patterns():
     texts = [r[1] or "" for r in ODD] + ["a@b.c.d@e.f 1.2.3.4.5.6.7.8 256.1.1.1 x 4111 1111 1111 1111 +1 2 3", "@x.y a.b@@c.d 4556-7375-8689-9855 +123456789"]
     email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
