@@ -1,9 +1,11 @@
 """Toxicity by noisy-channel deobfuscation: restore words first, score the restored text.
 
 Channel: a hidden letter shows as itself, as a look-alike digit or sign, repeated, or with
-separators between letters. Each written word is a lattice of letters; Viterbi decoding
-finds the most likely hidden word under a character trigram model times the channel. A word
-whose lattice has one path is its own restoration and needs no search.
+separators between letters. Each written word, and each run of single letters with blanks
+between, is a lattice of letters in which a separator is nothing or a word border; Viterbi
+decoding finds the most likely hidden words under a character trigram model times the
+channel. Letters joined across single blanks are then parted into the likeliest words by
+the counts of words. A word whose lattice has one path is its own restoration and needs no search.
 
 The scorer knows words and word beginnings that are significantly more frequent in texts
 labelled toxic (likelihood-ratio test), and a logistic curve on their evidence in a text.
@@ -31,13 +33,19 @@ LOOK_ALIKES = {
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l",
 }
 SEPARATORS = "*._-~'’^=,:;#/\\"
-SAME, SWAPPED, EXTRA, MARK, LITERAL = (math.log(p) for p in (0.9, 0.05, 0.2, 0.1, 0.05))
-MAX_WORD = 40  # longer runs without blanks are no words and stay as they are
-SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+(])(?:[ ._\-*]{1,2}(?:[^\W_]|[@$!|+(])){3,30}(?!\S)")
+SAME, SWAPPED, EXTRA, LITERAL = (math.log(p) for p in (0.9, 0.05, 0.2, 0.05))
+# Separators as nothing and as a word border: one blank, more or other blanks, other signs.
+BLANK, GAP, SIGN = ((math.log(a), math.log(b)) for a, b in ((0.97, 0.03), (0.2, 0.8), (0.1, 0.05)))
+MAX_WORD = 40  # restorations of longer runs without blanks are not remembered
+SPACED = re.compile(r"(?<![\w@$!|+.\-*'’])(?:[^\W_]|[@$!|+(])(?:[\s._\-*]{1,3}(?:[^\W_]|[@$!|+(])){2,}(?![\w@$|+(])")
+GAPS = re.compile(r"[\s._\-*]+")
 HARD = re.compile(r"[0-9@$!|+(€£*._\-~'’^=,:;#/\\]|(.)\1\1")
 EDGES = re.compile(r"^[^\w@$!|+(€£]+|[^\w@$|+]+$")
 KNOWN_MAX = 400_000
 BATCH_BYTES = 8_000_000
+WORDS_MAX = 100_000  # most frequent words kept to part spaced-out ones
+UNKNOWN = math.log(1e-3)  # of a word that is not among them, besides its letters
+PART_MAX = 24  # letters of a known word at most
 TRIGRAMS_MAX = 200_000  # most frequent trigrams kept of the character model
 KEYS_MAX = 50_000  # most significant words and beginnings kept by the scorer
 LABELLED_MAX = 10_000  # rows of each label learnt from, chosen by a hash of the id
@@ -47,9 +55,11 @@ PREFIXES = (4, 5, 6)
 
 
 class CharModel:
-    """Interpolated character trigrams; contexts and letters never seen share a floor."""
+    """Interpolated character trigrams; contexts and letters never seen share a floor. Counts of words."""
 
-    def __init__(self, counts: dict[str, int]):
+    def __init__(self, counts: dict[str, int], words: dict[str, int] | None = None):
+        self.words = words or {}
+        self.all_words = sum(self.words.values())
         tri, bi, uni = Counter(), Counter(), Counter()
         context2, context1 = Counter(), Counter()
         for gram, n in counts.items():
@@ -78,7 +88,7 @@ def trigrams(word: str) -> Iterator[str]:
 
 
 def lattice(written: str) -> list[list[tuple[str, float]]]:
-    """Per run of one sign its hidden strings with log channel probability; '' drops a separator."""
+    """Per run of one sign its hidden strings with log channel probability; a separator is '' or ' ', a word border."""
     steps = []
     for sign, run in groupby(written):
         n = len(list(run))
@@ -86,35 +96,88 @@ def lattice(written: str) -> list[list[tuple[str, float]]]:
             ways = [(sign, SAME + EXTRA * (1 if n > 1 else 0) * 0.5)]
             if n > 1:
                 ways.append((sign * 2, SAME * 2))
+        elif sign.isspace():
+            join, border = BLANK if sign == " " and n == 1 else GAP
+            ways = [("", join), (" ", border)]
         else:
             ways = [(letter * k, (SWAPPED + SAME * (n > 1)) * k) for letter in LOOK_ALIKES.get(sign, "") for k in (1, 2)[: n]]
             if sign in SEPARATORS:
-                ways.append(("", MARK))
+                ways += [("", SIGN[0]), (" ", SIGN[1])]
             ways.append((sign * min(n, 3), LITERAL * min(n, 3)))
         steps.append(ways)
     return steps
 
 
 def decode(written: str, model: CharModel) -> str:
-    """The most likely hidden word (Viterbi; states are the last two characters)."""
-    best = {"^^": (0.0, "")}
+    """The most likely hidden words, joined by blanks (Viterbi; states are the last two characters)."""
+    best: dict[str, tuple[float, tuple | None]] = {"^^": (0.0, None)}
+    log = model.log
     for ways in lattice(written):
-        following: dict[str, tuple[float, str]] = {}
-        for state, (score, text) in best.items():
+        following: dict[str, tuple[float, tuple | None]] = {}
+        for state, (score, path) in best.items():
             for hidden, cost in ways:
                 total, last = score + cost, state
-                for c in hidden:
-                    total += model.log(last + c)
-                    last = last[1] + c
+                if hidden == " ":
+                    if last != "^^":
+                        total += log(last + "$")
+                        last = "^^"
+                else:
+                    for c in hidden:
+                        total += log(last + c)
+                        last = last[1] + c
                 if last not in following or total > following[last][0]:
-                    following[last] = (total, text + hidden)
+                    following[last] = (total, (path, hidden) if hidden else path)
         best = following
-    return max((score + model.log(state + "$"), text) for state, (score, text) in best.items())[1]
+    ends = ((score + (log(state + "$") if state != "^^" else 0.0), state) for state, (score, _) in best.items())
+    path, parts = best[max(ends)[1]][1], []
+    while path:
+        path, hidden = path
+        parts.append(hidden)
+    return " ".join("".join(reversed(parts)).split())
+
+
+def parted(word: str, model: CharModel) -> list[str]:
+    """The likeliest words whose letters follow each other in ``word``.
+
+    A known word costs its share of all words, another one its letters' probability.
+    """
+    best: list[tuple[float, int]] = [(0.0, 0)]
+    other = [0.0]  # of letters since the last border, were all in one unknown word
+    starts = [0]
+    for end in range(1, len(word) + 1):
+        # An unknown word may begin anywhere; of those the best so far is carried on.
+        begun = end - 1
+        fresh = best[begun][0] + UNKNOWN + model.log("^^" + word[begun])
+        more = -math.inf
+        if end > 1:
+            before = ("^" + word[end - 2]) if starts[begun] == begun - 1 else word[end - 3 : end - 1]
+            more = other[begun] + model.log(before + word[begun])
+        other.append(max(fresh, more))
+        starts.append(begun if fresh >= more else starts[begun])
+        tail = ("^" + word[begun]) if starts[end] == begun else word[end - 2 : end]
+        found = (other[end] + model.log(tail + "$"), starts[end])
+        for start in range(max(0, end - PART_MAX), end):
+            n = model.words.get(word[start:end])
+            if n:
+                found = max(found, (best[start][0] + math.log(n / model.all_words), start))
+        best.append(found)
+    out, end = [], len(word)
+    while end:
+        out.append(word[best[end][1] : end])
+        end = best[end][1]
+    return out[::-1]
+
+
+def spaced_words(run: str, model: CharModel) -> str:
+    """The words of a run of single letters with separators; all of them wide count as narrow."""
+    least = min(map(len, GAPS.findall(run)))
+    hidden = decode(GAPS.sub(lambda m: m.group()[least - 1 :], run), model)
+    return " ".join(part for word in hidden.split() for part in parted(word, model)) if model.words else hidden
 
 
 def restored_word(written: str, model: CharModel) -> str:
-    """Restoration of one lower-case word; punctuation around it is dropped."""
-    if len(written) > MAX_WORD or not HARD.search(written):
+    """Restoration of one lower-case word, several where it hides borders; punctuation around it is dropped."""
+    if not HARD.search(written):
         return written
     inner = EDGES.sub("", written)
     return decode(inner, model) if HARD.search(inner) else inner
@@ -140,23 +203,24 @@ class Words:
         known, out = self.known, set()
         for word in written:
             try:
-                out.add(known[word])
+                out.update(known[word])
             except KeyError:
-                value = self.of_word(restored_word(word, self.model))
+                values = self.of_words(restored_word(word, self.model))
                 if len(word) <= MAX_WORD:
-                    known[word] = value
-                out.add(value)
+                    known[word] = values
+                out.update(values)
         for match in SPACED.finditer(text):
-            joined = re.sub(r"[ ._\-*]", "", match.group())
-            out.add(self.of_word(decode(joined, self.model)))
-        out.discard(None)
+            out.update(self.of_words(spaced_words(match.group(), self.model)))
         return out
 
+    def of_words(self, restored: str) -> tuple:
+        return tuple(v for v in map(self.of_word, restored.split()) if v is not None)
+
 
 def restore_text(text: str | None, model: CharModel) -> str:
     """The whole restored text in lower case, words joined by blanks; null gives ''."""
     text = (text or "").lower()
-    spaced = SPACED.sub(lambda m: decode(re.sub(r"[ ._\-*]", "", m.group()), model), text)
+    spaced = SPACED.sub(lambda m: spaced_words(m.group(), model), text)
     return " ".join(restored_word(w, model) for w in spaced.split())
 
 
@@ -229,10 +293,10 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", max_rows: int = LABELLED_MAX) -> Model:
-    """Learn from labelled rows: of each label at most ``max_rows``, those of smallest id hash.
+    """Learn characters from all documents and the rest from labelled rows: of each label at most ``max_rows``, those of smallest id hash.
 
     Rows without a label or an id, and labels without a document, are not used. An id with
-    several labels counts with the largest. Without any usable row the score is a constant.
+    several labels counts with the largest. Documents without a label count for the characters. Without any usable row the score is a constant.
     """
     spark = docs.sparkSession
     known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
@@ -247,21 +311,36 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
     sample = common.staged(rows.select("_y", "_data").repartition(common.task_partitions(spark)), "toxic-sample")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = Counter()
-        for batch in batches:
-            words = Counter()
-            for data in batch.column("_data").to_pylist():
-                words.update(w for w in data.decode("utf-8", "replace").lower().split() if len(w) <= MAX_WORD)
+        words = Counter()
+
+        def flushed() -> pa.RecordBatch:
+            total = Counter()
             for word, n in words.items():
                 inner = EDGES.sub("", word)
                 if inner and not HARD.search(inner):
+                    total["w" + inner] += n
                     for gram in trigrams(inner):
-                        total[gram] += n
-        yield pa.RecordBatch.from_pydict({"gram": list(total), "n": list(total.values())})
+                        total["g" + gram] += n
+            words.clear()
+            return pa.RecordBatch.from_pydict({"item": pa.array(list(total), pa.string()), "n": pa.array(list(total.values()), pa.int64())})
+
+        for batch in slices(batches, "_data", BATCH_BYTES):
+            for data in batch.column("_data").to_pylist():
+                words.update(data.decode("utf-8", "replace").lower().split())
+            if len(words) > KNOWN_MAX:
+                yield flushed()
+        yield flushed()
+
+    items = common.in_bytes(docs, text).mapInArrow(counted, "item string, n long").groupBy("item").agg(F.sum("n").alias("n"))
+    items = common.staged(items, "toxic-characters")
+
+    def most(kind: str, limit: int) -> dict[str, int]:
+        some = items.filter(F.col("item").startswith(kind)).orderBy(F.desc("n"), "item").limit(limit)
+        return {r.item[1:]: r.n for r in some.collect()}
 
-    grams = sample.mapInArrow(counted, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    kept = grams.orderBy(F.desc("n"), "gram").limit(TRIGRAMS_MAX).collect()
-    chars = CharModel({r.gram: r.n for r in kept if r.gram and len(r.gram) == 3})
+    # Bounded: TRIGRAMS_MAX and WORDS_MAX short texts with a number.
+    known_words = {w: n for w, n in most("w", WORDS_MAX).items() if len(w) <= PART_MAX}
+    chars = CharModel({g: n for g, n in most("g", TRIGRAMS_MAX).items() if len(g) == 3}, known_words)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(chars, keys_of_word)

@@ -98,6 +98,24 @@ def test_toxicity_restores_and_ranks(spark, odd, docs, sf_dir):
     assert toxicity.fit(docs.limit(0), spark.createDataFrame([], "doc_id long, toxic int")).lexicon.weights == {}
 
 
+def test_toxicity_finds_borders_in_spaced_and_long_runs(spark):
+    known = "you are a an i the stupid man idiot and is bad this what it in to of".split()
+    chars = toxicity.CharModel(Counter(g for w in known * 50 for g in toxicity.trigrams(w)), dict.fromkeys(known, 50))
+    for written, want in [
+        ("you are a s t u p i d man", "you are a stupid man"), ("i s t u p i d", "i stupid"), ("y o u a r e a n i d i o t", "you are an idiot"),
+        ("s t u p i d i d i o t", "stupid idiot"), ("a  s t u p i d  m a n", "a stupid man"), ("so b a d", "so bad"), ('"s t u p i d".', '"stupid".'),
+        ("y o u a r e a n i d i o t " * 9, "you are an idiot " * 9), ("y-o-u-" * 15 + "1d10t", None),
+    ]:
+        got = toxicity.restore_text(written, chars)
+        if want is None:
+            assert got.endswith("idiot")
+        else:
+            assert [w.strip('".') for w in got.split()] == [w.strip('".') for w in want.split()], got
+    docs = spark.createDataFrame([(1, "abcd abcd"), (2, "efgh")], "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(1, 0)], "doc_id long, toxic int"))
+    assert model.chars.tri["efg"] == 1 and model.chars.tri["abc"] == 2
+
+
 def test_toxicity_learns_planted_words(spark):
     rows = [(i, ("plain text here number %d " % (i % 7)) * 5 + ("such an idiot" if i % 3 == 0 else "such a day")) for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
