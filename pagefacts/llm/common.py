@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,17 +16,12 @@ from pyspark.sql import functions as F
 SPACES = " \t\n\x0b\x0c\r"
 WORD_SQL = r"[^\x20\x09-\x0D]+"
 GAP_SQL = r"[\x20\x09-\x0D]+"
-
-
-def tuned(spark: SparkSession, df: DataFrame | None = None) -> DataFrame | None:
-    """Bound the batches sent to Python by rows and bytes: texts are of very different length."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
-    return df
+BATCH_ROWS = 5000
+GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return tuned(spark, spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -50,17 +46,29 @@ def in_bytes(df: DataFrame, text: str, *keep: str | Column) -> DataFrame:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, budget: int) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches whose ``column`` holds about ``budget`` bytes at most (or one row)."""
+    """The same rows in batches of at most BATCH_ROWS rows whose ``column`` holds about ``budget``
+    bytes at most (or one row): large batches are cut, small ones joined, whatever the session sends."""
+    pieces, rows, held = [], 0, 0
+
+    def joined() -> pa.RecordBatch:
+        if len(pieces) == 1:
+            return pieces[0]
+        return pa.Table.from_batches(pieces).combine_chunks().to_batches()[0]
+
     for batch in batches:
-        sizes = pc.binary_length(batch.column(column)).to_pylist()
-        start, held = 0, 0
-        for i, size in enumerate(sizes):
-            if i > start and held + size > budget:
-                yield batch.slice(start, i - start)
-                start, held = i, 0
-            held += size
+        start = 0
+        for i, size in enumerate(pc.binary_length(batch.column(column)).to_pylist()):
+            size = size or 0
+            if rows and (held + size > budget or rows == BATCH_ROWS):
+                if i > start:
+                    pieces.append(batch.slice(start, i - start))
+                yield joined()
+                pieces, rows, held, start = [], 0, 0, i
+            rows, held = rows + 1, held + size
         if start < batch.num_rows:
-            yield batch.slice(start)
+            pieces.append(batch.slice(start))
+    if pieces:
+        yield joined()
 
 
 class Remembered:
@@ -100,6 +108,21 @@ class Remembered:
         return out
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijective scramble of 64-bit numbers (the splitmix finaliser)."""
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def no_clash(keep: Iterable[str], results: Iterable[str]) -> None:
+    """Columns passed through may not have the name of a result."""
+    both = {k.lower() for k in keep} & {r.lower() for r in results}
+    if both:
+        raise ValueError(f"rename these columns first: {sorted(both)}")
+
+
 def words_of(data: bytes) -> list[bytes]:
     """Words of UTF-8 text with A-Z lower-cased; both steps only touch ASCII bytes."""
     return data.lower().split()
@@ -111,7 +134,7 @@ def crc_mod(doc_id: Column, n: int) -> Column:
 
 
 def n_words(text: Column) -> Column:
-    """Words of a text, null as 0, without building them: starts of runs are counted."""
+    """Words of a text, null as 0."""
     marks = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     ")
     return F.when(F.trim(marks) == "", 0).otherwise(
         F.size(F.split(F.trim(marks), " +"))

@@ -23,8 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
-from .common import words_of
-from .superminhash import GOLDEN, mixed
+from .common import GOLDEN, mixed, words_of
 
 CHUNK_BYTES = 6_000_000  # text of a chunk
 SHARD_BYTES = 12_000_000  # text whose words and pairs one shard adds up

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import hamming, interpolation, mixing, packing, pii, quality, superminhash, token_counts, toxicity, urls
+from . import fill_in_middle, filter_audit, hamming, interpolation, licenses, mixing, packing, pii, quality, superminhash, token_counts, toxicity, urls
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_pii": pii.op10_pii,
+    "op11_fill_in_middle": fill_in_middle.op11_fill_in_middle,
+    "op12_filter_audit": filter_audit.op12_filter_audit,
+    "op13_licenses": licenses.op13_licenses,
 }
 
-SQL = {**hamming.SQL}
+SQL = {**hamming.SQL, **fill_in_middle.SQL, **filter_audit.SQL, **licenses.SQL}

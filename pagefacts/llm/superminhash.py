@@ -18,21 +18,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
-from .common import slices, words_of
+from .common import GOLDEN, mixed, slices, words_of
 
 SLOTS, ROWS = 192, 6  # 32 bands: a pair at 0.8 is missed 6 times in 100,000, at 0.85 3 in 10 million
 BLOCK = 8192  # shingles worked on at once
 SLACK = 0.1  # a sketch this far below the threshold (near four deviations) is hopeless
 ROUNDS = 6  # rounds in which each open bucket compares one more of its nodes with all others
 BATCH_BYTES = 4_000_000
-GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A bijective scramble of 64-bit numbers (the splitmix finaliser)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
 
 
 def word_hashes(texts: list[list[bytes]]) -> list[np.ndarray]:
