@@ -25,7 +25,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     Null and empty texts stay.
     """
-    docs = common.tuned(spark, docs).select(*COLUMNS)
+    docs = docs.select(*COLUMNS)
     model = toxicity.fit(docs, common.read(spark, sf_dir, "labels").select("doc_id", "toxic"))
     rows = toxicity.score_toxicity(docs, model, keep=COLUMNS)
     return rows.filter(F.col("score") < toxicity.THRESHOLD).select(*COLUMNS)
@@ -33,7 +33,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, similarity 0.8), and of repeated rows one."""
-    docs = common.tuned(spark, docs).select(*COLUMNS)
+    docs = docs.select(*COLUMNS)
     groups = superminhash.near_duplicates(docs, keep=(row_key(),))
     kept = groups.filter("kept").select("row_key").distinct()
     return docs.select("*", row_key()).join(kept, "row_key").dropDuplicates(["row_key"]).select(*COLUMNS)
@@ -41,7 +41,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data in their texts replaced by its kind; n_chars follows changed texts."""
-    docs = common.tuned(spark, docs).select(*COLUMNS)
+    docs = docs.select(*COLUMNS)
     rows = pii.find_pii(docs, pii.fit(docs), keep=COLUMNS, redact=True)
     n_chars = F.when(F.col("redacted").isNotNull(), F.length("redacted")).otherwise(F.col("n_chars")).cast("long")
     return rows.select(*(c.alias(name) for name, c in {
@@ -51,7 +51,7 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them (0 to 3 times); those without words stay once."""
-    docs = common.tuned(spark, docs).select(*COLUMNS)
+    docs = docs.select(*COLUMNS)
     mixed = mixing.mix(docs.select("*", row_key()), key="row_key")
     copies = mixed.filter("copies > 0").select("row_key", "copies").distinct()
     rows = docs.select("*", row_key()).join(copies, "row_key")
@@ -60,7 +60,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences, as ``packing.pack_documents`` gives them."""
-    return packing.pack_documents(common.tuned(spark, docs), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [

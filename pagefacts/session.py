@@ -15,6 +15,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Pages are wide: small Arrow batches keep a Python worker's memory flat.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
