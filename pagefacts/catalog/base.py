@@ -13,16 +13,28 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
+# Tables whose rows hold whole pages or texts.
+WITH_MARKUP = ("pages", "documents", "conversations")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df
 
 
-def derived(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """Run a shared SQL text on the tables of ``sf_dir``."""
-    used = [name for name in TABLES if "{" + name + "}" in sql]
-    return spark.sql(sql, **{name: table(spark, sf_dir, name) for name in used})
+def dealt(df: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Narrow rows dealt out over ``tasks`` (all cores unless given), before pages are rendered from them.
+
+    The given tables are single files of one row group, so one task would render and read all
+    pages. Rows that hold markup are not dealt out: they stay where they are read.
+    """
+    return df.repartition(tasks or df.sparkSession.sparkContext.defaultParallelism)
+
+
+def derived(spark: SparkSession, sf_dir: str, sql: str, tasks: int | None = None) -> DataFrame:
+    """Run a shared SQL text on the tables of ``sf_dir``, those without markup dealt out over ``tasks``."""
+    used = {name: table(spark, sf_dir, name) for name in TABLES if "{" + name + "}" in sql}
+    return spark.sql(sql, **{name: df if name in WITH_MARKUP else dealt(df, tasks) for name, df in used.items()})
 
 
 def twin(sql: str, **inputs: str) -> str:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions import nodes as N
+from ..functions.text import decode_entities
 from ..operators import gate as G
 from ..operators import hosts
 from ..operators.report import dataset_verdicts
@@ -93,6 +94,44 @@ def content_error_type_5000(spark, sf_dir):
     return pages.select("page_id", G.content_error_type(F.col("html"), text_limit=G.TEXT_LIMIT).alias("error_type"))
 
 
+# The same sentences where something is never closed: the rest of such a page shows nothing.
+BROKEN_PAGES = f"""SELECT page_id, url, status_code, concat(replace(replace(html, '</body>', ''), '</html>', ''), CASE page_id % 5
+  WHEN 0 THEN '<!-- page not found' WHEN 1 THEN '<p title="forbidden' WHEN 2 THEN '<!forbidden' WHEN 3 THEN concat('<style>', repeat('<!-- ', 50))
+  ELSE concat('<!-- x', repeat(' <!-- forbidden <p>', 50)) END) AS html FROM ({MARKED_PAGES})"""
+
+
+@add("content_error_type_broken", twin(f"SELECT page_id, {MARK_TYPES} AS error_type FROM {{marked}}", marked=MARKED_PAGES))
+def content_error_type_broken(spark, sf_dir):
+    return derived(spark, sf_dir, BROKEN_PAGES).select("page_id", G.content_error_type(F.col("html")).alias("error_type"))
+
+
+# Text between what is not shown, and each kind of end that is never closed.
+BROKEN_TEXTS = """SELECT p_partkey AS page_id, p_name, p_type, p_brand, p_size, concat('<html><head><script>var a = "<b>" + "<!--";</script><style>p > b</style></head><body>',
+  '<p title="1 > 0">', p_name, '</p><!-- gone <p>', p_brand, ' --><noscript>', p_brand, '</noscript><div>', p_type, ' 1 < 2 &eacute;&ensp;&amp;lt;&#8364;</div>',
+  CASE p_partkey % 6 WHEN 0 THEN concat('<!-- never <p>', p_brand) WHEN 1 THEN concat('<script>never <p>', p_brand) WHEN 2 THEN concat('<p title="', p_brand)
+    WHEN 3 THEN concat('<style media=x', p_brand) WHEN 4 THEN concat('<noscript><p>', p_brand) ELSE concat('</p>', p_size) END) AS html FROM {part}"""
+
+
+@add("visible_text", twin("""SELECT page_id, concat(p_name, p_type, ' 1 < 2 é', chr(8194), '&lt;€', CASE WHEN page_id % 6 = 5 THEN concat('', p_size) ELSE '' END) AS text,
+  text AS reader_text FROM {broken}""", broken=BROKEN_TEXTS))
+def visible_text(spark, sf_dir):
+    pages = derived(spark, sf_dir, BROKEN_TEXTS).select("page_id", H.visible_text(F.col("html")).alias("text"), "html")
+    return N.with_doc(pages).select("page_id", "text", N.page_text(F.col("doc")).alias("reader_text"))
+
+
+# Character references as pages write them: named, rare, without a semicolon, numbers of both kinds, none.
+REFERENCES = """SELECT p_partkey AS id, p_name, concat(p_name, CASE p_partkey % 12 WHEN 0 THEN '&ensp;x' WHEN 1 THEN '&eacute;x' WHEN 2 THEN '&copy2024' WHEN 3 THEN '&#8364;x'
+  WHEN 4 THEN '&#x1F600x' WHEN 5 THEN '&amp;eacute;' WHEN 6 THEN '&unknown;' WHEN 7 THEN '&#0;&#128;' WHEN 8 THEN '&notit;' WHEN 9 THEN 'a & b &&lt;'
+  WHEN 10 THEN '&NotEqualTilde;' ELSE '&;&#;&#xg' END) AS written FROM {part}"""
+
+
+@add("decoded_references", twin("""SELECT id, concat(p_name, CASE id % 12 WHEN 0 THEN concat(chr(8194), 'x') WHEN 1 THEN 'éx' WHEN 2 THEN '©2024' WHEN 3 THEN '€x'
+  WHEN 4 THEN concat(chr(128512), 'x') WHEN 5 THEN '&eacute;' WHEN 6 THEN '&unknown;' WHEN 7 THEN concat(chr(65533), '€') WHEN 8 THEN '¬it;' WHEN 9 THEN 'a & b &<'
+  WHEN 10 THEN concat(chr(8770), chr(824)) ELSE '&;&#;&#xg' END) AS text FROM {refs}""", refs=REFERENCES))
+def decoded_references(spark, sf_dir):
+    return derived(spark, sf_dir, REFERENCES).select("id", decode_entities(F.col("written")).alias("text"))
+
+
 FAILURES = """SELECT event_id, user_id, concat('https://h', user_id, '.example.net/') AS url, CASE event_type WHEN 'view' THEN concat('net::timeout after ', event_id)
   WHEN 'click' THEN 'connect ECONNREFUSED' WHEN 'error' THEN concat('getaddrinfo ENOTFOUND h', user_id) ELSE
   CASE WHEN event_id % 3 = 0 THEN 'bad certificate' WHEN event_id % 3 = 1 THEN 'Timeout' END END AS error_message FROM {events}"""
@@ -126,7 +165,7 @@ HIDDEN_PAGES = """SELECT p_partkey AS page_id, concat('<body><div>', p_name, '<p
 @add("strip_hidden", "SELECT p_partkey AS page_id, p_name || p_type || p_size AS text, 3 AS n_nodes FROM part")
 def strip_hidden(spark, sf_dir):
     docs = N.with_doc(derived(spark, sf_dir, HIDDEN_PAGES))
-    return docs.select("page_id", "doc.text", F.size("doc.nodes").alias("n_nodes"))
+    return docs.select("page_id", N.page_text(F.col("doc")).alias("text"), F.size("doc.nodes").alias("n_nodes"))
 
 
 @add("strip_scripts", """SELECT page_id, regexp_replace(regexp_replace(html, '(?is)<script.*?</script>', '', 'g'), '(?is)<style.*?</style>', '', 'g') AS html FROM pages""")

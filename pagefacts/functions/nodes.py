@@ -1,9 +1,9 @@
 """page_nodes: the one place where Python sees a page.
 
-An Arrow UDF turns HTML into ``STRUCT<text, nodes>``. ``text`` is the page's text without
-scripts, styles and hidden parts; each node is an element with its place in document order
-and the range of ``text`` it covers. A node's subtree is a contiguous slice of ``nodes``
-and its text a slice of ``chunks``, the pieces of ``text`` between tags: reading it costs
+An Arrow UDF turns HTML into ``STRUCT<nodes, chunks>``. The chunks are the pieces between tags of
+the page's text without scripts, styles and hidden parts; each node is an element with its place in
+document order and the range of that text it covers. A node's subtree is a contiguous slice of
+``nodes`` and its text a slice of ``chunks``: reading it costs
 its own length, where a substring would walk the page from its start. So the output is
 linear in the page and everything after it (selectors, fields, sections, titles) is Spark
 expressions on one row.
@@ -111,8 +111,7 @@ _SPARK = {"int": T.IntegerType(), "string": T.StringType()}
 NODE_TYPE = T.StructType([T.StructField(n, _SPARK[t]) for n, t in NODE_FIELDS])
 DOC_TYPE = T.StructType(
     [
-        T.StructField("text", T.StringType()), T.StructField("nodes", T.ArrayType(NODE_TYPE)),
-        T.StructField("chunks", T.ArrayType(T.StringType())),
+        T.StructField("nodes", T.ArrayType(NODE_TYPE)), T.StructField("chunks", T.ArrayType(T.StringType())),
     ]
 )
 _ARROW = {"int": pa.int32(), "string": pa.string()}
@@ -121,9 +120,9 @@ _ARROW = {"int": pa.int32(), "string": pa.string()}
 _ATTRS = r"((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|))*+)"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<[!?][^>]*>"
+    r"|<[!?][^>]*(?:>|\Z)"
     rf"|<(script|style|title|textarea)(?=[\s/>]){_ATTRS}>(.*?)(?:</\1\s*>|\Z)"
-    rf"|<(/?)([a-z][^\s/>]*){_ATTRS}>",
+    rf"|<(/?)([a-z][^\s/>]*){_ATTRS}(?:>|\Z)",
     re.S | re.I,
 )
 _ATTR = re.compile(r"""([^\s=/>"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*))""")
@@ -191,9 +190,7 @@ def read_chunks(source, looks=None, drop_hidden=True, dropped_tags=_DROPPED):
                 heading[4] = len(rows) + 1
         return stack[-1]
 
-    # A tag cannot begin behind the last '>'.
-    tags_end = source.rfind(">") + 1
-    for m in _TOKEN.finditer(source, 0, tags_end):
+    for m in _TOKEN.finditer(source):
         begin = m.start()
         if begin > at and top[1] is not None:
             data = source[at:begin]
@@ -208,6 +205,8 @@ def read_chunks(source, looks=None, drop_hidden=True, dropped_tags=_DROPPED):
         elif tag is None:
             continue
         tag = tag.lower()
+        if raw_tag is None and source[at - 1] != ">":
+            break  # the text ends inside a tag
 
         if slash:
             if open_tags.get(tag):
@@ -292,10 +291,9 @@ def _trim_ranges(rows, chunks, starts, length):
 
 def _parse_batch(pages, drop_hidden):
     columns = [[] for _ in NODE_FIELDS]
-    texts, pieces, offsets, looks = [], [], [0], {}
+    pieces, offsets, looks = [], [0], {}
     for source in pages.to_pylist():
         chunks, rows = read_chunks(source or "", looks, drop_hidden)
-        texts.append("".join(chunks))
         pieces.append(chunks)
         for column, values in zip(columns, zip(*rows)):
             column.extend(values)
@@ -306,10 +304,10 @@ def _parse_batch(pages, drop_hidden):
     )
     return pa.StructArray.from_arrays(
         [
-            pa.array(texts, pa.string()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), nodes),
+            pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), nodes),
             pa.array(pieces, pa.list_(pa.string())),
         ],
-        names=["text", "nodes", "chunks"],
+        names=["nodes", "chunks"],
     )
 
 
@@ -409,6 +407,11 @@ def inside(nodes: Column, node: Column) -> Column:
     return F.slice(nodes, node["seq"] + 1, node["last"] - node["seq"])
 
 
+def page_text(doc: Column) -> Column:
+    """All text of the page."""
+    return F.array_join(doc["chunks"], "")
+
+
 def joined_text(doc: Column, nodes: Column) -> Column:
     """Texts of several elements put together, then trimmed."""
     return F.btrim(

@@ -6,7 +6,9 @@ do, so the class is spelled out once here and used everywhere.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,20 +26,12 @@ BLANKS = "".join(
 BLANK_CLASS = r"\t\n\x0B\f\r \x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}"
 WS = f"[{BLANK_CLASS}]"
 
-# Named character references decoded outside the page parser.
-NAMED_REFERENCES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&apos;", "'"),
-    ("&nbsp;", "\u00a0"),
-    ("&ndash;", "–"),
-    ("&mdash;", "—"),
-    ("&bull;", "•"),
-    ("&hellip;", "…"),
-    ("&copy;", "©"),
-    ("&reg;", "®"),
-)
+# References most pages have, looked at first; all others are in the table that the page reader uses, too.
+COMMON_REFERENCES = ("amp;", "nbsp;", "lt;", "gt;", "quot;", "apos;", "ndash;", "mdash;", "bull;", "hellip;", "copy;", "reg;")
+# Old names that count without a semicolon, as beginnings of longer words, too.
+OPEN_REFERENCES = {name: char for name, char in html5.items() if not name.endswith(";")}
+# Numbers of the C1 range mean characters of the Windows code page, where it has one.
+C1 = [bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)]
 
 
 def let(col: Column, body: Callable[[Column], Column]) -> Column:
@@ -77,30 +71,65 @@ def rlike_any(col: Column, patterns) -> Column:
     return col.rlike("|".join(f"(?:{p})" for p in patterns))
 
 
-def _numeric_references(col: Column) -> Column:
-    # Split at '&#', turn the leading code of each later piece into its character.
-    def decoded(piece: Column, code: Column) -> Column:
-        known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        rest = F.regexp_replace(piece, "^[xX]?[0-9a-fA-F]+;", "")
-        return F.when(known, F.concat(char, rest)).otherwise(F.concat(F.lit("&#"), piece))
+def _table(values: dict[str, str]) -> Column:
+    return F.from_json(F.lit(json.dumps(values)), "map<string,string>")
 
-    def one(piece: Column, i: Column) -> Column:
-        decimal = F.regexp_extract(piece, "^([0-9]{1,7});", 1).try_cast("bigint")
-        hexadecimal = extract(piece, "^[xX]([0-9a-fA-F]{1,6});")
-        code = F.coalesce(decimal, F.conv(hexadecimal, 16, 10).try_cast("bigint"))
-        return F.when(i == 0, piece).otherwise(let(code, lambda c: decoded(piece, c)))
 
-    return F.array_join(F.transform(F.split(col, "&#"), one), "")
+def _character(code: Column) -> Column:
+    """Character of a numeric reference; numbers that are none have the replacement character or nothing."""
+    nothing = code.between(1, 8) | (code == 0xB) | code.between(0xE, 0x1F) | (code == 0x7F) | code.between(0xFDD0, 0xFDEF)
+    nothing = nothing | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+    return (
+        F.when((code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), "�")
+        .when(code.between(0x80, 0x9F), F.get(F.array(*map(F.lit, C1)), (code - 0x80).cast("int")))
+        .when(nothing, "")
+        .otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    )
+
+
+def _numeric(piece: Column) -> Column:
+    """What follows '&' where a '#' comes next: the character, and the rest."""
+
+    def decoded(written: Column) -> Column:
+        digits = F.regexp_extract(written, "([0-9a-fA-F]+);?$", 1)
+        base = F.when(F.lower(F.substring(written, 2, 1)) == "x", 16).otherwise(10)
+        short = F.ltrim(digits, F.lit("0"))
+        conv = lambda n: F.conv(short, n, 10).cast("bigint")
+        code = F.when(short == "", 0).when(F.length(short) > 8, 0x110000).otherwise(F.when(base == 16, conv(16)).otherwise(conv(10)))
+        rest = F.substr(piece, F.length(written) + 1)
+        return F.when(written == "", F.concat(F.lit("&"), piece)).otherwise(let(code, lambda c: F.concat(_character(c), rest)))
+
+    return let(F.regexp_extract(piece, "^(#(?:[0-9]+|[xX][0-9a-fA-F]+);?)", 1), decoded)
+
+
+def _named(piece: Column) -> Column:
+    """What follows '&' where a name comes next: the longest known name's characters, and the rest."""
+
+    def decoded(name: Column) -> Column:
+        exact = F.try_element_at(_table(html5), name)
+        starts = [F.substring(name, 1, n) for n in range(6, 1, -1)]
+        begun = [F.when(F.length(name) > n, F.try_element_at(_table(OPEN_REFERENCES), s)) for n, s in zip(range(6, 1, -1), starts)]
+        # '&' and the name stay where nothing is known.
+        found = [F.concat(c, F.substr(piece, F.lit(n + 1))) for n, c in zip(range(6, 1, -1), begun)]
+        return F.coalesce(F.concat(exact, F.substr(piece, F.length(name) + 1)), *found, F.concat(F.lit("&"), piece))
+
+    return let(F.regexp_extract(piece, "^([^\\t\\n\\f <#;]{1,32}+;?)", 1), decoded)
 
 
 def decode_entities(col: Column) -> Column:
-    """Decode common named and all numeric character references, in the JVM."""
+    """Decode all named and numeric character references, in the JVM, as the page reader does.
+
+    The text is split at '&' once; each piece behind one begins with a reference or not.
+    """
+
+    def one(piece: Column, i: Column) -> Column:
+        out = F.when(i == 0, piece)
+        for name in COMMON_REFERENCES:
+            out = out.when(piece.startswith(name), F.concat(F.lit(html5[name]), F.substr(piece, F.lit(len(name) + 1))))
+        out = out.when(piece.startswith("#"), _numeric(piece))
+        return out.when(piece.rlike("^[A-Za-z]"), _named(piece)).otherwise(F.concat(F.lit("&"), piece))
 
     def decoded(text: Column) -> Column:
-        out = F.when(text.contains("&#"), _numeric_references(text)).otherwise(text)
-        for name, char in NAMED_REFERENCES:
-            out = F.replace(out, F.lit(name), F.lit(char))
-        return F.replace(out, F.lit("&amp;"), F.lit("&"))
+        return F.array_join(F.transform(F.split(text, "&"), one), "")
 
     return let(col, lambda text: F.when(text.contains("&"), decoded(text)).otherwise(text))

@@ -90,7 +90,7 @@ def judge_attempts(
         attempts.withColumn("_title", F.lower(H.title_text(page)))
         .withColumn("_text", trim(H.body_text(page, "content")))
         .withColumn("_lower", F.lower("_text"))
-        .withColumn("_markup", H.visible_markup(page))
+        .withColumn("_markup", H.tags_of(H.visible_markup(page)))
     )
     title, text, lower, markup = (F.col(c) for c in ("_title", "_text", "_lower", "_markup"))
 

@@ -112,7 +112,7 @@ def test_well_formed_trees_come_back(tree):
 def test_one_python_step_and_null_pages(spark):
     df = spark.createDataFrame([(1, "<p>x</p>"), (2, None)], "page_id long, html string")
     docs = N.with_doc(df)
-    assert docs.select("page_id", "doc.text", F.size("doc.nodes")).orderBy("page_id").collect() == [(1, "x", 1), (2, "", 0)]
+    assert docs.select("page_id", N.page_text(F.col("doc")), F.size("doc.nodes")).orderBy("page_id").collect() == [(1, "x", 1), (2, "", 0)]
 
 
 def test_deep_and_long_pages_stay_linear():

@@ -133,4 +133,4 @@ def test_pages_are_not_dealt_out_behind_the_caller(spark, sf_dir):
 
 def test_nodes_are_read_once_per_page(spark, pages):
     docs = N.with_doc(pages.select("page_id", "url", "html"))
-    assert plan_of(docs.select(F.size("doc.nodes"), "doc.text")).count("ArrowEvalPython") == 1
+    assert plan_of(docs.select(F.size("doc.nodes"), "doc.chunks")).count("ArrowEvalPython") == 1
