@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import sys
-import types
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -31,7 +29,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables made by ``staged`` once no result that is still to be computed reads them."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def task_partitions(spark: SparkSession) -> int:
@@ -69,42 +76,49 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, budget: int) -> Itera
             pieces.append(batch.slice(start))
     if pieces:
         yield joined()
+    pieces.clear()
+    pa.default_memory_pool().release_unused()
 
 
 class Remembered:
-    """Values of words, kept in a Python worker from task to task; at most ``most`` of them.
+    """Values of words, kept for as long as a task runs; the words of a generation hold at most ``most`` bytes.
 
-    Two generations: words met since the younger one began move into it, and when that is
-    half full it becomes the older. ``name`` stands for all that values depend on.
+    Two generations: words met since the younger one began move into it, and when it is full
+    it becomes the older. With the task both go, so a worker that is used again holds nothing.
     """
 
-    def __init__(self, name: str, most: int):
-        held = sys.modules.setdefault("_remembered_words", types.ModuleType("_remembered_words")).__dict__
-        self.state = held.setdefault(name, {"new": {}, "old": {}})
-        self.most = most
+    OVERHEAD = 200  # bytes a word costs besides its characters: key, value and their places
+
+    def __init__(self, most: int):
+        self.new, self.old, self.held, self.most = {}, {}, 0, most
 
     def peek(self, word):
-        value = self.state["new"].get(word)
-        return self.state["old"].get(word) if value is None else value
+        value = self.new.get(word)
+        return self.old.get(word) if value is None else value
+
+    def keep(self, word, value) -> None:
+        self.new[word] = value
+        self.held += len(word) + self.OVERHEAD
 
     def values(self, words: list, learn) -> list:
         """The value of each word; ``learn`` makes those of a list of words not remembered."""
-        new, old = self.state["new"], self.state["old"]
-        out = list(map(new.get, words))
+        old = self.old
+        out = list(map(self.new.get, words))
         missing = []
         for i in [i for i, v in enumerate(out) if v is None]:
             value = old.get(words[i])
             if value is None:
                 missing.append(i)
             else:
-                out[i] = new[words[i]] = value
+                out[i] = value
+                self.keep(words[i], value)
         if missing:
             for i, value in zip(missing, learn([words[i] for i in missing])):
                 out[i] = value
                 if len(words[i]) <= 48:
-                    new[words[i]] = value
-        if len(new) > self.most // 2:
-            self.state["old"], self.state["new"] = new, {}
+                    self.keep(words[i], value)
+        if self.held > self.most:
+            self.old, self.new, self.held = self.new, {}, 0
         return out
 
 

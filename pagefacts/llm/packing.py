@@ -29,7 +29,7 @@ TIERS = (512, 1024, 2048, 4096)
 END = 2
 POOL = 256  # rests a tier holds before it is packed
 STEP_TOKENS = 1 << 18
-KNOWN_MAX = 1_600_000  # words whose ids a Python worker remembers
+KNOWN_MAX = 48_000_000  # bytes of words a task remembers, in each of two generations
 KNOWN_BYTES = 48
 BATCH_BYTES = 12_000_000
 SIGNS = frozenset(".,;:!?*$%&#|")  # one of them after letters is a pre-token of its own
@@ -64,7 +64,7 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for piece, i in vocabulary.items() if piece.endswith(suffix)]] = True
-        self.known = Remembered(f"ids-{zlib.crc32(content.encode())}-{len(content)}", KNOWN_MAX)
+        self.known = Remembered(KNOWN_MAX)
         self.signs: dict[str, bytes] = {}
         self.special = [x["content"].encode() for x in json.loads(content)["added_tokens"]]
 

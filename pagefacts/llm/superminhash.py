@@ -22,7 +22,7 @@ from .common import GOLDEN, mixed, slices, words_of
 
 SLOTS, ROWS = 192, 6  # 32 bands: a pair at 0.8 is missed 6 times in 100,000, at 0.85 3 in 10 million
 BLOCK = 8192  # shingles worked on at once
-SLACK = 0.1  # a sketch this far below the threshold (near four deviations) is hopeless
+SLACK = 0.16  # a sketch this far below the threshold (six deviations) is hopeless: that loses far less than the bands do
 ROUNDS = 6  # rounds in which each open bucket compares one more of its nodes with all others
 BATCH_BYTES = 4_000_000
 
@@ -89,8 +89,13 @@ def sets_of(texts: list[bytes], width: int) -> list[np.ndarray]:
         return [shingle_set(h, width) for h in word_hashes([words_of(t) for t in texts])]
 
 
+def text_key(text: str) -> Column:
+    """A number for a row's id and text, never null; equal for repeated rows."""
+    return F.xxhash64("doc_id", text).alias("_key")
+
+
 def signed(docs: DataFrame, text: str, width: int, keep: tuple[Column, ...] = ()) -> DataFrame:
-    """doc_id, ``keep``, n_shingles, digest of the set, band keys and a byte for each slot."""
+    """doc_id, ``keep``, a key of id and text, n_shingles, digest of the set, band keys and a byte for each slot."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_data", BATCH_BYTES):
@@ -115,7 +120,7 @@ def signed(docs: DataFrame, text: str, width: int, keep: tuple[Column, ...] = ()
                 names=[*names, "n_shingles", "digest", "bands", "sketch"],
             )
 
-    source = common.in_bytes(docs, text, "doc_id", *keep)
+    source = common.in_bytes(docs, text, "doc_id", *keep, text_key(text))
     names = source.columns[:-1]
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
     return source.mapInArrow(work, f"{kept}, n_shingles long, digest binary, bands array<long>, sketch binary")
@@ -166,9 +171,10 @@ def crossing(nodes: DataFrame, texts: DataFrame, threshold: float, width: int) -
     """Pairs (a, b) of nodes of different components whose sets can reach the threshold.
 
     Only shingles held in several components count. Of sets ordered by one rule, rarest first,
-    two that reach the threshold share one among the first few of each (the prefix filter), and
-    its places bound what they can have in common. Nodes whose own shingles alone fill the first
-    few meet nothing. No pair that reaches the threshold is left out.
+    two that reach the threshold share one among the first few of each (the prefix filter). At the
+    first they share, what comes behind it in either set bounds what they have in common, so a
+    pair is met where that suffices: at its first shared shingle, and at few later ones. Nodes whose
+    own shingles alone fill the first few meet nothing. No pair that reaches the threshold is left out.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,6 +188,7 @@ def crossing(nodes: DataFrame, texts: DataFrame, threshold: float, width: int) -
     percent = round(100 * threshold)
     items = texts.join(nodes, "node").select("node", "component", "_data").mapInArrow(work, "node long, component long, n long, item long")
     items = common.staged(items, "items")
+    # Places are counted among shingles that several components hold: all that nodes of different ones can share.
     counts = F.count("*").alias("holders"), F.min("component").alias("c0"), F.max("component").alias("c1")
     several = items.groupBy("item").agg(*counts).filter("c0 < c1").select("item", "holders")
     one = Window.partitionBy("node")
@@ -189,11 +196,14 @@ def crossing(nodes: DataFrame, texts: DataFrame, threshold: float, width: int) -
     # Shingles of its own component only come first; of n, all but the least overlap and one more are looked at.
     first = F.expr(f"n - ({percent} * n + 99) div 100 + 1")
     rows = common.staged(rows.filter(F.col("n") - F.col("held") + F.col("place") <= first), "prefixes")
+    common.dropped(items)
     x, y = (rows.select("item", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "component", "n", "place", "held"))) for k in "xy")
-    most = F.least("place_x", "place_y") + F.least(F.col("held_x") - F.col("place_x"), F.col("held_y") - F.col("place_y"))
+    most = 1 + F.least(F.col("held_x") - F.col("place_x"), F.col("held_y") - F.col("place_y"))
     can = (100 + percent) * most >= percent * (F.col("n_x") + F.col("n_y"))
     met = x.join(y, (x["item"] == y["item"]) & (F.col("node_x") < F.col("node_y")) & (F.col("component_x") != F.col("component_y")) & can)
-    return met.select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct()
+    pairs = common.staged(met.select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct(), "crossing")
+    common.dropped(rows)
+    return pairs
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -220,22 +230,27 @@ def components(links: DataFrame) -> DataFrame:
         large = least_neighbour(both(edges)).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = least_neighbour(large.filter("u <> v").distinct())
         small = small.select("u", F.col("m").alias("v")).unionByName(small.select(F.col("v").alias("u"), F.col("m").alias("v")))
-        edges = common.staged(small.filter("u <> v").distinct(), "links")
+        last, edges = edges, common.staged(small.filter("u <> v").distinct(), "links")
+        common.dropped(last)
         now = mark(edges)
         if now == before:
             break
         before = now
     low = edges.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
-    return low.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    found = low.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    found = common.staged(found, "components")
+    common.dropped(edges)
+    return found
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", width: int = 5, threshold: float = 0.8, keep: tuple[Column, ...] = ()) -> DataFrame:
-    """doc_id, ``keep``, n_shingles, component_id (least doc_id of the group) and kept, one row per row.
+    """doc_id, ``keep``, n_shingles, component_id (least doc_id of the group), kept and stays, one row per row.
 
     Rows with equal shingle sets are one node, however many; nodes are linked when their sets
     reach ``threshold`` (in hundredths). Null and empty texts have no shingles and are linked
-    with nothing. Rows with a null doc_id take part; their group's id is the least known one,
-    and they are kept only where none is known.
+    with nothing. Rows with a null doc_id take part; their group's id is the least known one, null
+    where none is. ``kept`` says that the row has its group's id. ``stays`` is true for exactly one row
+    of each group, one with its id if any has one, and for each row without shingles.
 
     In each band bucket all nodes are compared with its first and its last. While that leaves
     a bucket in several components, one more of its nodes is compared with those of the other
@@ -243,9 +258,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", width: int = 5, thresho
     buckets that can still link components. So no link that could join groups is lost to
     a bucket's size, and a large group of copies costs a few times its number of rows.
     """
-    rows = common.staged(signed(docs, text, width, keep), "signed")
+    rows = common.staged(signed(docs, text, width, keep).withColumn("_row", F.monotonically_increasing_id()), "signed")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row", "_key")).alias("first")
     nodes = rows.filter("n_shingles > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
+        first, F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
     )
     nodes = common.staged(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     member = nodes.select("node", F.explode("bands").alias("bucket"))
@@ -257,20 +273,20 @@ def near_duplicates(docs: DataFrame, text: str = "text", width: int = 5, thresho
 
     stars = pairs("low", "node").unionByName(pairs("high", "node")).filter("a < b").distinct()
     stars = common.staged(promising(stars, nodes, threshold), "stars")
-    involved = members.select("node").distinct().join(nodes.select("node", "digest"), "node")
-    one_text = rows.filter("n_shingles > 0").select("doc_id", "digest").join(involved, "digest")
-    # One row of each node: its least id, or any row where ids are null.
-    chosen = one_text.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("digest").alias("digest"))
-    texts = _texts(docs, text, chosen, width)
+    involved = members.select("node").distinct().join(nodes.select("node", "digest", "first._key"), "node")
+    texts = _texts(docs, text, involved, width)
     links = common.staged(verified(stars, texts, threshold, width), "verified")
+    scratch = [members, stars, texts, links]
 
     def placed() -> DataFrame:
         """Members of the buckets that still hold several components."""
         found = components(links)
-        rows = members.select("bucket", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        rows = common.staged(rows, "placed")
-        several = rows.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 < c1")
-        return common.staged(rows.join(several.select("bucket"), "bucket"), "open")
+        placed = members.select("bucket", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        placed = common.staged(placed, "placed")
+        several = placed.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 < c1")
+        out = common.staged(placed.join(several.select("bucket"), "bucket"), "open")
+        common.dropped(found, placed)
+        return out
 
     done, rest = stars, placed()
     for turn in range(ROUNDS):
@@ -281,29 +297,34 @@ def near_duplicates(docs: DataFrame, text: str = "text", width: int = 5, thresho
         met = common.staged(promising(met.distinct().join(done, ["a", "b"], "left_anti"), nodes, threshold), "met")
         more = common.staged(verified(met, texts, threshold, width), "verified")
         done = done.unionByName(met)
+        scratch += [met, more]
         if more.isEmpty():
             break
         links = links.unionByName(more)
+        common.dropped(rest)
         rest = placed()
-    nodes_left = rest.select("node", "component").distinct()
-    across = crossing(nodes_left, texts, threshold, width).join(done, ["a", "b"], "left_anti")
-    across = common.staged(promising(across, nodes, threshold), "across")
-    more = verified(across, texts, threshold, width)
-    groups = components(links.unionByName(common.staged(more, "verified")))
-    named = nodes.select("node", "digest", "first_id").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    of_digest = named.join(least, "component").select("digest", "component_id")
-    own_columns = [c for c in rows.columns if c not in ("digest", "bands", "sketch")]
-    out = rows.select(*own_columns, "digest").join(of_digest, "digest", "left")
+    met = crossing(rest.select("node", "component").distinct(), texts, threshold, width)
+    across = common.staged(met.join(done, ["a", "b"], "left_anti"), "across")
+    common.dropped(rest, met)
+    more = common.staged(verified(across, texts, threshold, width), "verified")
+    groups = components(links.unionByName(more))
+    common.dropped(*scratch, across, more)
+    named = nodes.select("node", "digest", "first").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = named.groupBy("component").agg(F.min("first").alias("least"))
+    of_digest = named.join(least, "component").select("digest", F.col("least.doc_id").alias("component_id"), F.col("least._row").alias("_least"))
+    of_digest = common.staged(of_digest, "groups")
+    common.dropped(groups, nodes)
+    own_columns = [c for c in rows.columns if c not in ("digest", "bands", "sketch", "_key", "_row")]
+    out = rows.select(*own_columns, "digest", "_row").join(of_digest, "digest", "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     out = out.withColumn("component_id", own)
-    return out.select(*own_columns, "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
+    return out.select(*own_columns, "component_id", kept.alias("kept"), F.coalesce(F.col("_row") == F.col("_least"), F.lit(True)).alias("stays"))
 
 
-def _texts(docs: DataFrame, text: str, chosen: DataFrame, width: int) -> DataFrame:
-    """node and text of the chosen rows, checked by digest where an id is on several texts."""
-    some = common.in_bytes(docs, text, "doc_id").alias("l").join(chosen.alias("r"), F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")))
-    some = some.select("node", "digest", "_data")
+def _texts(docs: DataFrame, text: str, involved: DataFrame, width: int) -> DataFrame:
+    """node and text of the rows whose key is a node's, checked by digest."""
+    some = common.in_bytes(docs, text, text_key(text)).join(involved, "_key").select("node", "digest", "_data")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_data", BATCH_BYTES):
@@ -311,9 +332,9 @@ def _texts(docs: DataFrame, text: str, chosen: DataFrame, width: int) -> DataFra
             keep = [len(s) > 0 and hashlib.blake2b(s.tobytes(), digest_size=16).digest() == d for s, d in zip(sets, batch.column("digest").to_pylist())]
             yield batch.select(["node", "_data"]).filter(pa.array(keep, pa.bool_()))
 
-    found = common.staged(some.mapInArrow(check, "node long, _data binary"), "texts")
-    return found.dropDuplicates(["node"])
+    # Repeated rows have one key: one of each is enough.
+    return common.staged(some.mapInArrow(check, "node long, _data binary").dropDuplicates(["node"]), "texts")
 
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(common.read(spark, sf_dir, "documents"), width=3, threshold=0.85)
+    return near_duplicates(common.read(spark, sf_dir, "documents"), width=3, threshold=0.85).drop("stays")

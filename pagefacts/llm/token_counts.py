@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 import os
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -26,7 +25,7 @@ from .common import Remembered, slices
 # Unicode White_Space, as the tokenizer's own pattern has it.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PRE_TOKEN = f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
-KNOWN_MAX = 1_000_000  # pre-tokens a Python worker remembers
+KNOWN_MAX = 48_000_000  # bytes of words a task remembers, in each of two generations
 KNOWN_CHARS = 48  # longer pre-tokens are rare and are counted each time
 BATCH_BYTES = 12_000_000
 
@@ -53,7 +52,7 @@ class PieceCounter:
         for piece, i in vocabulary.items():
             self.bytes_of[i] = len(piece)
         self.plain = re.compile(f"[^{WHITE}]+")
-        self.known = Remembered(f"pieces-{zlib.crc32(content.encode())}-{len(content)}", KNOWN_MAX)
+        self.known = Remembered(KNOWN_MAX)
         self.special_bytes = [s.encode() for s in self.special]
         self.find = re.compile(PRE_TOKEN).findall
         self.parts = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else (lambda t: [t])

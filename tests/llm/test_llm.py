@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from pagefacts import session
 from pagefacts.llm import hamming, interpolation, mixing, packing, pii, quality, superminhash, token_counts, toxicity, urls
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, kept boolean, copies int"
@@ -208,6 +209,52 @@ def test_near_duplicates_of_odd_rows(spark, odd):
     assert superminhash.near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_one_row_of_each_group_stays_whatever_the_ids(spark):
+    rng = np.random.default_rng(12)
+    rows = []
+    for group in range(25):
+        base = [f"g{group}w{i}" for i in range(60)]
+        for copy in range(rng.integers(1, 6)):
+            w = list(base)
+            if copy % 2:
+                w[rng.integers(0, 60)] = f"new{rng.integers(0, 1000)}"
+            # A third of the rows have no id, others share one across groups.
+            rows.append((None if rng.random() < 0.34 else int(rng.integers(0, 12)), " ".join(w), f"g{group}"))
+    rows += [rows[0], rows[0], (None, rows[1][1], "g0"), (None, "", None), (None, None, None), (3, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = superminhash.near_duplicates(docs, keep=(F.col("source"), F.col("text"))).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter((r[0], r[1]) for r in rows)
+    texts = [r.text for r in got]
+    sets = {i: set(x.tolist()) for i, x in enumerate(superminhash.sets_of([(t or "").encode() for t in texts], 5))}
+    groups = brute_groups(sets, 80)
+    for g in set(groups.values()):
+        members = [got[i] for i in groups if groups[i] == g]
+        ids = [r.doc_id for r in members if r.doc_id is not None]
+        if members[0].text:
+            assert {r.component_id for r in members} == {min(ids, default=None)}
+            stay = [r for r in members if r.stays]
+            assert len(stay) == 1 and stay[0].doc_id == min(ids, default=None)
+        else:
+            assert all(r.stays for r in members)
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs.selectExpr("*", "'en' AS lang", "1L AS n_chars"), None).collect()
+    texts_left = Counter(r.text for r in stage)
+    assert all(sum(texts_left[t] for t in {got[i].text for i in groups if groups[i] == g}) == 1 for g in set(groups.values()) if got[g].text)
+
+
+def test_near_duplicates_leave_no_dead_tables(spark, docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path))
+    superminhash.near_duplicates(docs).count()
+    assert {p.name.split("-")[0] for p in tmp_path.iterdir()} == {"signed", "groups"}
+
+
+def test_building_queries_leaves_the_settings_alone(spark, sf_dir):
+    configured = entry.configure(spark)
+    before = dict(configured.sparkContext.getConf().getAll()), {k: spark.conf.get(k) for k in session.SETTINGS}
+    for name in ("op3_packing", "op7_mixing", "op9_token_counts", "op11_fill_in_middle", "op12_filter_audit", "op13_licenses", "page_gate"):
+        entry.queries()[name](spark, sf_dir)
+    assert before == (dict(spark.sparkContext.getConf().getAll()), {k: spark.conf.get(k) for k in session.SETTINGS})
+
+
 def test_superminhash_estimates_similarity():
     rng = np.random.default_rng(3)
     errors = []
@@ -361,4 +408,4 @@ def test_pipeline_stages(spark, sf_dir):
 
 def test_queries_are_registered():
     names = set(entry.queries())
-    assert {"pipeline", *(n for n in names if n.startswith("op"))} <= names and len([n for n in names if re.match(r"op\d+_", n)]) == 10
+    assert {"pipeline", *(n for n in names if n.startswith("op"))} <= names and len([n for n in names if re.match(r"op\d+_", n)]) == 13
