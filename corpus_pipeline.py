@@ -32,10 +32,13 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five words, similarity 0.8), and of repeated rows one."""
+    """One document of each group of near duplicates (five words, similarity 0.8), whatever ids its rows have.
+
+    Documents without words are in no group; of repeated rows one stays.
+    """
     docs = docs.select(*COLUMNS)
     groups = superminhash.near_duplicates(docs, keep=(row_key(),))
-    kept = groups.filter("kept").select("row_key").distinct()
+    kept = groups.filter("stays").select("row_key").distinct()
     return docs.select("*", row_key()).join(kept, "row_key").dropDuplicates(["row_key"]).select(*COLUMNS)
 
 
