@@ -148,6 +148,28 @@ def resolve_url_concat(spark, sf_dir):
     return hrefs.select("id", U.resolve_url(U.base_url(F.col("url")), F.col("href"), "concat").alias("link"))
 
 
+# Links of every form on a page in a folder, and where they lead.
+REFERENCES = """
+SELECT p_partkey AS id, concat('https://b', p_size, '.example.net:8443/a/b/page;x?old=', p_size, '#old') AS page, CASE p_partkey % 16
+  WHEN 0 THEN concat('//o', p_size, '.example.net/') WHEN 1 THEN concat('?jobOffset=', p_size) WHEN 2 THEN concat('  ../c/', p_size, ' ') WHEN 3 THEN concat('./', p_size, '/.')
+  WHEN 4 THEN concat('/x/./y/../', p_size) WHEN 5 THEN concat('../../../../', p_size) WHEN 6 THEN concat('#part', p_size) WHEN 7 THEN '' WHEN 8 THEN concat('g;k=', p_size, '/../h')
+  WHEN 9 THEN concat('mailto:a', p_size, '@example.net') WHEN 10 THEN concat('HTTPS://x.example.net/./a/../b?q=/../', p_size) WHEN 11 THEN concat('c//d/../', p_size)
+  WHEN 12 THEN '..' WHEN 13 THEN concat('.hidden/..', p_size) WHEN 14 THEN concat('a:b/', p_size) ELSE concat('c?x=../', p_size, '#../y') END AS href, p_size FROM {part}"""
+
+
+@add("resolve_url_standard", twin("""
+SELECT id, concat(CASE WHEN id % 16 NOT IN (0, 9, 10, 14) THEN concat('https://b', p_size, '.example.net:8443') ELSE '' END, CASE id % 16
+  WHEN 0 THEN concat('https://o', p_size, '.example.net/') WHEN 1 THEN concat('/a/b/page;x?jobOffset=', p_size) WHEN 2 THEN concat('/a/c/', p_size) WHEN 3 THEN concat('/a/b/', p_size, '/')
+  WHEN 4 THEN concat('/x/', p_size) WHEN 5 THEN concat('/', p_size) WHEN 6 THEN concat('/a/b/page;x?old=', p_size, '#part', p_size) WHEN 7 THEN concat('/a/b/page;x?old=', p_size)
+  WHEN 8 THEN '/a/b/h' WHEN 9 THEN concat('mailto:a', p_size, '@example.net') WHEN 10 THEN concat('HTTPS://x.example.net/b?q=/../', p_size) WHEN 11 THEN concat('/a/b/c//', p_size)
+  WHEN 12 THEN '/a/' WHEN 13 THEN concat('/a/b/.hidden/..', p_size) WHEN 14 THEN concat('a:b/', p_size) ELSE concat('/a/b/c?x=../', p_size, '#../y') END) AS link
+FROM {refs}""", refs=REFERENCES))
+def resolve_url_standard(spark, sf_dir):
+    refs = derived(spark, sf_dir, REFERENCES)
+    return refs.select("id", U.resolve_url(F.col("page"), F.col("href"), "standard").alias("link"))
+
+
+
 def twin_board(sql: str) -> str:
     return sql.replace("{board}", "(" + BOARD_URLS + ")")
 

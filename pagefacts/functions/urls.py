@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import blank_to_null, extract, rlike_any, trim
+from .text import blank_to_null, extract, let, rlike_any, trim
 
 # The routes and paths of the hosted career sites.
 LISTING_PATH = "/careers/SearchJobs"
@@ -105,7 +105,13 @@ def slug_title(url: Column) -> Column:
 
 
 def resolve_url(base: Column, href: Column, mode: str = "join") -> Column:
-    """Make a link absolute. ``join`` repairs a missing slash, ``concat`` does not."""
+    """Make a link absolute.
+
+    ``join`` repairs a missing slash, ``concat`` does not; both take ``scheme://host`` as the base.
+    ``standard`` resolves as browsers do and takes the page's own URL.
+    """
+    if mode == "standard":
+        return resolve_reference(base, href)
     if mode == "join":
         glue = F.when(href.startswith("/"), "").otherwise("/")
     elif mode == "concat":
@@ -115,6 +121,64 @@ def resolve_url(base: Column, href: Column, mode: str = "join") -> Column:
     return F.when(href.startswith("http"), href).otherwise(F.concat(base, glue, href))
 
 
+def _url_parts(url: Column) -> Column:
+    """scheme with ':', authority with '//', path, query with '?' and fragment with '#'; '' where there is none."""
+
+    def of(rest: Column, scheme: Column) -> Column:
+        return F.struct(
+            scheme.alias("scheme"),
+            F.regexp_extract(rest, "^//[^/?#]*+", 0).alias("authority"),
+            F.regexp_extract(rest, "^(?://[^/?#]*+)?([^?#]*+)", 1).alias("path"),
+            F.regexp_extract(rest, r"^[^?#]*+(\?[^#]*+)", 1).alias("query"),
+            F.regexp_extract(rest, "(?s)#.*$", 0).alias("fragment"),
+        )
+
+    scheme = F.regexp_extract(url, "^[a-zA-Z][a-zA-Z0-9+.-]*+:", 0)
+    return let(scheme, lambda s: of(F.substr(url, F.length(s) + 1), s))
+
+
+def _without_dots(path: Column) -> Column:
+    """An absolute path without '.' and '..' segments; '..' at the top is dropped. Other paths stay."""
+
+    def walked(segments: Column) -> Column:
+        step = lambda kept, s: (
+            F.when(s == ".", kept).when(s == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))).otherwise(F.concat(kept, F.array(s)))
+        )
+        kept = F.aggregate(segments, F.array().cast("array<string>"), step)
+        last = F.element_at(segments, -1)
+        # A dot at the end names the folder itself.
+        return F.concat(F.lit("/"), F.array_join(F.when(last.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/"))
+
+    dotted = path.rlike(r"^/(?:.*/)?\.\.?(?:/|$)")
+    return F.when(dotted, let(F.split(F.substr(path, F.lit(2)), "/"), walked)).otherwise(path)
+
+
+def resolve_reference(url: Column, href: Column) -> Column:
+    """The address a link on the page ``url`` leads to, by the generic syntax of URIs.
+
+    Links with a scheme stand for themselves, ``//host`` takes the page's scheme, ``?query`` and
+    ``#part`` its path, other ones are merged with its folder, and dot segments are taken out.
+    Blanks around a link do not count. Null where the page's URL or the link is null.
+    """
+
+    def joined(b: Column, r: Column) -> Column:
+        folder = F.regexp_extract(b["path"], "^(?:.*/)?", 0)
+        merged = F.when((b["authority"] != "") & (b["path"] == ""), F.concat(F.lit("/"), r["path"])).otherwise(F.concat(folder, r["path"]))
+        own_scheme, own_host = r["scheme"] != "", r["authority"] != ""
+        scheme = F.when(own_scheme, r["scheme"]).otherwise(b["scheme"])
+        authority = F.when(own_scheme | own_host, r["authority"]).otherwise(b["authority"])
+        path = (
+            F.when(own_scheme | own_host | r["path"].startswith("/"), _without_dots(r["path"]))
+            .when(r["path"] == "", b["path"])
+            .otherwise(let(merged, _without_dots))
+        )
+        inherits = ~own_scheme & ~own_host & (r["path"] == "") & (r["query"] == "")
+        query = F.when(inherits, b["query"]).otherwise(r["query"])
+        return F.concat(scheme, authority, path, query, r["fragment"])
+
+    return let(_url_parts(trim(url)), lambda b: let(_url_parts(trim(href)), lambda r: joined(b, r)))
+
+
 def is_page_link(href: Column) -> Column:
     """False for mail, phone and script links, bare fragments and protocol-relative links."""
     return ~href.rlike("(?i)^(?:mailto:|tel:|javascript:|data:|#|//)")

@@ -32,12 +32,12 @@ def anchors(pages: DataFrame, keys=("page_id", "url"), html: str = "html") -> Da
 def _distinct_links(
     found: Column, url: Column, accept, mode: str, label: str, pages_only: bool = False
 ) -> Column:
-    """Distinct absolute links of one page, first seen first, as an array.
+    """Distinct absolute links of one page, first seen first, as an array; ``mode`` as in ``resolve_url``.
 
     ``pages_only`` leaves out mail, phone and script links and bare fragments, which the plain
     rules turn into addresses of no page.
     """
-    base = urls.base_url(url)
+    base = url if mode == "standard" else urls.base_url(url)
 
     def keep(a: Column) -> Column:
         wanted = (a["href"] != "") & accept(a["href"], a["text"])
@@ -53,7 +53,7 @@ def _distinct_links(
     )
 
 
-def pagination_array(found: Column, url: Column, pages_only: bool = False) -> Column:
+def pagination_array(found: Column, url: Column, pages_only: bool = False, mode: str = "join") -> Column:
     def accept(href: Column, text: Column) -> Column:
         return (
             contains_any(href, PAGINATION_PARTS)
@@ -61,18 +61,18 @@ def pagination_array(found: Column, url: Column, pages_only: bool = False) -> Co
             & ~contains_any(F.lower(text), BACKWARD_WORDS)
         )
 
-    return _distinct_links(found, url, accept, "join", urls.LISTING, pages_only)
+    return _distinct_links(found, url, accept, mode, urls.LISTING, pages_only)
 
 
-def fallback_job_array(found: Column, url: Column, pages_only: bool = False) -> Column:
+def fallback_job_array(found: Column, url: Column, pages_only: bool = False, mode: str = "concat") -> Column:
     return _distinct_links(
-        found, url, lambda href, _: href.contains("/JobDetail/"), "concat", urls.JOB_DETAIL, pages_only
+        found, url, lambda href, _: href.contains("/JobDetail/"), mode, urls.JOB_DETAIL, pages_only
     )
 
 
-def fallback_listing_array(found: Column, url: Column, pages_only: bool = False) -> Column:
+def fallback_listing_array(found: Column, url: Column, pages_only: bool = False, mode: str = "concat") -> Column:
     return _distinct_links(
-        found, url, lambda href, _: href.contains("SearchJobs"), "concat", urls.LISTING, pages_only
+        found, url, lambda href, _: href.contains("SearchJobs"), mode, urls.LISTING, pages_only
     )
 
 
@@ -85,10 +85,10 @@ def _link_rows(pages: DataFrame, html: Column, links: Column, page_id: str) -> D
 
 
 def pagination_links(
-    pages: DataFrame, url: str = "url", html: str = "html", page_id: str = "page_id", pages_only: bool = False
+    pages: DataFrame, url: str = "url", html: str = "html", page_id: str = "page_id", pages_only: bool = False, mode: str = "join"
 ) -> DataFrame:
     """Links to further listing pages."""
-    return _link_rows(pages, F.col(html), pagination_array(F.col("_anchors"), F.col(url), pages_only), page_id)
+    return _link_rows(pages, F.col(html), pagination_array(F.col("_anchors"), F.col(url), pages_only, mode), page_id)
 
 
 def fallback_job_links(
@@ -104,20 +104,21 @@ def fallback_listing_links(
     return _link_rows(pages, F.col(html), fallback_listing_array(F.col("_anchors"), F.col(url), pages_only), page_id)
 
 
-def route_links(pages: DataFrame, url: str = "url", html: str = "html", page_id: str = "page_id", label: str | None = None, pages_only: bool = False) -> DataFrame:
-    """Links the handler of each page's route asks for, in one scan.
+def route_links(
+    pages: DataFrame, url: str = "url", html: str = "html", page_id: str = "page_id", label: str | None = None, pages_only: bool = False, standard: bool = False
+) -> DataFrame:
+    """Links the handler of each page's route asks for, in one scan; ``standard`` resolves them as browsers do.
 
     Listing pages give pagination links, detail pages none, all others the fallback links.
     Card links need the page tree: see ``listing_cards``.
     """
     route = F.col(label) if label else urls.route_label(F.col(url))
-    found, address = F.col("_anchors"), F.col(url)
+    given = (F.col("_anchors"), F.col(url), pages_only)
+    repaired, plain = ("standard", "standard") if standard else ("join", "concat")
     links = (
-        F.when(route == urls.LISTING, pagination_array(found, address, pages_only))
+        F.when(route == urls.LISTING, pagination_array(*given, repaired))
         .when(route == urls.JOB_DETAIL, F.array().cast(LINK_TYPE))
-        .otherwise(
-            F.concat(fallback_job_array(found, address, pages_only), fallback_listing_array(found, address, pages_only))
-        )
+        .otherwise(F.concat(fallback_job_array(*given, plain), fallback_listing_array(*given, plain)))
     )
     # Detail pages lead nowhere: they are not read.
     leads = F.when(F.coalesce(route, F.lit("")) != urls.JOB_DETAIL, F.col(html))
@@ -242,6 +243,25 @@ def frontier_new_links(links: DataFrame, seen: DataFrame, url: str = "url", keep
         .agg(F.min_by(F.struct(*keep), F.struct(*keep)).alias("_link"))
     )
     known = distinct_keys(seen.select(urls.url_unique_key(F.col(url)).alias("url_key")), "url_key")
+    return _unseen(fresh, known)
+
+
+def unseen_links(links: DataFrame, seen: DataFrame, buckets: int, url: str = "url", keep=("url",)) -> DataFrame:
+    """As ``frontier_new_links``, against keys that lie in ``buckets`` by ``url_key`` (see ``sources.seen``).
+
+    Only the new links are shuffled, to the partitions the seen keys already lie in.
+    """
+    fresh = (
+        links.select(urls.url_unique_key(F.col(url)).alias("url_key"), *keep)
+        .distinct()
+        .repartition(buckets, "url_key")
+        .groupBy("url_key")
+        .agg(F.min_by(F.struct(*keep), F.struct(*keep)).alias("_link"))
+    )
+    return _unseen(fresh, seen.select("url_key").hint("merge"))
+
+
+def _unseen(fresh: DataFrame, known: DataFrame) -> DataFrame:
     return (
         fresh.join(known.withColumn("_seen", F.lit(True)), "url_key", "left")
         .filter(F.col("_seen").isNull())

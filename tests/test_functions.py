@@ -207,6 +207,32 @@ def test_native_text_is_that_of_the_page_reader(spark):
     assert not different, (len(different), different[:5])
 
 
+def test_links_resolve_as_urllib_resolves_them(spark):
+    import random
+    from urllib.parse import urljoin
+
+    base = "http://a/b/c/d;p?q"
+    # The examples of the generic syntax, normal and abnormal ones.
+    examples = {
+        "g:h": "g:h", "g": "http://a/b/c/g", "./g": "http://a/b/c/g", "g/": "http://a/b/c/g/", "/g": "http://a/g", "//g": "http://g", "?y": "http://a/b/c/d;p?y",
+        "g?y": "http://a/b/c/g?y", "#s": "http://a/b/c/d;p?q#s", "g#s": "http://a/b/c/g#s", "g?y#s": "http://a/b/c/g?y#s", ";x": "http://a/b/c/;x",
+        "g;x?y#s": "http://a/b/c/g;x?y#s", "": "http://a/b/c/d;p?q", ".": "http://a/b/c/", "./": "http://a/b/c/", "..": "http://a/b/", "../g": "http://a/b/g",
+        "../..": "http://a/", "../../g": "http://a/g", "../../../g": "http://a/g", "/./g": "http://a/g", "/../g": "http://a/g", "g.": "http://a/b/c/g.", ".g": "http://a/b/c/.g",
+        "g..": "http://a/b/c/g..", "..g": "http://a/b/c/..g", "./../g": "http://a/b/g", "./g/.": "http://a/b/c/g/", "g/./h": "http://a/b/c/g/h", "g/../h": "http://a/b/c/h",
+        "g;x=1/../y": "http://a/b/c/y", "g?y/../x": "http://a/b/c/g?y/../x", "g#s/./x": "http://a/b/c/g#s/./x",
+    }
+    rng = random.Random(4)
+    pieces = ["a", "b", ".", "..", "/", "/", "c;d", "%20", "-"]
+    cases = [(base, h, w) for h, w in examples.items()] + [(None, "x", None), (base, None, None), ("http://h", "x", "http://h/x"), (base, " \n/x\u00a0", "http://a/x")]
+    for _ in range(600):
+        page = rng.choice(["https://h.example", "https://h.example/", "https://h.example/x/y?q=1#f"])
+        href = "".join(rng.choices(pieces, k=rng.randrange(1, 8))) + rng.choice(["", "?q", "#f", "?a/../b"])
+        if not href.startswith("//") and "//" not in href:  # there the library drops empty segments
+            cases.append((page, href, urljoin(page, href)))
+    rows = spark.createDataFrame(cases, "page string, href string, want string").select("*", urls.resolve_url(x("page"), x("href"), "standard").alias("got")).collect()
+    assert [tuple(r) for r in rows if r.got != r.want] == []
+
+
 def test_anchors_of_a_page(one):
     page = (
         "<script>'<a href=\"/no\">'</script><!-- <a href='/no'> --><a href=\"/1\" title='a > b'>One <b>x</b></a>"
