@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import html as H
 from ..functions import nodes as N
 from ..functions import urls as U
+from ..session import scratch_path
+from ..sources.seen import SeenTable
 from ..operators import hosts, jobs, links
 from .base import (
     ATTEMPTS, JOB_PAGES, LISTING_PAGES, Family, derived, sql_base, sql_join, sql_markup,
@@ -134,6 +136,28 @@ def frontier_new_links(spark, sf_dir):
     return links.frontier_new_links(every, seen)
 
 
+ROUND_LINKS = f"SELECT page_id % 3 + 1 AS round, {sql_join(sql_base('url'), 'href')} AS url FROM ({ANCHORS}) UNION ALL SELECT page_id % 3 + 1 AS round, url FROM pages"
+
+
+@add("frontier_rounds", f"""
+WITH k AS (SELECT round, url, rtrim(regexp_replace(regexp_replace(url, '#.*$', ''), '[?]utm_source=feed$', ''), '/') AS url_key FROM ({ROUND_LINKS})),
+f AS (SELECT url_key, min(round) AS round FROM k GROUP BY url_key)
+SELECT f.round, f.url_key, min(k.url) AS url FROM f JOIN k ON f.url_key = k.url_key AND f.round = k.round GROUP BY ALL""")
+def frontier_rounds(spark, sf_dir):
+    """A crawl of three rounds against its table of seen URLs, compacted after the second."""
+    pages = table(spark, sf_dir, "pages")
+    found = links.anchors(pages).select("page_id", U.resolve_url(U.base_url(F.col("url")), F.col("href")).alias("url"))
+    every = found.unionByName(pages.select("page_id", "url")).withColumn("round", F.col("page_id") % 3 + 1)
+    seen = SeenTable(spark, scratch_path(spark, "seen"), spark.sparkContext.defaultParallelism)
+    out = scratch_path(spark, "rounds")
+    for turn in (1, 2, 3):
+        seen.new_links(every.filter(F.col("round") == turn), turn).write.parquet(f"{out}/round={turn}")
+        seen.add(spark.read.parquet(f"{out}/round={turn}"), turn)
+        if turn == 2:
+            seen.compact()
+    return spark.read.parquet(out).select(F.col("round").cast("bigint").alias("round"), "url_key", "url")
+
+
 @add("job_link_count", twin("SELECT event_id, CASE WHEN kind = 18 THEN 2 ELSE 0 END AS n FROM {attempts}", attempts=ATTEMPTS))
 def job_link_count(spark, sf_dir):
     pages = derived(spark, sf_dir, ATTEMPTS)

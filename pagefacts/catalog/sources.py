@@ -78,6 +78,17 @@ def sink_jobs(spark, sf_dir):
     )
 
 
+@add("sink_jobs_repeated", twin("""SELECT run_id, 'b' || page_id % 7 AS site, page_id, title FROM {jobs}, (SELECT unnest(['r1', 'r2']) AS run_id) runs
+WHERE run_id = 'r2' OR page_id % 7 < 5""", jobs=JOB_PAGES))
+def sink_jobs_repeated(spark, sf_dir):
+    """Two runs, both written twice; the first one with fewer sites at last."""
+    path = scratch_path(spark, "jobs")
+    found = derived(spark, sf_dir, JOB_PAGES).select("page_id", "title", F.concat(F.lit("b"), F.col("page_id") % 7).alias("subdomain"))
+    for run_id, rows in (("r1", found), ("r2", found), ("r1", found.filter("page_id % 7 < 5")), ("r2", found)):
+        sinks.write_jobs(rows, path, run_id=run_id)
+    return spark.read.parquet(path).select("run_id", "site", "page_id", "title")
+
+
 @add("sink_quarantine", twin(f"""SELECT url, {sql_site('url')} AS site, error_type, CASE WHEN status_code >= 400 THEN 'HTTP ' || status_code || ' error' ELSE 'Detected error pattern: ' || error_type END AS error_message,
   coalesce(CAST(status_code AS VARCHAR), 'N/A') AS http_status, {sql_site('url')} || '-' || lower(error_type) || '-2024-05-06T07-08-09-000Z' AS sample_name, length(html) AS n_chars
 FROM (SELECT *, coalesce({STATUS_TYPES}, {MARK_TYPES}) AS error_type FROM {{marked}}) WHERE error_type IS NOT NULL""", marked=MARKED_PAGES))

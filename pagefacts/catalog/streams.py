@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from ..functions import urls as U
 from ..operators import links
+from ..session import scratch_path
 from ..sources.readers import stream_pages
+from ..sources.seen import SeenTable
 from ..streaming import stream as S
-from .base import Family, sql_base, sql_join, sql_site
+from .base import Family, sql_base, sql_join, sql_site, table
 from .links import ANCHORS
 
 family = Family()
@@ -49,6 +51,39 @@ def stream_first_seen(spark, sf_dir):
     return spark.read.parquet(path).select("url_key")
 
 
+@add("stream_first_seen_table", f"SELECT DISTINCT {sql_join(sql_base('url'), 'href')} AS url_key FROM ({ANCHORS}) WHERE page_id % 2 = 1")
+def stream_first_seen_table(spark, sf_dir):
+    """Links of odd pages but for those the table has from even ones; both together are all of the odd pages' links."""
+    seen = SeenTable(spark, scratch_path(spark, "seen"), spark.sparkContext.defaultParallelism)
+    found = resolved(links.anchors(pages(spark, sf_dir))).select("page_id", "url")
+    before = resolved(links.anchors(table(spark, sf_dir, "pages").filter("page_id % 2 = 0"))).select("url")
+    seen.add(before, 0, "url")
+    path = S.run(spark, S.first_seen_table_stream, found.filter("page_id % 2 = 1").select("url"), seen=seen)
+    fresh = spark.read.parquet(path).select("url_key")
+    odd = resolved(links.anchors(table(spark, sf_dir, "pages").filter("page_id % 2 = 1"))).select(U.url_unique_key(F.col("url")).alias("url_key"))
+    known = odd.join(seen.keys(1), "url_key", "left_semi").distinct()
+    return fresh.unionByName(known)
+
+
+VISITS = "concat('https://h', user_id % 50, '.example.net/', event_type, '/#', event_id)"
+
+
+@add("stream_first_seen_watermark", "SELECT DISTINCT 'https://h' || user_id % 50 || '.example.net/' || event_type AS url_key FROM events")
+def stream_first_seen_watermark(spark, sf_dir):
+    """Pages users came to, by the time they came: no two visits are further apart than the delay."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    arriving = stream_pages(spark, sf_dir, schema, "events.parquet")
+    found = arriving.select(F.expr(VISITS).alias("url"), F.col("ts").cast("timestamp").alias("arrived"))
+    path = S.run(spark, S.first_seen_stream, found, arrival="arrived", delay="3650 days")
+    return spark.read.parquet(path).select("url_key")
+
+
+@add("stream_current_counts", f"SELECT {sql_site('url')} AS site, {VERDICT} AS verdict, count(*) AS n FROM pages GROUP BY 1, 2")
+def stream_current_counts(spark, sf_dir):
+    path = S.run(spark, S.status_counts_stream, pages(spark, sf_dir))
+    return S.current_counts(spark, S.checkpoint_of(path)).select("site", "verdict", "n")
+
+
 @add("stream_status_counts", f"SELECT {sql_site('url')} AS site, {VERDICT} AS verdict, count(*) AS n FROM pages GROUP BY 1, 2")
 def stream_status_counts(spark, sf_dir):
     path = S.run(spark, S.status_counts_stream, pages(spark, sf_dir))

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions import urls
 from ..operators import gate, links
 from ..session import scratch_path
+from ..sources.seen import SeenTable
 
 
 def _start(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str) -> StreamingQuery:
@@ -74,16 +75,32 @@ def first_seen_stream(
     return append_batches(fresh, path, checkpoint)
 
 
+def first_seen_table_stream(found: DataFrame, path: str, checkpoint: str, seen: SeenTable, first_round: int = 1) -> StreamingQuery:
+    """Each URL once, checked against a table of seen URLs instead of keys held as state.
+
+    A batch is a round of the table: its new links are written first, then added to the seen keys
+    from what was written. A batch that runs again after either step finds the same links, as
+    it does not look at its own round, and replaces them; keys added twice change nothing. Rounds
+    begin at ``first_round``, to be set after the last round of the table for a new checkpoint.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        out, turn = f"{path}/batch_id={batch_id}", first_round + batch_id
+        seen.new_links(batch, turn, keep=tuple(batch.columns)).write.mode("overwrite").parquet(out)
+        seen.add(seen.spark.read.parquet(out), turn)
+
+    return _start(found, write, checkpoint, "append")
+
+
 def status_counts_stream(pages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Running counts by site and verdict; the table always holds the latest totals.
 
     Totals of a batch go to their own folder; the reader takes the newest row of each key.
     """
-    gated = gate.page_gate(pages)
-    counts = gated.groupBy(
-        urls.site_key(F.col("url"), invalid="unknown").alias("site"),
-        F.coalesce("error_type", F.lit(gate.PASS)).alias("verdict"),
-    ).agg(F.count("*").alias("n"))
+    site = urls.site_key(F.col("url"), invalid="unknown").alias("site")
+    # Selected first, so that the state knows its keys by these names.
+    verdicts = gate.page_gate(pages).select(site, F.coalesce("error_type", F.lit(gate.PASS)).alias("verdict"))
+    counts = verdicts.groupBy("site", "verdict").agg(F.count("*").alias("n"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
@@ -99,8 +116,19 @@ def latest_counts(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def current_counts(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The latest totals from the stream's own state: what is read follows the number of keys, not of batches."""
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select("key.site", "key.verdict", F.col("value.count").alias("n"))
+
+
 def run(spark: SparkSession, start: Callable[..., StreamingQuery], source: DataFrame, **options) -> str:
-    """Drain a source into a fresh folder and return the folder."""
+    """Drain a source into a fresh folder and return the folder; the checkpoint lies beside it."""
     base = scratch_path(spark, start.__name__)
     run_to_end(start(source, f"{base}/out", f"{base}/checkpoint", **options))
     return f"{base}/out"
+
+
+def checkpoint_of(path: str) -> str:
+    """Where ``run`` keeps the checkpoint of the folder it returned."""
+    return path.removesuffix("out") + "checkpoint"

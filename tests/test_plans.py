@@ -10,6 +10,7 @@ from pagefacts.functions import nodes as N
 from pagefacts.operators import gate, jobs, links
 from pagefacts.plans import flows, skew
 from pagefacts.session import shared_folder
+from pagefacts.sources.seen import SeenTable
 
 
 def plan_of(df):
@@ -126,11 +127,28 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == named if named else shared_folder(spark)
 
 
-def test_pages_are_not_dealt_out_behind_the_caller(spark, sf_dir):
-    for name in ("card_job_join", "job_record", "anchors"):
-        assert "RoundRobinPartitioning" not in plan_of(entry.queries()[name](spark, sf_dir))
+def test_rows_are_dealt_out_before_they_hold_markup(spark, sf_dir, pages):
+    for name in ("card_job_join", "job_record", "pagination_links", "resolve_attempts"):
+        plan = plan_of(entry.queries()[name](spark, sf_dir))
+        dealt = re.findall(r"RoundRobinPartitioning\(\d+\)[^\n]*\n(?:[^\n]*Filter[^\n]*\n)?[^\n]*FileScan[^\n]*ReadSchema: (\S+)", plan)
+        assert len(dealt) == plan.count("RoundRobinPartitioning") > 0
+        assert not [d for d in dealt if "html" in d or "text" in d]
+    # The library's operators deal out nothing, nor do queries on given pages.
+    assert "RoundRobinPartitioning" not in plan_of(entry.queries()["anchors"](spark, sf_dir))
+    assert "RoundRobinPartitioning" not in plan_of(jobs.job_records(N.with_doc(pages)))
 
 
 def test_nodes_are_read_once_per_page(spark, pages):
     docs = N.with_doc(pages.select("page_id", "url", "html"))
     assert plan_of(docs.select(F.size("doc.nodes"), "doc.chunks")).count("ArrowEvalPython") == 1
+
+
+def test_a_round_does_not_shuffle_the_urls_seen(spark, tmp_path):
+    seen = SeenTable(spark, str(tmp_path / "seen"), 4)
+    found = spark.range(100).select(F.concat(F.lit("https://h.example.net/"), "id").alias("url"))
+    seen.add(found, 0, "url")
+    plan = plan_of(seen.new_links(found, 1))
+    # What stands under the last sort is the side of the seen keys: filter and scan.
+    side = plan[plan.rindex("+- Sort [url_key"):]
+    assert "Bucketed: true" in side and "Exchange" not in side and "Broadcast" not in plan
+    assert "Exchange" not in plan_of(seen.keys().groupBy("url_key").agg(F.min("round")))

@@ -10,6 +10,7 @@ from pagefacts.functions import urls
 from pagefacts.operators import gate, hosts, links, report
 from pagefacts.plans import flows
 from pagefacts.sources import readers, sinks
+from pagefacts.sources.seen import SeenTable
 from pagefacts.streaming import stream as S
 
 
@@ -179,3 +180,66 @@ def test_first_seen_with_a_watermark(spark, arriving, tmp_path):
     out = S.run(spark, S.first_seen_stream, stamped, arrival="arrived")
     keys = spark.read.parquet(out)
     assert keys.count() == keys.select("url_key").distinct().count() > 0
+
+
+def keys_of(df):
+    return sorted(r.url_key for r in df.select("url_key").collect())
+
+
+def test_seen_table_gives_each_key_once_and_outlives_its_session(spark, tmp_path):
+    path = str(tmp_path / "seen")
+    found = spark.range(900).select(F.concat(F.lit("https://h.example.net/"), F.col("id") % 300, F.lit("/#"), F.col("id")).alias("url"))
+    seen = SeenTable(spark, path, 4)
+    assert seen.keys().count() == 0
+    seen.add(found.filter("url like '%7'"), 0, "url")
+    first = keys_of(seen.keys())
+    fresh = seen.new_links(found, 1)
+    assert keys_of(fresh) == sorted(set(keys_of(links.frontier_new_links(found, seen.keys().withColumnRenamed("url_key", "url")))))
+    seen.add(fresh, 1)
+    seen.add(seen.new_links(found, 1), 1)  # the round again: the same links, and nothing changes
+    assert seen.new_links(found, 2).count() == 0 and len(set(keys_of(seen.keys()))) == 300
+    assert keys_of(seen.keys(1)) == first
+    # A compaction that stopped half way does not count.
+    (tmp_path / "seen" / "generation=1").mkdir()
+    (tmp_path / "seen" / "generation=1" / "part-00000-junk_00000.c000.snappy.parquet").write_bytes(b"half")
+    assert SeenTable(spark, path, 4).generation == 0
+    seen.compact()
+    assert keys_of(seen.keys()) == sorted(set(keys_of(seen.keys()))) and seen.keys().count() == 300 and len(seen.keys().inputFiles()) <= 4
+    again = SeenTable(spark, path, 4)
+    assert again.generation == 1 and again.new_links(found, 2).count() == 0 and again.new_links(found, 1).count() == 300 - len(first)
+    again.add(found.limit(0), 2, "url")
+    assert again.keys().count() == 300
+
+
+def test_first_seen_by_table_equals_batch_and_repeats(spark, arriving, tmp_path):
+    batch, source = arriving
+
+    def found(pages):
+        return links.anchors(pages).select(urls.resolve_url(urls.base_url(F.col("url")), F.col("href")).alias("url"))
+
+    want = keys_of(found(batch).select(urls.url_unique_key(F.col("url")).alias("url_key")).distinct())
+    out, seen = str(tmp_path / "o"), SeenTable(spark, str(tmp_path / "seen"), 4)
+    S.run_to_end(S.first_seen_table_stream(found(source()), out, str(tmp_path / "c"), seen))
+    assert keys_of(spark.read.parquet(out)) == want
+    # A fresh checkpoint stands for batches that run again: the same rounds write the same links.
+    S.run_to_end(S.first_seen_table_stream(found(source()), out, str(tmp_path / "c2"), seen))
+    assert keys_of(spark.read.parquet(out)) == want
+    S.run_to_end(S.first_seen_table_stream(found(source()), str(tmp_path / "o2"), str(tmp_path / "c3"), seen, first_round=1000))
+    assert spark.read.parquet(str(tmp_path / "o2")).count() == 0
+
+
+def test_counts_from_the_state_equal_those_from_batches(spark, arriving):
+    _, source = arriving
+    out = S.run(spark, S.status_counts_stream, source())
+    assert same(S.current_counts(spark, S.checkpoint_of(out)), S.latest_counts(spark, out).select("site", "verdict", "n"))
+
+
+def test_a_run_written_again_replaces_itself(spark, tmp_path):
+    jobs = spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (3, None, "z")], "id long, subdomain string, title string")
+    path = str(tmp_path)
+    for run_id, rows in (("r1", jobs), ("r2", jobs), ("r1", jobs), ("r1", jobs.filter("id <> 2"))):
+        sinks.write_jobs(rows, path, run_id=run_id)
+    got = sorted((r.run_id, r.site, r.id) for r in spark.read.parquet(path).collect())
+    assert got == [("r1", "a", 1), ("r1", "unknown", 3), ("r2", "a", 1), ("r2", "b", 2), ("r2", "unknown", 3)]
+    with pytest.raises(ValueError):
+        sinks.write_jobs(jobs, path, run_id="a/b")
