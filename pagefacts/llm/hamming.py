@@ -1,11 +1,16 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
-Codes are cut into segments of about log2(n) bits, each with its own index. A query probes
+Codes are cut into segments of about log2(n) bits, each with its own index. A query looks up
 all segment values at radius 0, then 1, 2, ...: when radius r is done in all S segments,
 every code within S * (r + 1) - 1 bits has been met. A query ends as soon as its k-th
 verified distance is within that bound, so the result is exact. With radius r done in all
 segments and r + 1 in ``a`` of them, the bound is S * (r + 1) + a - 1: a query that knows its
-k-th distance so far probes only as many segments as the proof still needs.
+k-th distance so far looks up only as many segments as the proof still needs.
+
+An index row is a block: the values of a segment that agree in all but their last bits, as
+they occur, with their codes. So a probe is a row for each way to miss the high bits only;
+the low bits are compared inside the block, where values that do not occur cost nothing, and
+a block's hits leave it as verified distances no greater than the k-th one known.
 """
 
 from __future__ import annotations
@@ -19,7 +24,8 @@ from pyspark.sql import functions as F
 from . import common
 
 K = 10
-BLOCK = 512  # queries sent to all tasks at once where probing costs more than looking at all codes
+LOW = 8  # last bits of a segment's value, compared inside a block
+BLOCK_ROWS = 1024  # codes of a block row on average; blocks with more are dealt out over several rows
 
 
 def sign_bits(vector: Column) -> Column:
@@ -50,81 +56,91 @@ def first_k(rows: DataFrame, group: str, k: int, *order: str) -> DataFrame:
     return rows.withColumn("rank", place).filter(F.col("rank") <= k)
 
 
+def blocks_of(entries: DataFrame) -> DataFrame:
+    """dim, part, high and the block's codes: an array of (low, entry, m, code), in as many rows as a large block needs."""
+    value = F.posexplode("code").alias("part", "value")
+    parts = entries.select("dim", "entry", "m", "code", value)
+    key = ["dim", "part", "high"]
+    parts = parts.select("dim", "part", F.shiftright("value", LOW).alias("high"), F.col("value").bitwiseAND(F.lit((1 << LOW) - 1)).alias("low"), "entry", "m", "code")
+    sizes = parts.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("_rows"))
+    dealt = parts.join(sizes, key).withColumn("_sub", F.pmod(F.xxhash64("entry"), F.col("_rows")))
+    return dealt.groupBy(*key, "_sub").agg(F.collect_list(F.struct("low", "entry", "m", "code")).alias("block")).drop("_sub")
+
+
+def hits(probes: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
+    """query_id, entry, m and distance of what the probes find.
+
+    Of a block's hits those beyond the query's k-th distance so far are left there, and so are
+    those behind the k nearest of the block and their ties: they cannot be in the result.
+    """
+    met = probes.join(blocks.hint("merge"), ["dim", "part", "high"])
+    near = F.filter("block", lambda x: F.bit_count(x["low"].bitwiseXOR(F.col("low"))) == F.col("misses"))
+    found = F.transform(near, lambda x: F.struct(distance(x["code"], F.col("code")).alias("distance"), x["entry"].alias("entry"), x["m"].alias("m")))
+    found = F.array_sort(F.filter(found, lambda x: F.col("reached").isNull() | (x["distance"] <= F.col("reached"))))
+    rows = met.select("query_id", found.alias("found"))
+    kth = F.get(F.col("found"), F.lit(k - 1))["distance"]
+    best = F.filter("found", lambda x: kth.isNull() | (x["distance"] <= kth))
+    return rows.select("query_id", F.explode(best).alias("x")).select("query_id", "x.entry", "x.m", "x.distance")
+
+
 def top_k(codes: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
-    """query_id, rank (1 to k), id and distance: for each query the k nearest codes.
+    """query_id, rank (1 to k), id and distance: for each query the k nearest codes of its length.
 
-    ``codes`` has id and bits, ``queries`` query_id and bits (arrays of 0 and 1 of one length;
-    rows with null, empty or other lengths are left out). Ties go to the smaller id, null ids last.
-    Equal codes are one entry with its k smallest ids: more of them can never be in a result.
-    A code is not left out of its own query. Repeated query rows count once. With fewer than
-    k codes all are returned, with none nothing.
+    ``codes`` has id and bits, ``queries`` query_id and bits (arrays of 0 and 1; rows with null or
+    empty ones are left out). Only codes of a query's own length have a distance to it. Ties go to
+    the smaller id, null ids last. Equal codes are one entry with its k smallest ids: more of
+    them can never be in a result. A code is not left out of its own query. Repeated query rows
+    count once. With fewer than k codes all are returned, with none nothing.
     """
     spark = codes.sparkSession
-    length = codes.agg(F.max(F.size("bits"))).first()[0]
-    if not length or length < 1:
+    whole = F.size("bits") > 0
+    longest, n = codes.filter(whole).agg(F.max(F.size("bits")), F.count("*")).first()
+    if not n:
         return _empty(spark, codes, queries)
-    whole = F.size("bits") == length
-    n = codes.filter(whole).count()
-    size = max(4, min(20, round(math.log2(max(2, n))), length))
-    count = -(-length // size)
-    cut = lambda rows, key: rows.filter(whole & F.col(key).isNotNull()).select(key, segments(F.col("bits"), size).alias("code"))
-    rows = codes.filter(whole).select("id", segments(F.col("bits"), size).alias("code")).withColumn("_id", F.coalesce("id", F.lit((1 << 63) - 1)))
-    few = first_k(rows, "code", k, "_id").select("code", "id", "_id")
+    size = max(4, min(20, round(math.log2(max(2, n))), longest))
+    high_bits = max(0, size - LOW)
+    cut = lambda rows, *keys: rows.filter(whole).select(*keys, F.size("bits").alias("dim"), segments(F.col("bits"), size).alias("code"))
+    rows = cut(codes, "id").withColumn("_id", F.coalesce("id", F.lit((1 << 63) - 1))).withColumn("_same", F.struct("dim", "code"))
+    few = first_k(rows, "_same", k, "_id").select("dim", "code", "id", "_id")
     few = common.staged(few, "mih-codes")
-    entries = few.groupBy("code").agg(F.count("*").alias("m"))
+    entries = few.groupBy("dim", "code").agg(F.count("*").alias("m"))
     entries = common.staged(entries.withColumn("entry", F.monotonically_increasing_id()), "mih-entries")
-    index = common.staged(entries.select("entry", F.posexplode("code").alias("part", "value")), "mih-index")
-    total = entries.count()
-    active = common.staged(cut(queries, "query_id").dropDuplicates(["query_id"]).withColumn("need", F.lit(count)), "mih-queries")
+    blocks = common.staged(blocks_of(entries), "mih-blocks")
+    count = F.size("code")
+    asked = cut(queries.filter(F.col("query_id").isNotNull()), "query_id").dropDuplicates(["query_id"])
+    active = common.staged(asked.select("*", count.alias("need"), F.lit(None).cast("int").alias("reached")), "mih-queries")
     found = None
     for radius in range(size + 1):
-        left = active.count()
-        if not left:
-            break
-        probes = masks(size, radius)
-        if len(probes) * count > total:
-            found = _union(found, _all_codes(active, entries))
+        if active.isEmpty():
             break
-        parts = active.select("query_id", "need", F.posexplode("code").alias("part", "_v")).filter("part < need")
-        probe = parts.select("query_id", "part", F.explode(F.lit(probes)).alias("_mask"), "_v")
-        probe = probe.select("query_id", "part", F.col("_v").bitwiseXOR(F.col("_mask")).alias("value"))
-        # Probes are many more than their plan's size says: neither side is sent to all tasks.
-        met = probe.join(index.hint("merge"), ["part", "value"]).select("query_id", "entry").distinct()
-        if found is not None:
-            met = met.join(found.select("query_id", "entry").hint("merge"), ["query_id", "entry"], "left_anti")
-        new = met.join(entries, "entry").join(active.select("query_id", F.col("code").alias("_code")), "query_id")
-        new = new.select("query_id", "entry", "m", distance(F.col("code"), F.col("_code")).alias("distance"))
-        found = common.staged(_union(found, new), "mih-found")
+        # Of the misses allowed, some are in the high bits, the others inside the block.
+        ways = [(mask, radius - j) for j in range(min(radius, high_bits) + 1) if radius - j <= LOW for mask in masks(high_bits, j)]
+        ways = F.array(*(F.struct(F.lit(mask).alias("mask"), F.lit(misses).alias("misses")) for mask, misses in ways))
+        parts = active.select("query_id", "dim", "code", "need", "reached", F.posexplode("code").alias("part", "_v")).filter("part < need")
+        probes = parts.select("query_id", "dim", "part", "code", "reached", "_v", F.explode(ways).alias("_way"))
+        probes = probes.select(
+            "query_id", "dim", "part", F.shiftright("_v", LOW).bitwiseXOR(F.col("_way.mask")).alias("high"),
+            F.col("_v").bitwiseAND(F.lit((1 << LOW) - 1)).alias("low"), "_way.misses", "code", "reached",
+        )
+        new = hits(probes, blocks, k)
+        before, found = found, common.staged((new if found is None else found.unionByName(new)).distinct(), "mih-found")
         # A query's distances are at most as many as the bits.
         upto = F.sum("m").over(Window.partitionBy("query_id").orderBy("distance"))
         kth = found.groupBy("query_id", "distance").agg(F.sum("m").alias("m")).withColumn("m", upto)
-        reached = kth.filter(F.col("m") >= k).groupBy("query_id").agg(F.min("distance").alias("reached"))
-        active = active.join(reached, "query_id", "left").filter(F.col("reached").isNull() | (F.col("reached") > count * radius + F.col("need") - 1))
-        need = F.least(F.lit(count), F.coalesce(F.col("reached") - count * (radius + 1) + 1, F.lit(count)))
-        active = common.staged(active.select("query_id", "code", need.alias("need")), "mih-active")
+        reached = kth.filter(F.col("m") >= k).groupBy("query_id").agg(F.min("distance").alias("_now"))
+        now = active.join(reached, "query_id", "left")
+        unproved = now.filter(F.col("_now").isNull() | (F.col("_now") > count * radius + F.col("need") - 1))
+        need = F.least(count, F.coalesce(F.col("_now") - count * (radius + 1) + 1, count))
+        last, active = active, common.staged(unproved.select("query_id", "dim", "code", need.alias("need"), F.col("_now").alias("reached")), "mih-active")
+        common.dropped(last, *([before] if before else []))
+    common.dropped(blocks, active)
     if found is None:
         return _empty(spark, codes, queries)
-    rows = found.dropDuplicates(["query_id", "entry"]).join(entries.select("entry", "code").hint("merge"), "entry").join(few.hint("merge"), "code")
+    rows = found.join(entries.select("entry", "dim", "code").hint("merge"), "entry").join(few.hint("merge"), ["dim", "code"])
     best = first_k(rows.select("query_id", "distance", "id", "_id"), "query_id", k, "distance", "_id")
     return best.select("query_id", "rank", "id", "distance")
 
 
-def _union(a: DataFrame | None, b: DataFrame) -> DataFrame:
-    return b if a is None else a.unionByName(b)
-
-
-def _all_codes(active: DataFrame, entries: DataFrame) -> DataFrame:
-    """Distances of the remaining queries to all codes, in blocks of queries of a fixed size."""
-    blocks = max(1, -(-active.count() // BLOCK))
-    numbered = common.staged(active.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))), "mih-blocks")
-    out = None
-    for b in range(blocks):
-        some = F.broadcast(numbered.filter(F.col("_block") == b).select("query_id", F.col("code").alias("_code")))
-        rows = entries.join(some).select("query_id", "entry", "m", distance(F.col("code"), F.col("_code")).alias("distance"))
-        out = _union(out, rows)
-    return out
-
-
 def _empty(spark: SparkSession, codes: DataFrame, queries: DataFrame) -> DataFrame:
     types = dict(codes.dtypes)["id"], dict(queries.dtypes)["query_id"]
     return spark.createDataFrame([], f"query_id {types[1]}, rank int, id {types[0]}, distance int")

@@ -297,6 +297,24 @@ def test_hamming_matches_brute_force(spark):
     assert hamming.top_k(codes.limit(0), queries, 7).count() == 0
 
 
+def test_hamming_of_several_lengths_and_hot_segments(spark, monkeypatch):
+    monkeypatch.setattr(hamming, "BLOCK_ROWS", 32)
+    rng = np.random.default_rng(6)
+    # A third of the codes share their first 20 bits; others are of another length, or far from all.
+    rows = [(i, ([0, 1] * 10 if i % 3 == 0 else rng.integers(0, 2, 20).tolist()) + rng.integers(0, 2, 28).tolist()) for i in range(900)]
+    rows += [(2000 + i, rng.integers(0, 2, 11).tolist()) for i in range(60)] + [(3000, [1] * 5), (3050, [0, 1, 1, 0, 1])]
+    codes = spark.createDataFrame(rows, "id long, bits array<int>")
+    queries = codes.filter("id % 50 = 0").withColumnRenamed("id", "query_id")
+    got = {}
+    for r in hamming.top_k(codes, queries, 9).collect():
+        got.setdefault(r.query_id, []).append((r.distance, r.id, r["rank"]))
+    for q, bits in rows:
+        if q % 50 == 0:
+            near = sorted((sum(x != y for x, y in zip(bits, b)), i) for i, b in rows if len(b) == len(bits))[:9]
+            assert sorted(got.pop(q)) == [(d, i, k + 1) for k, (d, i) in enumerate(near)]
+    assert not got
+
+
 def test_mixing_meets_targets(spark, odd):
     rows = [(i, "w " * (i * 37 % 200 + 1), "abcd"[i % 4] if i % 9 else None) for i in range(2000)] + [(5000, "w " * 3, "z")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
