@@ -43,11 +43,9 @@ HARD = re.compile(r"[0-9@$!|+(€£*._\-~'’^=,:;#/\\]|(.)\1\1")
 EDGES = re.compile(r"^[^\w@$!|+(€£]+|[^\w@$|+]+$")
 KNOWN_MAX = 400_000
 BATCH_BYTES = 8_000_000
-WORDS_MAX = 100_000  # most frequent words kept to part spaced-out ones
+WORD_SHARE = 5e-6  # least share of all words of one that parts spaced-out ones: 200,000 words at most
 UNKNOWN = math.log(1e-3)  # of a word that is not among them, besides its letters
-PART_MAX = 24  # letters of a known word at most
-TRIGRAMS_MAX = 200_000  # most frequent trigrams kept of the character model
-KEYS_MAX = 50_000  # most significant words and beginnings kept by the scorer
+TRIGRAM_SHARE = 1e-6  # least share of all trigrams of one that the character model knows; rarer ones share its floor
 LABELLED_MAX = 10_000  # rows of each label learnt from, chosen by a hash of the id
 WHOLE, BEGINNING = math.log(6), math.log(20)  # least odds of a word, of a beginning
 MIN_TOXIC = 4  # texts labelled toxic that hold a key, at least
@@ -60,6 +58,7 @@ class CharModel:
     def __init__(self, counts: dict[str, int], words: dict[str, int] | None = None):
         self.words = words or {}
         self.all_words = sum(self.words.values())
+        self.lengths = sorted({len(w) for w in self.words})
         tri, bi, uni = Counter(), Counter(), Counter()
         context2, context1 = Counter(), Counter()
         for gram, n in counts.items():
@@ -156,7 +155,10 @@ def parted(word: str, model: CharModel) -> list[str]:
         starts.append(begun if fresh >= more else starts[begun])
         tail = ("^" + word[begun]) if starts[end] == begun else word[end - 2 : end]
         found = (other[end] + model.log(tail + "$"), starts[end])
-        for start in range(max(0, end - PART_MAX), end):
+        for size in model.lengths:
+            if size > end:
+                break
+            start = end - size
             n = model.words.get(word[start:end])
             if n:
                 found = max(found, (best[start][0] + math.log(n / model.all_words), start))
@@ -334,13 +336,13 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
     items = common.in_bytes(docs, text).mapInArrow(counted, "item string, n long").groupBy("item").agg(F.sum("n").alias("n"))
     items = common.staged(items, "toxic-characters")
 
-    def most(kind: str, limit: int) -> dict[str, int]:
-        some = items.filter(F.col("item").startswith(kind)).orderBy(F.desc("n"), "item").limit(limit)
-        return {r.item[1:]: r.n for r in some.collect()}
+    def frequent(kind: str, share: float) -> dict[str, int]:
+        some = items.filter(F.col("item").startswith(kind))
+        total = some.agg(F.sum("n")).first()[0] or 0
+        return {r.item[1:]: r.n for r in some.filter(F.col("n") >= share * total).collect()}
 
-    # Bounded: TRIGRAMS_MAX and WORDS_MAX short texts with a number.
-    known_words = {w: n for w, n in most("w", WORDS_MAX).items() if len(w) <= PART_MAX}
-    chars = CharModel({g: n for g, n in most("g", TRIGRAMS_MAX).items() if len(g) == 3}, known_words)
+    # Bounded: at most 1 / share short texts with a number, whatever the corpus.
+    chars = CharModel({g: n for g, n in frequent("g", TRIGRAM_SHARE).items() if len(g) == 3}, frequent("w", WORD_SHARE))
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(chars, keys_of_word)
@@ -368,8 +370,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
         tested = common.staged(keys.filter(t >= MIN_TOXIC), "toxic-keys")
         least = 2 * math.log(2 * tested.count() + 1)  # less than one chance hit among all keys tested
         strong = tested.withColumn("g2", g2).withColumn("w", odds).filter((F.col("g2") >= least) & (F.col("w") >= F.when(F.col("key").endswith("*"), BEGINNING).otherwise(WHOLE)))
-        best = strong.orderBy(F.desc("g2"), "key").limit(KEYS_MAX).collect()
-        weights = {r.key: float(r.w) for r in best}
+        # Bounded by the labelled rows: each key is in MIN_TOXIC of them at least.
+        weights = {r.key: float(r.w) for r in strong.collect()}
     lexicon = Lexicon(weights)
     # Bounded: two numbers for each sampled row.
     seen = _lines(sample, chars, lexicon, ("_y",), None).select("_y", "strongest", "evidence").toPandas()

@@ -43,6 +43,13 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def address_of(url: Column, host: Column) -> Column:
+    """All behind the first ``://`` with the host as in ``host``; the text itself where there is none."""
+    at = F.instr(url, "://")
+    rest = F.substr(url, at + F.lit(3) + F.length(host))
+    return F.coalesce(F.when(at > 0, F.concat(host, rest)).otherwise(url), F.lit(""))
+
+
 def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     """The longest rule that fits host (or a parent of it) and the start of the path; its text and verdict."""
     fits = None
@@ -137,25 +144,24 @@ def filter_urls(pages: DataFrame, url: str = "url", rules=RULES) -> DataFrame:
     """``pages`` with host, path, rule (or null), verdict, and the model's ``difference``.
 
     Columns of these names in the input are replaced. Null URLs and those without ``://``
-    have empty host and path, fit no rule and are judged by the model as the empty text.
+    have empty host and path and fit no rule. The model reads the whole address behind the scheme,
+    query and fragment included, the raw text where there is no scheme, and the empty text for null.
     Repeated rows stay rows. Without labelled URLs of both verdicts, what no rule decides is
     allowed by a difference of 0.
     """
     names = ("host", "path", "rule", "verdict", "difference")
     rows = pages.select(*(c for c in pages.columns if c not in names), F.col(url).alias("_address"))
-    rows = rows.withColumn("host", host_of(F.col("_address"))).withColumn("path", path_of(F.col("_address"))).drop("_address")
+    rows = rows.withColumn("host", host_of(F.col("_address"))).withColumn("path", path_of(F.col("_address")))
+    rows = rows.withColumn("_url", address_of(F.col("_address"), F.col("host"))).drop("_address")
     rows = rows.withColumn("_fit", rule_of(F.col("host"), F.col("path"), rules)).withColumn("_row", F.monotonically_increasing_id())
     rows = common.staged(rows, "urls")
-    address = F.concat("host", "path")
-    labelled = rows.select(
-        "_row", address.alias("_url"), F.col("_fit.verdict").alias("_label"), (F.crc32(address.cast("binary")) % FOLDS).alias("_fold")
-    )
+    labelled = rows.select("_row", "_url", F.col("_fit.verdict").alias("_label"), (F.crc32(F.col("_url").cast("binary")) % FOLDS).alias("_fold"))
     diffs = common.staged(scored(labelled), "url-scores")
     left_out = diffs.join(labelled.filter(F.col("_label").isNotNull() & (F.col("_fold") == 0)).select("_row", "_label"), "_row")
     least = threshold(left_out)
     out = rows.join(diffs, "_row", "left")
     model = F.when(F.col("_diff") >= least, "allow").otherwise("block")
-    kept = [c for c in rows.columns if c not in ("_fit", "_row")]
+    kept = [c for c in rows.columns if c not in ("_fit", "_row", "_url")]
     return out.select(
         *kept, F.col("_fit.rule").alias("rule"), F.coalesce(F.col("_fit.verdict"), model).alias("verdict"), F.col("_diff").alias("difference")
     )
