@@ -38,6 +38,27 @@ def src_host_list(spark, sf_dir):
     return readers.read_host_list(spark, path).select("host").distinct()
 
 
+@add("src_host_array", twin("SELECT row_number() OVER (ORDER BY pos % 3, pos) - 1 AS pos, host FROM {odd}", odd=ODD_HOSTS))
+def src_host_array(spark, sf_dir):
+    """Three files, each one array on one line."""
+    path = scratch_path(spark, "array")
+    entries = F.transform(F.array_sort(F.collect_list(F.struct("pos", "host"))), lambda e: e["host"])
+    arrays = derived(spark, sf_dir, ODD_HOSTS).groupBy((F.col("pos") % 3).alias("file")).agg(F.to_json(entries).alias("value"))
+    for file in range(3):
+        arrays.filter(F.col("file") == file).select("value").coalesce(1).write.text(f"{path}/file-{file}")
+    return readers.read_host_list(spark, f"{path}/*").select("pos", "host")
+
+
+@add("src_url_positions", "SELECT row_number() OVER (ORDER BY page_id % 3, page_id) - 1 AS pos, url FROM pages")
+def src_url_positions(spark, sf_dir):
+    """Positions over three files."""
+    path = scratch_path(spark, "urls")
+    rows = table(spark, sf_dir, "pages", "page_id", "url")
+    for file in range(3):
+        rows.filter(F.col("page_id") % 3 == file).repartition(1).sortWithinPartitions("page_id").select("url").write.text(f"{path}/file-{file}")
+    return readers.read_url_lines(spark, f"{path}/*").select("pos", "url")
+
+
 @add("src_url_lines", "SELECT url FROM pages")
 def src_url_lines(spark, sf_dir):
     path = scratch_path(spark, "urls")

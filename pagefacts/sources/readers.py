@@ -2,32 +2,63 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 PAGE_ROW = "url string, title string, h1 string, article string"
 
 
+def _placed_text(spark: SparkSession, path: str, separator: str | None = None) -> DataFrame:
+    """Records of text files with their place: file, block of the file, and order in the block."""
+    reader = spark.read if separator is None else spark.read.option("lineSep", separator)
+    return reader.text(path).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_at"), "value",
+    )
+
+
+def _counted_before(rows: DataFrame, count: Column, within: tuple[str, ...]) -> DataFrame:
+    """``_before``: the sum of ``count`` over all earlier records, files in path order; or, with ``within``, over those of the same one.
+
+    Sums per block are added up first: one row a block, as many as the files have splits. Inside a
+    block, which one task has read, records are counted in their order.
+    """
+    blocks = rows.groupBy("_file", "_block").agg(F.sum(count).alias("_n"))
+    earlier = Window.partitionBy(*within).orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select("_file", "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_file", "_block").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    counted = rows.withColumn("_inside", F.coalesce(F.sum(count).over(inside), F.lit(0)))
+    return counted.join(offsets, ["_file", "_block"]).withColumn("_before", F.col("_offset") + F.col("_inside")).drop("_offset", "_inside")
+
+
 def read_host_list(spark: SparkSession, path: str) -> DataFrame:
-    """JSON array of strings, one row per entry: ``pos, host``.
+    """JSON arrays of strings, one row per entry: ``pos, host``, however the arrays are laid out in lines.
 
-    A string cannot span lines in JSON, so the file is read line by line: an array with an entry
-    on each line splits over tasks, one written on a single line is one row and so one task.
-    ``pos`` grows with the place in one file and has gaps; over several files it says nothing.
+    Files are split at quotes, so an array written on one line is read by as many tasks as its size
+    asks for. Whether a piece is text of an entry follows from the number of quotes before it;
+    escaped ones do not count, and the pieces around them are put together again. ``pos`` counts
+    from 0 without gaps over all files in path order.
     """
-    line = F.regexp_extract_all("value", F.lit(r'"(?:[^"\\]++|\\.)*+"'), 0)
-    entry = F.from_json(F.concat(F.lit("["), F.col("_s"), F.lit("]")), "array<string>")
-    strings = spark.read.text(path).select(F.explode(line).alias("_s"))
-    return strings.select(
-        F.monotonically_increasing_id().alias("pos"), F.get(entry, F.lit(0)).alias("host")
-    )
+    pieces = _placed_text(spark, path, '"')
+    # A quote behind an odd number of backslashes belongs to the entry.
+    escaped = F.length(F.regexp_extract("value", r"(\\*)$", 1)) % 2 == 1
+    quotes = _counted_before(pieces.withColumn("_escaped", escaped), F.when(F.col("_escaped"), 0).otherwise(1), ("_file",))
+    entries = quotes.filter(F.col("_before") % 2 == 1)
+    parts = F.array_sort(F.collect_list(F.struct("_block", "_at", "value")))
+    texts = entries.groupBy("_file", "_before").agg(parts.alias("_parts"))
+    text = F.array_join(F.transform("_parts", lambda p: p["value"]), '"')
+    host = F.get(F.from_json(F.concat(F.lit('["'), text, F.lit('"]')), "array<string>"), F.lit(0))
+    files = texts.groupBy("_file").agg(F.count("*").alias("_n"))
+    earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    # One row a file.
+    files = files.select("_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_first"))
+    return texts.join(files, "_file").select((F.col("_first") + F.floor(F.col("_before") / 2)).cast("bigint").alias("pos"), host.alias("host"))
 
 
 def read_url_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text file with one URL per line: ``pos, url``."""
-    return spark.read.text(path).select(
-        F.monotonically_increasing_id().alias("pos"), F.col("value").alias("url")
-    )
+    """Text files with one URL per line: ``pos, url``; ``pos`` counts from 0 without gaps over all files in path order."""
+    lines = _counted_before(_placed_text(spark, path), F.lit(1), ())
+    return lines.select(F.col("_before").cast("bigint").alias("pos"), F.col("value").alias("url"))
 
 
 def read_page_rows(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:

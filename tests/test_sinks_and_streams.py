@@ -243,3 +243,31 @@ def test_a_run_written_again_replaces_itself(spark, tmp_path):
     assert got == [("r1", "a", 1), ("r1", "unknown", 3), ("r2", "a", 1), ("r2", "b", 2), ("r2", "unknown", 3)]
     with pytest.raises(ValueError):
         sinks.write_jobs(jobs, path, run_id="a/b")
+
+
+def test_one_line_arrays_are_split_over_tasks(spark, tmp_path):
+    odd = ["", ",", '"', "\\", '\\"', '","', "],[", "ü", " x ", '\\\\"']
+    hosts_ = [[f"h{i}.example.net{odd[i % len(odd)] if i % 7 == 0 else ''}" if i % 11 else odd[i % len(odd)] for i in range(n)] for n in (20_000, 0, 3000, 1)]
+    for i, names in enumerate(hosts_):
+        text = json.dumps(names, ensure_ascii=False) if i % 2 == 0 else json.dumps(names, indent=1)
+        (tmp_path / f"{i}.json").write_text(text, encoding="utf-8")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for key, value in zip(before, ("65536", "1024")):
+            spark.conf.set(key, value)
+        assert spark.read.option("lineSep", '"').text(str(tmp_path / "0.json")).rdd.getNumPartitions() >= 4
+        for _ in range(2):
+            got = readers.read_host_list(spark, str(tmp_path)).orderBy("pos").collect()
+            assert [r.pos for r in got] == list(range(sum(map(len, hosts_))))
+            assert [r.host for r in got] == [h for names in hosts_ for h in names]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_positions_count_over_files(spark, tmp_path):
+    for i, n in enumerate((3, 1000, 1)):
+        (tmp_path / f"{i}.txt").write_text("".join(f"https://h{i}/{k}\n" for k in range(n)))
+    for _ in range(2):
+        got = readers.read_url_lines(spark, str(tmp_path)).orderBy("pos").collect()
+        assert [(r.pos, r.url) for r in got] == list(enumerate(f"https://h{i}/{k}" for i, n in enumerate((3, 1000, 1)) for k in range(n)))
