@@ -23,7 +23,7 @@ from .common import GOLDEN, mixed, slices, words_of
 SLOTS, ROWS = 192, 6  # 32 bands: a pair at 0.8 is missed 6 times in 100,000, at 0.85 3 in 10 million
 BLOCK = 8192  # shingles worked on at once
 SLACK = 0.16  # a sketch this far below the threshold (six deviations) is hopeless: that loses far less than the bands do
-ROUNDS = 6  # rounds in which each open bucket compares one more of its nodes with all others
+ROUNDS = 2  # rounds in which each open bucket compares one more of its nodes with all others
 BATCH_BYTES = 4_000_000
 
 
@@ -89,6 +89,18 @@ def sets_of(texts: list[bytes], width: int) -> list[np.ndarray]:
         return [shingle_set(h, width) for h in word_hashes([words_of(t) for t in texts])]
 
 
+def merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after further links: these are looked at between components only, of which few move."""
+    of = lambda end: found.select(F.col("node").alias(end), F.col("component").alias(f"_{end}"))
+    lifted = links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    moved = components(lifted.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")))
+    to = moved.select(F.col("node").alias("component"), F.col("component").alias("_to"))
+    out = found.join(to, "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
+    out = common.staged(out.unionByName(moved.join(found.select("node"), "node", "left_anti")), "components")
+    common.dropped(moved, found)
+    return out
+
+
 def text_key(text: str) -> Column:
     """A number for a row's id and text, never null; equal for repeated rows."""
     return F.xxhash64("doc_id", text).alias("_key")
@@ -276,19 +288,19 @@ def near_duplicates(docs: DataFrame, text: str = "text", width: int = 5, thresho
     involved = members.select("node").distinct().join(nodes.select("node", "digest", "first._key"), "node")
     texts = _texts(docs, text, involved, width)
     links = common.staged(verified(stars, texts, threshold, width), "verified")
-    scratch = [members, stars, texts, links]
+    scratch = [members, stars, texts, links]  # what goes when the groups stand
 
-    def placed() -> DataFrame:
+    def still_open(found: DataFrame) -> DataFrame:
         """Members of the buckets that still hold several components."""
-        found = components(links)
         placed = members.select("bucket", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         placed = common.staged(placed, "placed")
         several = placed.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 < c1")
         out = common.staged(placed.join(several.select("bucket"), "bucket"), "open")
-        common.dropped(found, placed)
+        common.dropped(placed)
         return out
 
-    done, rest = stars, placed()
+    done, groups = stars, components(links)
+    rest = still_open(groups)
     for turn in range(ROUNDS):
         # Another node of each open bucket, in no order of its own, meets the other components.
         draw = F.min(F.struct(F.xxhash64("node", F.lit(turn)), F.col("node").alias("x"), F.col("component").alias("cx"))).alias("one")
@@ -300,14 +312,15 @@ def near_duplicates(docs: DataFrame, text: str = "text", width: int = 5, thresho
         scratch += [met, more]
         if more.isEmpty():
             break
-        links = links.unionByName(more)
+        groups = merged(groups, more)
         common.dropped(rest)
-        rest = placed()
+        rest = still_open(groups)
     met = crossing(rest.select("node", "component").distinct(), texts, threshold, width)
     across = common.staged(met.join(done, ["a", "b"], "left_anti"), "across")
     common.dropped(rest, met)
     more = common.staged(verified(across, texts, threshold, width), "verified")
-    groups = components(links.unionByName(more))
+    if not more.isEmpty():
+        groups = merged(groups, more)
     common.dropped(*scratch, across, more)
     named = nodes.select("node", "digest", "first").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("first").alias("least"))
