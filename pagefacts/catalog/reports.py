@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions import urls as U
 from ..operators import report
-from .base import ATTEMPT_VERDICTS, ATTEMPTS, BOARD_URLS, HOST_CHECKS, JOB_PAGES, Family, derived, sql_site, twin
+from ..session import scratch_path
+from ..sources import sinks
+from .base import ATTEMPT_VERDICTS, ATTEMPTS, BOARD_URLS, HOST_CHECKS, JOB_PAGES, Family, derived, sql_site, table, twin
 from .gate import ENTRY_VERDICTS, entry_verdicts, resolve_attempts
 
 family = Family()
@@ -79,6 +81,24 @@ def unique_jobs(spark, sf_dir):
     return report.unique_jobs(jobs, "site", "job")
 
 
+SKETCHED = f"""SELECT DISTINCT CASE WHEN l_orderkey % 3 = 0 THEN 'board' ELSE 's' || l_suppkey % 4 END AS site, l_orderkey * 8 + l_linenumber % 4 AS job FROM lineitem"""
+
+
+@add("unique_jobs_sketched", f"""SELECT site, count(*) AS unique_jobs, TRUE AS near FROM ({SKETCHED}) GROUP BY GROUPING SETS ((site), ())""")
+def unique_jobs_sketched(spark, sf_dir):
+    """Exact counts, and whether those united from the sketches of three overlapping runs come within three hundredths."""
+    key, site = F.col("l_orderkey"), F.concat(F.lit("s"), F.col("l_suppkey") % 4)
+    lines = table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey", "l_linenumber")
+    jobs = lines.select(F.when(key % 3 == 0, "board").otherwise(site).alias("site"), (key * 8 + F.col("l_linenumber") % 4).alias("job"), (key % 5).alias("part"))
+    path = scratch_path(spark, "sketches")
+    for run_id, some in (("r1", jobs.filter("part < 3")), ("r2", jobs.filter("part > 1")), ("r3", jobs.filter("part = 2")), ("r1", jobs.filter("part < 3"))):
+        sinks.write_run(report.job_sketches(some, "site", "job"), path, run_id)
+    counted = report.unique_jobs_of(spark.read.parquet(path), "site").withColumnRenamed("unique_jobs", "estimate")
+    exact = report.unique_jobs(jobs, "site", "job")
+    near = F.abs(F.col("estimate") - F.col("unique_jobs")) <= 0.03 * F.col("unique_jobs")
+    return exact.alias("e").join(counted.alias("c"), F.col("e.site").eqNullSafe(F.col("c.site"))).select("e.site", "unique_jobs", near.alias("near"))
+
+
 COVERED = twin("""SELECT CASE WHEN page_id % 3 = 0 THEN 'board' ELSE 's' || page_id % 40 END AS site, title, CASE WHEN page_id % 4 <> 0 THEN location END AS location,
   CASE WHEN page_id % 5 <> 0 THEN description ELSE '' END AS description FROM {jobs}""", jobs=JOB_PAGES)
 

@@ -106,10 +106,30 @@ def unique_jobs(jobs: DataFrame, site: str = "subdomain", job: str = "jobId", ap
     else:
         pairs = jobs.filter(F.col(job).isNotNull()).select(site, job).distinct()
         per_site = pairs.groupBy(site).agg(F.count("*").alias("unique_jobs"))
+    return _with_total(per_site, site)
+
+
+def _with_total(per_site: DataFrame, site: str) -> DataFrame:
     both = F.explode(F.array(F.col(site), F.lit(None).cast("string"))).alias(site)
     return per_site.select(both, "unique_jobs").groupBy(site).agg(F.sum("unique_jobs").alias("unique_jobs"))
 
 
+def job_sketches(jobs: DataFrame, site: str = "subdomain", job: str = "jobId", slots_log2: int = 14) -> DataFrame:
+    """Per site a sketch of its different jobs: a few KB however many jobs, made in each task before the shuffle.
+
+    Sketches of other runs or parts unite with it, so a run is counted once and its rows need not be
+    read again. The relative error is about 0.8 / sqrt(2 ** slots_log2), a hundredth here at two deviations.
+    """
+    known = jobs.filter(F.col(job).isNotNull())
+    return known.groupBy(site).agg(F.hll_sketch_agg(job, F.lit(slots_log2)).alias("sketch"))
+
+
+def unique_jobs_of(sketches: DataFrame, site: str = "subdomain") -> DataFrame:
+    """As ``unique_jobs``, from sketches of any number of runs: a job counts once for its site."""
+    per_site = sketches.groupBy(site).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("unique_jobs"))
+    return _with_total(per_site, site)
+
+
 def field_coverage(jobs: DataFrame, columns: Sequence[str], site: str = "subdomain") -> DataFrame:
     """Per site: number of jobs and, per column, how many have a value. One pass."""
     return jobs.groupBy(site).agg(

@@ -271,3 +271,17 @@ def test_positions_count_over_files(spark, tmp_path):
     for _ in range(2):
         got = readers.read_url_lines(spark, str(tmp_path)).orderBy("pos").collect()
         assert [(r.pos, r.url) for r in got] == list(enumerate(f"https://h{i}/{k}" for i, n in enumerate((3, 1000, 1)) for k in range(n)))
+
+
+def test_sketches_of_runs_unite_to_the_exact_count_nearly(spark, tmp_path):
+    jobs = spark.range(300_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 7)).alias("subdomain"), (F.col("id") % 90_000).alias("jobId"))
+    jobs = jobs.unionByName(jobs.limit(10).select("subdomain", F.lit(None).cast("long").alias("jobId")))
+    for run_id, some in (("a", jobs.filter("jobId % 2 = 0 or jobId is null")), ("b", jobs), ("b", jobs.filter("jobId % 5 < 4"))):
+        sinks.write_run(report.job_sketches(some), str(tmp_path), run_id)
+    united = spark.read.parquet(str(tmp_path))
+    assert united.agg(F.max(F.length("sketch"))).first()[0] < 20_000
+    got = {r.subdomain: r.unique_jobs for r in report.unique_jobs_of(united).collect()}
+    want = {r.subdomain: r.unique_jobs for r in report.unique_jobs(jobs.filter("jobId % 2 = 0 or jobId % 5 < 4")).collect()}
+    errors = {k: abs(got[k] - want[k]) / want[k] for k in want}
+    assert set(got) == set(want) and max(errors.values()) < 0.03, errors
+    assert report.unique_jobs_of(united.limit(0)).collect() == []
