@@ -78,7 +78,10 @@ ORACLE_SQL = None  # trained models and signatures: tested against brute force a
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.read(spark, sf_dir, "documents")
+    docs, last = common.read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = common.staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if last is not None:
+            common.dropped(last)
+        last = docs
     return docs
