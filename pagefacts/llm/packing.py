@@ -3,8 +3,9 @@
 Each task packs the documents it reads. Full windows are cut off a document first; the
 rest goes to the smallest tier that holds it. A tier is packed when its pool is full:
 longest rest first, then the gap of each window is filled with the largest rests of
-shorter tiers that fit, and at last with a cut from the shortest one. Sequences of a tier
-form step groups of the same number of tokens.
+shorter tiers that fit, and at last with a cut from the shortest one. When all is packed,
+the sequences of a tier are numbered over all tasks and form step groups of the same number
+of tokens: only the last group of a tier may hold fewer.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from . import common
 from .common import Remembered, slices
@@ -29,6 +31,7 @@ TIERS = (512, 1024, 2048, 4096)
 END = 2
 POOL = 256  # rests a tier holds before it is packed
 STEP_TOKENS = 1 << 18
+TASK_BITS = 40  # of a sequence id are its number within the task
 KNOWN_MAX = 48_000_000  # bytes of words a task remembers, in each of two generations
 KNOWN_BYTES = 48
 BATCH_BYTES = 12_000_000
@@ -37,7 +40,7 @@ PIECES = pa.schema(
     [
         ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
         ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()),
-        ("tier", pa.int64()), ("step_group", pa.int64()),
+        ("tier", pa.int64()), ("place", pa.int64()),
     ]
 )
 PIECES_SQL = ", ".join(f"{f.name} long" for f in PIECES)
@@ -132,11 +135,11 @@ class Encoder:
 class Packer:
     """Packs the documents of one task; memory is a few pools of rests."""
 
-    def __init__(self, tiers: tuple[int, ...], base: int, pool: int = POOL, step_tokens: int = STEP_TOKENS):
-        self.tiers, self.base, self.pool, self.step_tokens = sorted(tiers), base, pool, step_tokens
+    def __init__(self, tiers: tuple[int, ...], base: int, pool: int = POOL):
+        self.tiers, self.base, self.pool = sorted(tiers), base, pool
         self.rests: dict[int, list] = {t: [] for t in self.tiers}  # (length, order, doc, start, ids)
         self.sequences, self.order = 0, 0
-        self.of_tier = dict.fromkeys(self.tiers, 0)
+        self.of_tier: dict[int, int] = {}
         self.rows: list[tuple] = []
 
     def add(self, doc_id, ids: bytes) -> None:
@@ -157,14 +160,12 @@ class Packer:
         bisect.insort(self.rests[tier], (n, self.order, doc, start, ids))
 
     def close(self, tier: int, pieces: list[tuple]) -> None:
-        """One finished sequence; its step group holds ``step_tokens`` of one tier."""
-        k = self.of_tier[tier] if tier in self.of_tier else 0
-        if tier in self.of_tier:
-            self.of_tier[tier] = k + 1
-        group = self.base + (tier.bit_length() << 32) + k // max(1, self.step_tokens // tier)
+        """One finished sequence; its place is that among the task's sequences of this size."""
+        place = self.of_tier.get(tier, 0)
+        self.of_tier[tier] = place + 1
         at = 0
         for n, doc, start, ids in pieces:
-            self.rows.append((doc[0], start, n, zlib.crc32(ids), doc[1], self.base + self.sequences, at, tier, group))
+            self.rows.append((doc[0], start, n, zlib.crc32(ids), doc[1], self.base + self.sequences, at, tier, place))
             at += n
         self.sequences += 1
 
@@ -237,8 +238,9 @@ def pack_documents(
     A null or empty text is the end id alone. Repeated rows are packed each on their own;
     a null doc_id stays null. ``tiers`` are powers of two. Sequences have no padding: windows
     are filled to the last token, and a task's last tokens go to sequences of smaller powers of
-    two. Nothing is shuffled, tasks share nothing, and an empty table gives no rows. Ids of
-    sequences and groups hold the task's number, so they follow the input's splits.
+    two. Tasks share nothing while they pack, no text is shuffled, and an empty table gives no rows.
+    Ids of sequences hold the task's number, so they follow the input's splits. A step group is
+    ``step_tokens`` of sequences of one size, over all tasks; only a size's last group may hold fewer.
     """
     with open(tokenizer_path, encoding="utf-8") as file:
         content = file.read()
@@ -246,7 +248,7 @@ def pack_documents(
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(content)
-        packer = Packer(tiers, TaskContext.get().partitionId() << 40, step_tokens=step_tokens)
+        packer = Packer(tiers, TaskContext.get().partitionId() << TASK_BITS)
         for batch in slices(batches, "_data", BATCH_BYTES):
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.ids(batch.column("_data").to_pylist())):
                 packer.add(doc_id, ids + last)
@@ -254,7 +256,23 @@ def pack_documents(
         packer.finish()
         yield packer.batch()
 
-    return common.in_bytes(docs, text, "doc_id").mapInArrow(packed, PIECES_SQL)
+    pieces = common.staged(common.in_bytes(docs, text, "doc_id").mapInArrow(packed, PIECES_SQL), "pieces")
+    return grouped(pieces, step_tokens)
+
+
+def grouped(pieces: DataFrame, step_tokens: int) -> DataFrame:
+    """Pieces with ``step_group`` in place of ``place``: sequences are numbered by counts of each task and size."""
+    task = F.shiftright("sequence_id", TASK_BITS).alias("_task")
+    counts = pieces.filter("offset = 0").groupBy(task, "tier").agg(F.count("*").alias("_n"))
+    # A row for each task and size.
+    earlier = Window.partitionBy("tier").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("_task", "tier", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    rows = pieces.withColumn("_task", task).join(before, ["_task", "tier"])
+    number = F.floor((F.col("_before") + F.col("place")) / F.greatest(F.lit(1), F.floor(F.lit(step_tokens) / F.col("tier"))))
+    # Groups of one size follow each other; the size is in the number's high part.
+    size = F.floor(F.log2("tier") + 0.5).cast("long")
+    group = (F.shiftleft(size, TASK_BITS) + number).alias("step_group")
+    return rows.select(*(f.name for f in PIECES if f.name != "place"), group)
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -84,6 +84,21 @@ def test_packing_places_each_id_once_without_padding(odd, docs):
         assert at <= 4096 and at & (at - 1) == 0
     pieces = packing.pack_documents(odd, path).collect()
     assert sum(r.length for r in pieces if r.doc_id in (1, 2)) == 2
+    assert Counter(r.doc_id for r in pieces if r.start == 0) == Counter(r[0] for r in ODD)
+    assert packing.pack_documents(odd.limit(0), path).collect() == []
+
+
+def test_step_groups_hold_equal_tokens_over_tasks(spark, docs):
+    rows = packing.pack_documents(docs.repartition(8), public_tokenizers.path("word_bpe_49k.json"), step_tokens=1 << 14).collect()
+    tokens, of = Counter(), {}
+    for r in rows:
+        tokens[r.tier, r.step_group] += r.length
+        assert of.setdefault(r.sequence_id, r.step_group) == r.step_group
+    for tier in {t for t, _ in tokens}:
+        groups = sorted(g for t, g in tokens if t == tier)
+        assert groups == list(range(groups[0], groups[0] + len(groups)))
+        assert all(tokens[tier, g] == 1 << 14 for g in groups[:-1]) and tokens[tier, groups[-1]] <= 1 << 14
+    assert len({g for _, g in tokens}) == len(tokens) and sum(1 for t, _ in tokens if t == 4096) > 3
 
 
 def test_toxicity_restores_and_ranks(spark, odd, docs, sf_dir):
