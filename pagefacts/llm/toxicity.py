@@ -43,9 +43,10 @@ HARD = re.compile(r"[0-9@$!|+(€£*._\-~'’^=,:;#/\\]|(.)\1\1")
 EDGES = re.compile(r"^[^\w@$!|+(€£]+|[^\w@$|+]+$")
 KNOWN_MAX = 400_000
 BATCH_BYTES = 8_000_000
-WORD_SHARE = 1e-6  # least share of all words of one that parts spaced-out ones: a million words at most
+WORD_SHARE = 2e-7  # least share of all words of one that parts spaced-out ones: five million at most, some 100,000 in prose
 UNKNOWN = math.log(1e-3)  # of a word that is not among them, besides its letters
-TRIGRAM_SHARE = 1e-6  # least share of all trigrams of one that the character model knows; rarer ones share its floor
+TRIGRAM_SHARE = 1e-7  # least share of all trigrams of one that the character model knows; rarer ones share its floor
+SHORT = 24  # letters of words looked up at every border; of longer ones only the lengths that occur are
 LABELLED_MAX = 10_000  # rows of each label learnt from, chosen by a hash of the id
 WHOLE, BEGINNING = math.log(6), math.log(20)  # least odds of a word, of a beginning
 MIN_TOXIC = 4  # texts labelled toxic that hold a key, at least
@@ -58,10 +59,7 @@ class CharModel:
     def __init__(self, counts: dict[str, int], words: dict[str, int] | None = None):
         self.words = words or {}
         self.all_words = sum(self.words.values())
-        # Lengths of the words that end in the same last letters, three of them at most.
-        self.tails: dict[str, tuple[int, ...]] = {}
-        for tail, size in sorted({(w[-3:], len(w)) for w in self.words}):
-            self.tails[tail] = (*self.tails.get(tail, ()), size)
+        self.long = sorted({len(w) for w in self.words if len(w) > SHORT})
         tri, bi, uni = Counter(), Counter(), Counter()
         context2, context1 = Counter(), Counter()
         for gram, n in counts.items():
@@ -144,7 +142,7 @@ def parted(word: str, model: CharModel) -> list[str]:
     A known word costs its share of all words, another one its letters' probability.
     """
     best: list[tuple[float, int]] = [(0.0, 0)]
-    tails = model.tails.get
+    known = model.words.get
     other = [0.0]  # of letters since the last border, were all in one unknown word
     starts = [0]
     for end in range(1, len(word) + 1):
@@ -159,14 +157,16 @@ def parted(word: str, model: CharModel) -> list[str]:
         starts.append(begun if fresh >= more else starts[begun])
         tail = ("^" + word[begun]) if starts[end] == begun else word[end - 2 : end]
         found = (other[end] + model.log(tail + "$"), starts[end])
-        for letters in range(1, min(end, 3) + 1):
-            for size in tails(word[end - letters : end], ()):
-                if size > end:
-                    break
-                start = end - size
-                n = model.words.get(word[start:end])
-                if n:
-                    found = max(found, (best[start][0] + math.log(n / model.all_words), start))
+        for start in range(max(0, end - SHORT), end):
+            n = known(word[start:end])
+            if n:
+                found = max(found, (best[start][0] + math.log(n / model.all_words), start))
+        for size in model.long:
+            if size > end:
+                break
+            n = known(word[end - size : end])
+            if n:
+                found = max(found, (best[end - size][0] + math.log(n / model.all_words), end - size))
         best.append(found)
     out, end = [], len(word)
     while end:
