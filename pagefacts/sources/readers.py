@@ -118,3 +118,11 @@ def stream_pages(spark: SparkSession, path: str, schema, glob: str = "*.parquet"
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(path)
     )
+
+
+def stream_table(spark: SparkSession, path: str, schema, files_per_batch: int = 1000) -> DataFrame:
+    """A parquet table as a stream, be it one file or a folder to which files are added.
+
+    A plain path has to be a folder, a pattern may stand for either: the last letter is written as one.
+    """
+    return stream_pages(spark, f"{path[:-1]}[{path[-1]}]", schema, "*", files_per_batch)

@@ -285,3 +285,14 @@ def test_sketches_of_runs_unite_to_the_exact_count_nearly(spark, tmp_path):
     errors = {k: abs(got[k] - want[k]) / want[k] for k in want}
     assert set(got) == set(want) and max(errors.values()) < 0.03, errors
     assert report.unique_jobs_of(united.limit(0)).collect() == []
+
+
+def test_a_stream_reads_tables_of_several_files(spark, tmp_path, sf_dir):
+    from pagefacts import catalog
+
+    for table in ("pages", "events"):
+        spark.read.parquet(f"{sf_dir}/{table}.parquet").repartition(3).write.parquet(str(tmp_path / f"{table}.parquet"))
+    for name, query in catalog.queries().items():
+        if name.startswith("stream_"):
+            got, want = (sorted(query(spark, folder).collect()) for folder in (str(tmp_path), sf_dir))
+            assert want and got == want, name
