@@ -152,3 +152,10 @@ def test_a_round_does_not_shuffle_the_urls_seen(spark, tmp_path):
     side = plan[plan.rindex("+- Sort [url_key"):]
     assert "Bucketed: true" in side and "Exchange" not in side and "Broadcast" not in plan
     assert "Exchange" not in plan_of(seen.keys().groupBy("url_key").agg(F.min("round")))
+
+
+def test_filters_on_pages_stay_above_the_dealing(spark, sf_dir):
+    plan = entry.queries()["crawl_quarantine"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    below = [part.split("Relation [")[0] for part in plan.split("Repartition ")[1:]]
+    assert len(below) > 3 and "maintenance" in plan
+    assert not [part for part in below if "maintenance" in part]
