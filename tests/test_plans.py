@@ -159,3 +159,10 @@ def test_filters_on_pages_stay_above_the_dealing(spark, sf_dir):
     below = [part.split("Relation [")[0] for part in plan.split("Repartition ")[1:]]
     assert len(below) > 3 and "maintenance" in plan
     assert not [part for part in below if "maintenance" in part]
+
+
+def test_pages_are_judged_after_their_route(spark, pages):
+    gated = flows._gated(pages.withColumn("status_code", F.lit(200)), gate.ERROR_PATTERNS, None)
+    plan = flows._cards(gated)._jdf.queryExecution().optimizedPlan().toString()
+    condition = plan[plan.rindex("Filter ") :]
+    assert 0 < condition.index("LISTING") < condition.index("maintenance")
