@@ -78,12 +78,12 @@ def src_page_rows(spark, sf_dir):
   html || chr(10) AS html FROM pages""")
 def src_html_samples(spark, sf_dir):
     path = scratch_path(spark, "samples")
-    kind = F.element_at(F.array(F.lit("job-listing-"), F.lit("job-"), F.lit("page-")), (F.col("page_id") % 3 + 1).cast("int"))
-    files = table(spark, sf_dir, "pages").select(
-        site_key(F.col("url")).alias("site"), F.concat(kind, "page_id", F.lit(".html")).alias("name"), "html"
-    )
-    # One folder per page, as the text writer names its files itself.
-    files.write.partitionBy("site", "name").text(path)
+    kind = F.element_at(F.array(F.lit("job-listing"), F.lit("job"), F.lit("page")), (F.col("page_id") % 3 + 1).cast("int"))
+    files = table(spark, sf_dir, "pages").select(site_key(F.col("url")).alias("site"), kind.alias("name"), "html")
+    # One file per page, which the text writer names itself, in a folder per site and kind: to list a folder per page
+    # costs a task each. Tasks put their files in place, as the driver would do it one by one.
+    writer = files.write.partitionBy("site", "name").option("maxRecordsPerFile", 1)
+    writer.option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(path)
     found = readers.read_html_files(spark, path, "*.txt", "/site=([^/]+)/", "/name=([^/]+)/")
     return found.select("site", "page_type", "html")
 

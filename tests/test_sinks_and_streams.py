@@ -296,3 +296,13 @@ def test_a_stream_reads_tables_of_several_files(spark, tmp_path, sf_dir):
         if name.startswith("stream_"):
             got, want = (sorted(query(spark, folder).collect()) for folder in (str(tmp_path), sf_dir))
             assert want and got == want, name
+
+
+def test_saved_pages_are_one_file_each_in_few_folders(spark, tmp_path, sf_dir, monkeypatch):
+    from pagefacts.catalog import sources
+
+    monkeypatch.setattr(sources, "scratch_path", lambda spark, name: str(tmp_path / name))
+    found = sources.src_html_samples(spark, sf_dir)
+    rows = spark.read.parquet(f"{sf_dir}/pages.parquet").count()
+    assert found.count() == rows == len(glob.glob(f"{tmp_path}/samples/*/*/part-*"))
+    assert len(glob.glob(f"{tmp_path}/samples/*/*")) == found.select("site", "page_type").distinct().count() < rows
