@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html as H
-from ..functions.text import WS, blank_to_null, contains_any, trim
+from ..functions.text import WS, blank_to_null, contains_any, let, trim
 
 # How a page words its number of jobs, first count above zero wins.
 COUNT_PATTERNS = tuple(
@@ -29,6 +29,10 @@ COUNT_PATTERNS = tuple(
         r"([0-9]+)\s+opportunit(?:y|ies)",
     )
 )
+# A word each of these patterns needs, in lower case.
+COUNT_NEEDLES = dict(
+    zip(COUNT_PATTERNS, ("matching", "matching", "showing", "result", "result", "found", "found", "position", "opportunit"), strict=True)
+)
 LISTING_TOTAL = rf"(?i)of{WS}+([0-9]+){WS}+results?"
 
 # Signs of a login page, of a missing page and of a job board.
@@ -49,10 +53,17 @@ _JOB_LINK = _DETAIL_HREF + r"""[^/"'>]+/([0-9]+)"""
 
 
 def total_from_text(text: Column, patterns: Sequence[str] = COUNT_PATTERNS) -> Column:
-    counts = [
-        F.nullif(F.regexp_extract(text, p, 1).try_cast("bigint"), F.lit(0)) for p in patterns
-    ]
-    return F.coalesce(*counts)
+    """First count above zero. Patterns only run on texts that hold their word."""
+
+    def first_count(lower: Column) -> Column:
+        counts = []
+        for p in patterns:
+            count = F.nullif(F.regexp_extract(text, p, 1).try_cast("bigint"), F.lit(0))
+            needle = COUNT_NEEDLES.get(p)
+            counts.append(count if needle is None else F.when(lower.contains(needle), count))
+        return F.coalesce(*counts)
+
+    return let(F.lower(text), first_count)
 
 
 def listing_total(text: Column) -> Column:

@@ -306,3 +306,10 @@ def test_saved_pages_are_one_file_each_in_few_folders(spark, tmp_path, sf_dir, m
     rows = spark.read.parquet(f"{sf_dir}/pages.parquet").count()
     assert found.count() == rows == len(glob.glob(f"{tmp_path}/samples/*/*/part-*"))
     assert len(glob.glob(f"{tmp_path}/samples/*/*")) == found.select("site", "page_type").distinct().count() < rows
+
+
+def test_count_patterns_run_only_where_their_word_is(spark):
+    assert set(hosts.COUNT_NEEDLES) == set(hosts.COUNT_PATTERNS) and all(n in p for p, n in hosts.COUNT_NEEDLES.items())
+    texts = {"12 OPEN Positions": 12, "We FOUND 7 jobs": 7, "showing 1 - 9 OF 33": 33, "0 results, 4 Opportunities": 4, "9 lives": None, "": None}
+    df = spark.createDataFrame([(k,) for k in texts], "t string")
+    assert {r.t: r.n for r in df.select("t", hosts.total_from_text(F.col("t")).alias("n")).collect()} == texts
