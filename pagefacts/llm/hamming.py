@@ -1,16 +1,18 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
 Codes are cut into segments of about log2(n) bits, each with its own index. A query looks up
-all segment values at radius 0, then 1, 2, ...: when radius r is done in all S segments,
-every code within S * (r + 1) - 1 bits has been met. A query ends as soon as its k-th
+all segment values at radius 0, then 1 and 2, 3 and 4, ...: when radius r is done in all S
+segments, every code within S * (r + 1) - 1 bits has been met. A query ends as soon as its k-th
 verified distance is within that bound, so the result is exact. With radius r done in all
-segments and r + 1 in ``a`` of them, the bound is S * (r + 1) + a - 1: a query that knows its
+segments and r + t in ``a`` of them, the bound is S * (r + 1) + t * a - 1: a query that knows its
 k-th distance so far looks up only as many segments as the proof still needs.
 
 An index row is a block: the values of a segment that agree in all but their last bits, as
 they occur, with their codes. So a probe is a row for each way to miss the high bits only;
 the low bits are compared inside the block, where values that do not occur cost nothing, and
-a block's hits leave it as verified distances no greater than the k-th one known.
+a block's hits leave it as verified distances no greater than the k-th one known. Two radii
+make one round, so a block is met once for both; and with more codes first the blocks grow,
+up to ``LOW`` bits, and only then their number, so a query does not meet more of them.
 """
 
 from __future__ import annotations
@@ -24,7 +26,9 @@ from pyspark.sql import functions as F
 from . import common
 
 K = 10
-LOW = 8  # last bits of a segment's value, compared inside a block
+LOW = 9  # at most so many last bits of a segment's value are compared inside a block
+HIGH = 7  # so many bits tell blocks apart, more only where LOW bits do not hold the others
+STEP = 2  # radii of a round
 BLOCK_ROWS = 1024  # codes of a block row on average; blocks with more are dealt out over several rows
 
 
@@ -56,12 +60,17 @@ def first_k(rows: DataFrame, group: str, k: int, *order: str) -> DataFrame:
     return rows.withColumn("rank", place).filter(F.col("rank") <= k)
 
 
-def blocks_of(entries: DataFrame) -> DataFrame:
+def low_bits(size: int) -> int:
+    """How many last bits of a segment of ``size`` bits are compared inside a block."""
+    return min(LOW, max(4, size - HIGH))
+
+
+def blocks_of(entries: DataFrame, low: int) -> DataFrame:
     """dim, part, high and the block's codes: an array of (low, entry, m, code), in as many rows as a large block needs."""
     value = F.posexplode("code").alias("part", "value")
     parts = entries.select("dim", "entry", "m", "code", value)
     key = ["dim", "part", "high"]
-    parts = parts.select("dim", "part", F.shiftright("value", LOW).alias("high"), F.col("value").bitwiseAND(F.lit((1 << LOW) - 1)).alias("low"), "entry", "m", "code")
+    parts = parts.select("dim", "part", F.shiftright("value", low).alias("high"), F.col("value").bitwiseAND(F.lit((1 << low) - 1)).alias("low"), "entry", "m", "code")
     sizes = parts.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("_rows"))
     dealt = parts.join(sizes, key).withColumn("_sub", F.pmod(F.xxhash64("entry"), F.col("_rows")))
     return dealt.groupBy(*key, "_sub").agg(F.collect_list(F.struct("low", "entry", "m", "code")).alias("block")).drop("_sub")
@@ -74,7 +83,7 @@ def hits(probes: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
     those behind the k nearest of the block and their ties: they cannot be in the result.
     """
     met = probes.join(blocks.hint("merge"), ["dim", "part", "high"])
-    near = F.filter("block", lambda x: F.bit_count(x["low"].bitwiseXOR(F.col("low"))) == F.col("misses"))
+    near = F.filter("block", lambda x: F.bit_count(x["low"].bitwiseXOR(F.col("low"))) <= F.col("most"))
     found = F.transform(near, lambda x: F.struct(distance(x["code"], F.col("code")).alias("distance"), x["entry"].alias("entry"), x["m"].alias("m")))
     found = F.array_sort(F.filter(found, lambda x: F.col("reached").isNull() | (x["distance"] <= F.col("reached"))))
     rows = met.select("query_id", found.alias("found"))
@@ -98,29 +107,31 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     if not n:
         return _empty(spark, codes, queries)
     size = max(4, min(20, round(math.log2(max(2, n))), longest))
-    high_bits = max(0, size - LOW)
+    low = low_bits(size)
+    high_bits = max(0, size - low)
     cut = lambda rows, *keys: rows.filter(whole).select(*keys, F.size("bits").alias("dim"), segments(F.col("bits"), size).alias("code"))
     rows = cut(codes, "id").withColumn("_id", F.coalesce("id", F.lit((1 << 63) - 1))).withColumn("_same", F.struct("dim", "code"))
     few = first_k(rows, "_same", k, "_id").select("dim", "code", "id", "_id")
     few = common.staged(few, "mih-codes")
     entries = few.groupBy("dim", "code").agg(F.count("*").alias("m"))
     entries = common.staged(entries.withColumn("entry", F.monotonically_increasing_id()), "mih-entries")
-    blocks = common.staged(blocks_of(entries), "mih-blocks")
+    blocks = common.staged(blocks_of(entries, low), "mih-blocks")
     count = F.size("code")
     asked = cut(queries.filter(F.col("query_id").isNotNull()), "query_id").dropDuplicates(["query_id"])
     active = common.staged(asked.select("*", count.alias("need"), F.lit(None).cast("int").alias("reached")), "mih-queries")
     found = None
-    for radius in range(size + 1):
-        if active.isEmpty():
-            break
+    done = -1  # the radius that all segments of the queries still active are done with
+    while done < size and not active.isEmpty():
+        radius = min(size, done + STEP) if done >= 0 else 0
+        step = radius - done
         # Of the misses allowed, some are in the high bits, the others inside the block.
-        ways = [(mask, radius - j) for j in range(min(radius, high_bits) + 1) if radius - j <= LOW for mask in masks(high_bits, j)]
-        ways = F.array(*(F.struct(F.lit(mask).alias("mask"), F.lit(misses).alias("misses")) for mask, misses in ways))
+        ways = [(mask, radius - j) for j in range(min(radius, high_bits) + 1) if done + 1 - j <= low for mask in masks(high_bits, j)]
+        ways = F.array(*(F.struct(F.lit(mask).alias("mask"), F.lit(most).alias("most")) for mask, most in ways))
         parts = active.select("query_id", "dim", "code", "need", "reached", F.posexplode("code").alias("part", "_v")).filter("part < need")
         probes = parts.select("query_id", "dim", "part", "code", "reached", "_v", F.explode(ways).alias("_way"))
         probes = probes.select(
-            "query_id", "dim", "part", F.shiftright("_v", LOW).bitwiseXOR(F.col("_way.mask")).alias("high"),
-            F.col("_v").bitwiseAND(F.lit((1 << LOW) - 1)).alias("low"), "_way.misses", "code", "reached",
+            "query_id", "dim", "part", F.shiftright("_v", low).bitwiseXOR(F.col("_way.mask")).alias("high"),
+            F.col("_v").bitwiseAND(F.lit((1 << low) - 1)).alias("low"), "_way.most", "code", "reached",
         )
         new = hits(probes, blocks, k)
         before, found = found, common.staged((new if found is None else found.unionByName(new)).distinct(), "mih-found")
@@ -129,8 +140,10 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         kth = found.groupBy("query_id", "distance").agg(F.sum("m").alias("m")).withColumn("m", upto)
         reached = kth.filter(F.col("m") >= k).groupBy("query_id").agg(F.min("distance").alias("_now"))
         now = active.join(reached, "query_id", "left")
-        unproved = now.filter(F.col("_now").isNull() | (F.col("_now") > count * radius + F.col("need") - 1))
-        need = F.least(count, F.coalesce(F.col("_now") - count * (radius + 1) + 1, count))
+        unproved = now.filter(F.col("_now").isNull() | (F.col("_now") > count * (done + 1) + F.col("need") * step - 1))
+        ahead = min(size, radius + STEP) - radius
+        need = F.least(count, F.coalesce(F.ceil((F.col("_now") - count * (radius + 1) + 1) / max(1, ahead)).cast("int"), count))
+        done = radius
         last, active = active, common.staged(unproved.select("query_id", "dim", "code", need.alias("need"), F.col("_now").alias("reached")), "mih-active")
         common.dropped(last, *([before] if before else []))
     common.dropped(blocks, active)

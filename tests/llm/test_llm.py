@@ -373,6 +373,23 @@ def test_hamming_of_several_lengths_and_hot_segments(spark, monkeypatch):
     assert not got
 
 
+def test_hamming_queries_meet_no_more_blocks_in_more_codes(spark, monkeypatch):
+    plain, met = hamming.hits, []
+
+    def counted(probes, blocks, k):
+        met.append(probes.join(blocks, ["dim", "part", "high"]).count())
+        return plain(probes, blocks, k)
+
+    monkeypatch.setattr(hamming, "hits", counted)
+    total = {}
+    for n in (2000, 10000):
+        bits = np.random.default_rng(7).integers(0, 2, (n, 64)).tolist()
+        codes = spark.createDataFrame(list(enumerate(bits)), "id long, bits array<int>").cache()
+        hamming.top_k(codes, codes.filter("id % 100 = 0").withColumnRenamed("id", "query_id"))
+        total[n], met[:] = sum(met), []
+    assert total[10000] < 8 * total[2000]
+
+
 def test_mixing_meets_targets(spark, odd):
     rows = [(i, "w " * (i * 37 % 200 + 1), "abcd"[i % 4] if i % 9 else None) for i in range(2000)] + [(5000, "w " * 3, "z")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
