@@ -84,6 +84,20 @@ def test_own_dictionary(page):
     assert page(value("color", labels=labels), block("Color", "red")) == "red"
 
 
+def test_values_by_number_are_those_of_the_rows(page):
+    labels = {"a": ("site", "place", "work place"), "b": ("place", "type", "job type"), "c": ("ref #",)}
+    html = (
+        block("Place", "1") + block("Work", "2") + block(" Job # ", "3") + "<dl><dt>Job type<dd>4<dt>Site<dd>5</dl>"
+        "<p><b>Work place:</b> 6</p><table><tr><th>Ref #<td>7<tr><th>Type<td>8</table><span>Site:</span><span> 9 </span><div>type</div><div>10</div>"
+    )
+    for strict in (False, True):
+        keys = fields.match_keys(fields.candidates(F.col("doc"), labels=labels), labels, strict)
+        cands = fields.candidates(F.col("doc"), labels=labels)
+        got = page(F.struct(*[fields.value_by_key(cands, keys, t, labels).alias(t) for t in labels]), html)
+        want = page(F.struct(*[value(t, labels=labels, strict=strict).alias(t) for t in labels]), html)
+        assert got == want and got["a"] is not None
+
+
 def test_text_fields(page):
     D = F.col("doc")
     html = "<body>x\nLocation: Rome, Italy\n Department: Sales\n</body>"

@@ -36,6 +36,13 @@ def test_records_use_python_once_and_no_shuffle(pages):
     assert "Exchange" not in plan and "Join" not in plan
 
 
+def test_records_look_up_elements_by_their_places(pages):
+    plan = plan_of(jobs.job_records(N.with_doc(pages)))
+    assert re.search(r"doc#\d+\.places", plan)
+    # No expression goes through all elements of a page.
+    assert not re.search(r"(filter|transform|exists)\(doc#\d+\.nodes", plan)
+
+
 def test_link_operators_read_a_page_once_without_shuffle(pages):
     for op in (links.anchors, links.pagination_links, links.fallback_job_links, links.route_links):
         plan = plan_of(op(pages))
