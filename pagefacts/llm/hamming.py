@@ -1,23 +1,23 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
-Codes are cut into segments of about log2(n) bits, each with its own index. A query looks up
-all segment values at radius 0, then 1 and 2, 3 and 4, ...: when radius r is done in all S
-segments, every code within S * (r + 1) - 1 bits has been met. A query ends as soon as its k-th
-verified distance is within that bound, so the result is exact. With radius r done in all
-segments and r + t in ``a`` of them, the bound is S * (r + 1) + t * a - 1: a query that knows its
-k-th distance so far looks up only as many segments as the proof still needs.
-
-An index row is a block: the values of a segment that agree in all but their last bits, as
-they occur, with their codes. So a probe is a row for each way to miss the high bits only;
-the low bits are compared inside the block, where values that do not occur cost nothing, and
-a block's hits leave it as verified distances no greater than the k-th one known. Two radii
-make one round, so a block is met once for both; and with more codes first the blocks grow,
-up to ``LOW`` bits, and only then their number, so a query does not meet more of them.
+Codes are cut into S segments of like size, each with its own index. A query looks up all
+segment values at radius 0, then 1, 2, ...: when radius r is done in all segments, every code
+within S * (r + 1) - 1 bits has been met. A query ends as soon as its k-th verified distance is
+within that bound, so the result is exact. With radius r - 1 done in all segments and r in ``a``
+of them, the bound is S * r + a - 1: a query looks up only as many segments as the proof still
+needs for the k-th distance it knows so far.
+
+A segment has log2(n) bits less ``FEWER``: looking up a value costs as much as comparing some tens of
+codes, so an index row is a block, all codes with one value of a segment. A block's codes are
+compared in the condition of a join, on 64 bits at a time in generated code: what is beyond the
+k-th distance known never becomes a row. Before its first radius a query learns a k-th distance
+from the counts of codes by distance in its own blocks.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 from . import common
 
 K = 10
-LOW = 9  # at most so many last bits of a segment's value are compared inside a block
-HIGH = 7  # so many bits tell blocks apart, more only where LOW bits do not hold the others
-STEP = 2  # radii of a round
+FEWER = 6  # so many bits a segment has less than the number of codes: a block holds about 2 ** FEWER codes
+MOST = 16  # bits of a segment at most, so values at a radius stay few enough to list
 BLOCK_ROWS = 1024  # codes of a block row on average; blocks with more are dealt out over several rows
+WORD = 64  # bits compared at a time
 
 
 def sign_bits(vector: Column) -> Column:
@@ -37,59 +37,83 @@ def sign_bits(vector: Column) -> Column:
     return F.transform(vector, lambda x: F.when(x > 0, 1).otherwise(0))
 
 
-def segments(bits: Column, size: int) -> Column:
-    """Bits cut into numbers of ``size`` bits; the last one may be shorter."""
+def cut_into(bits: Column, count: Column) -> Column:
+    """Bits cut into ``count`` numbers of like size, none over 64 bits."""
     n = F.size(bits)
-    starts = F.sequence(F.lit(0), n - 1, F.lit(size))
-    number = lambda part: F.aggregate(part, F.lit(0), lambda a, b: a * 2 + b)
-    return F.transform(starts, lambda s: number(F.slice(bits, s + 1, size)))
+    start = lambda i: F.floor(i * n / count).cast("int")
+    number = lambda part: F.aggregate(part, F.lit(0).cast("long"), lambda a, b: F.shiftleft(a, 1).bitwiseOR(b.cast("long")))
+    return F.transform(F.sequence(F.lit(0), count - 1), lambda i: number(F.slice(bits, start(i) + 1, start(i + 1) - start(i))))
 
 
-def distance(a: Column, b: Column) -> Column:
-    """Differing bits of two arrays of segments."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+def pieces(bits: Column, size: int) -> Column:
+    """How many pieces of at most ``size`` bits hold all bits."""
+    return F.ceil(F.size(bits) / size).cast("int")
+
+
+def distance(a: str, b: str, words: int) -> Column:
+    """Differing bits of two rows' words, columns ``a0``, ``a1``, ... and ``b0``, ``b1``, ...; null words count nothing."""
+    differ = [F.bit_count(F.col(f"{a}{i}").bitwiseXOR(F.col(f"{b}{i}"))) for i in range(words)]
+    return reduce(lambda x, y: x + y, (F.coalesce(d, F.lit(0)) for d in differ)).cast("int")
 
 
 def masks(size: int, radius: int) -> list[int]:
     return [sum(1 << i for i in some) for some in combinations(range(size), radius)]
 
 
-def first_k(rows: DataFrame, group: str, k: int, *order: str) -> DataFrame:
+def first_k(rows: DataFrame, group: str | list[str], k: int, *order: str) -> DataFrame:
     """The first ``k`` rows of each group; tasks drop what cannot be among them before the shuffle."""
     place = F.row_number().over(Window.partitionBy(group).orderBy(*order))
     return rows.withColumn("rank", place).filter(F.col("rank") <= k)
 
 
-def low_bits(size: int) -> int:
-    """How many last bits of a segment of ``size`` bits are compared inside a block."""
-    return min(LOW, max(4, size - HIGH))
+def segment_bits(n: int, longest: int) -> int:
+    """Bits of a segment for ``n`` codes of at most ``longest`` bits."""
+    return max(1, min(MOST, max(8, round(math.log2(max(2, n))) - FEWER), longest))
 
 
-def blocks_of(entries: DataFrame, low: int) -> DataFrame:
-    """dim, part, high and the block's codes: an array of (low, entry, m, code), in as many rows as a large block needs."""
-    value = F.posexplode("code").alias("part", "value")
-    parts = entries.select("dim", "entry", "m", "code", value)
+def blocks_of(entries: DataFrame) -> DataFrame:
+    """dim, part, high (the segment's value) and the block's codes: an array of (entry, m, _id, words), in as many rows as a large block needs."""
+    parts = entries.select("dim", "entry", "m", "_id", "words", F.posexplode("code").alias("part", "high"))
     key = ["dim", "part", "high"]
-    parts = parts.select("dim", "part", F.shiftright("value", low).alias("high"), F.col("value").bitwiseAND(F.lit((1 << low) - 1)).alias("low"), "entry", "m", "code")
     sizes = parts.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("_rows"))
     dealt = parts.join(sizes, key).withColumn("_sub", F.pmod(F.xxhash64("entry"), F.col("_rows")))
-    return dealt.groupBy(*key, "_sub").agg(F.collect_list(F.struct("low", "entry", "m", "code")).alias("block")).drop("_sub")
+    return dealt.groupBy(*key, "_sub").agg(F.collect_list(F.struct("entry", "m", "_id", "words")).alias("block")).drop("_sub")
+
+
+def met(probes: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Each query next to the codes of the blocks that its probes name, with their distance; codes beyond ``reached`` are left out."""
+    words = sum(c.startswith("_q") for c in probes.columns)
+    codes = blocks.select("dim", "part", "high", F.explode("block").alias("x"))
+    codes = codes.select("dim", "part", "high", "x.entry", "x.m", "x._id", *(F.get("x.words", F.lit(i)).alias(f"_c{i}") for i in range(words)))
+    away = distance("_q", "_c", words)
+    pairs = probes.join(codes.hint("merge"), ["dim", "part", "high"]).filter(F.col("reached").isNull() | (away <= F.col("reached")))
+    return pairs.select("query_id", "part", "entry", "m", "_id", away.alias("distance"))
 
 
 def hits(probes: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
-    """query_id, entry, m and distance of what the probes find.
+    """query_id, entry, m, _id and distance of what the probes find within the k-th distance known.
 
-    Of a block's hits those beyond the query's k-th distance so far are left there, and so are
-    those behind the k nearest of the block and their ties: they cannot be in the result.
+    A segment's value is in one block, so of each segment only the ``k`` first codes can be in a result.
     """
-    met = probes.join(blocks.hint("merge"), ["dim", "part", "high"])
-    near = F.filter("block", lambda x: F.bit_count(x["low"].bitwiseXOR(F.col("low"))) <= F.col("most"))
-    found = F.transform(near, lambda x: F.struct(distance(x["code"], F.col("code")).alias("distance"), x["entry"].alias("entry"), x["m"].alias("m")))
-    found = F.array_sort(F.filter(found, lambda x: F.col("reached").isNull() | (x["distance"] <= F.col("reached"))))
-    rows = met.select("query_id", found.alias("found"))
-    kth = F.get(F.col("found"), F.lit(k - 1))["distance"]
-    best = F.filter("found", lambda x: kth.isNull() | (x["distance"] <= kth))
-    return rows.select("query_id", F.explode(best).alias("x")).select("query_id", "x.entry", "x.m", "x.distance")
+    first = first_k(met(probes, blocks), ["query_id", "part"], k, "distance", "_id", "entry")
+    return first.select("query_id", "entry", "m", "_id", "distance").distinct()
+
+
+def kth(rows: DataFrame, active: DataFrame, *group: str) -> DataFrame:
+    """query_id and a distance within which a query has as many rows of a group as it wants; ``rows`` has group, distance and m."""
+    upto = F.sum("m").over(Window.partitionBy(*group).orderBy("distance"))
+    counts = rows.groupBy(*group, "distance").agg(F.sum("m").alias("m")).withColumn("_upto", upto)
+    enough = counts.join(active.select("query_id", "want"), "query_id").filter(F.col("_upto") >= F.col("want"))
+    return enough.groupBy("query_id").agg(F.min("distance").alias("_now"))
+
+
+def probes_of(active: DataFrame, size: int, radius: int) -> DataFrame:
+    """A row for each value of a segment at ``radius`` from a query's own, for as many segments as the query needs."""
+    words = [c for c in active.columns if c.startswith("_q")]
+    parts = active.select("query_id", "dim", "need", "reached", *words, F.posexplode("code").alias("part", "_v")).filter("part < need")
+    ways = F.array(*(F.lit(mask).cast("long") for mask in masks(size, radius)))
+    parts = parts.select("query_id", "dim", "part", "reached", "_v", *words, F.explode(ways).alias("_way"))
+    return parts.select("query_id", "dim", "part", F.col("_v").bitwiseXOR(F.col("_way")).alias("high"), "reached", *words)
 
 
 def top_k(codes: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
@@ -106,50 +130,47 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     longest, n = codes.filter(whole).agg(F.max(F.size("bits")), F.count("*")).first()
     if not n:
         return _empty(spark, codes, queries)
-    size = max(4, min(20, round(math.log2(max(2, n))), longest))
-    low = low_bits(size)
-    high_bits = max(0, size - low)
-    cut = lambda rows, *keys: rows.filter(whole).select(*keys, F.size("bits").alias("dim"), segments(F.col("bits"), size).alias("code"))
-    rows = cut(codes, "id").withColumn("_id", F.coalesce("id", F.lit((1 << 63) - 1))).withColumn("_same", F.struct("dim", "code"))
-    few = first_k(rows, "_same", k, "_id").select("dim", "code", "id", "_id")
+    size = segment_bits(n, longest)
+    n_words = math.ceil(longest / WORD)
+    bits = F.col("bits")
+    cut = lambda rows, *keys: rows.filter(whole).select(*keys, F.size("bits").alias("dim"), cut_into(bits, pieces(bits, WORD)).alias("words"), cut_into(bits, pieces(bits, size)).alias("code"))
+    rows = cut(codes, "id").withColumn("_id", F.coalesce("id", F.lit((1 << 63) - 1))).withColumn("_same", F.struct("dim", "words"))
+    few = first_k(rows, "_same", k, "_id").select("dim", "words", "code", "id", "_id")
     few = common.staged(few, "mih-codes")
-    entries = few.groupBy("dim", "code").agg(F.count("*").alias("m"))
+    entries = few.groupBy("dim", "words", "code").agg(F.count("*").alias("m"), F.min("_id").alias("_id"))
     entries = common.staged(entries.withColumn("entry", F.monotonically_increasing_id()), "mih-entries")
-    blocks = common.staged(blocks_of(entries, low), "mih-blocks")
+    blocks = common.staged(blocks_of(entries), "mih-blocks")
     count = F.size("code")
     asked = cut(queries.filter(F.col("query_id").isNotNull()), "query_id").dropDuplicates(["query_id"])
-    active = common.staged(asked.select("*", count.alias("need"), F.lit(None).cast("int").alias("reached")), "mih-queries")
+    wants = entries.groupBy("dim").agg(F.least(F.sum("m"), F.lit(k)).alias("want"))
+    asked = asked.join(wants, "dim").select("query_id", "dim", "want", "code", *(F.get("words", F.lit(i)).alias(f"_q{i}") for i in range(n_words)))
+    known = asked.columns
+    active = common.staged(asked.select("*", F.lit(None).cast("int").alias("reached")), "mih-queries")
     found = None
     done = -1  # the radius that all segments of the queries still active are done with
     while done < size and not active.isEmpty():
-        radius = min(size, done + STEP) if done >= 0 else 0
-        step = radius - done
-        # Of the misses allowed, some are in the high bits, the others inside the block.
-        ways = [(mask, radius - j) for j in range(min(radius, high_bits) + 1) if done + 1 - j <= low for mask in masks(high_bits, j)]
-        ways = F.array(*(F.struct(F.lit(mask).alias("mask"), F.lit(most).alias("most")) for mask, most in ways))
-        parts = active.select("query_id", "dim", "code", "need", "reached", F.posexplode("code").alias("part", "_v")).filter("part < need")
-        probes = parts.select("query_id", "dim", "part", "code", "reached", "_v", F.explode(ways).alias("_way"))
-        probes = probes.select(
-            "query_id", "dim", "part", F.shiftright("_v", low).bitwiseXOR(F.col("_way.mask")).alias("high"),
-            F.col("_v").bitwiseAND(F.lit((1 << low) - 1)).alias("low"), "_way.most", "code", "reached",
-        )
-        new = hits(probes, blocks, k)
-        before, found = found, common.staged((new if found is None else found.unionByName(new)).distinct(), "mih-found")
-        # A query's distances are at most as many as the bits.
-        upto = F.sum("m").over(Window.partitionBy("query_id").orderBy("distance"))
-        kth = found.groupBy("query_id", "distance").agg(F.sum("m").alias("m")).withColumn("m", upto)
-        reached = kth.filter(F.col("m") >= k).groupBy("query_id").agg(F.min("distance").alias("_now"))
-        now = active.join(reached, "query_id", "left")
-        unproved = now.filter(F.col("_now").isNull() | (F.col("_now") > count * (done + 1) + F.col("need") * step - 1))
-        ahead = min(size, radius + STEP) - radius
-        need = F.least(count, F.coalesce(F.ceil((F.col("_now") - count * (radius + 1) + 1) / max(1, ahead)).cast("int"), count))
+        radius = done + 1
+        unknown = active.filter(F.col("reached").isNull())
+        if not unknown.isEmpty():
+            # The codes of one segment's blocks are counted, since those of two may be the same.
+            ahead = met(probes_of(unknown.withColumn("need", count), size, radius), blocks)
+            bound = kth(ahead, unknown, "query_id", "part")
+            last, active = active, common.staged(active.join(bound, "query_id", "left").select(*known, F.coalesce("reached", "_now").alias("reached")), "mih-bound")
+            common.dropped(last)
+        need = F.least(count, F.coalesce(F.col("reached") + 1 - count * radius, count))
+        asking = active.withColumn("need", need)
+        new = hits(probes_of(asking, size, radius), blocks, k)
+        both = new if found is None else found.unionByName(new).distinct()
+        before, found = found, common.staged(first_k(both, "query_id", k, "distance", "_id", "entry").drop("rank"), "mih-found")
+        now = asking.join(kth(found, asking, "query_id"), "query_id", "left").withColumn("reached", F.coalesce("_now", "reached"))
+        unproved = now.filter(F.col("reached").isNull() | (F.col("reached") > count * radius + F.col("need") - 1))
         done = radius
-        last, active = active, common.staged(unproved.select("query_id", "dim", "code", need.alias("need"), F.col("_now").alias("reached")), "mih-active")
+        last, active = active, common.staged(unproved.select(*known, "reached"), "mih-active")
         common.dropped(last, *([before] if before else []))
     common.dropped(blocks, active)
     if found is None:
         return _empty(spark, codes, queries)
-    rows = found.join(entries.select("entry", "dim", "code").hint("merge"), "entry").join(few.hint("merge"), ["dim", "code"])
+    rows = found.select("query_id", "entry", "distance").join(entries.select("entry", "dim", "words").hint("merge"), "entry").join(few.select("dim", "words", "id", "_id").hint("merge"), ["dim", "words"])
     best = first_k(rows.select("query_id", "distance", "id", "_id"), "query_id", k, "distance", "_id")
     return best.select("query_id", "rank", "id", "distance")
 

@@ -390,6 +390,48 @@ def test_hamming_queries_meet_no_more_blocks_in_more_codes(spark, monkeypatch):
     assert total[10000] < 8 * total[2000]
 
 
+def test_hamming_compares_fewer_codes_than_all_pairs(spark, monkeypatch):
+    plain, compared, plans = hamming.hits, [], []
+
+    def counted(probes, blocks, k):
+        compared.append(probes.join(blocks, ["dim", "part", "high"]).agg(F.sum(F.size("block"))).first()[0] or 0)
+        out = plain(probes, blocks, k)
+        plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+        return out
+
+    monkeypatch.setattr(hamming, "hits", counted)
+    bits = np.random.default_rng(8).integers(0, 2, (20000, 64)).tolist()
+    codes = spark.createDataFrame(list(enumerate(bits)), "id long, bits array<int>").cache()
+    queries = codes.filter("id % 1000 = 0").withColumnRenamed("id", "query_id")
+    got = {(r.query_id, r["rank"]): (r.distance, r.id) for r in hamming.top_k(codes, queries).collect()}
+    matrix = np.array(bits)
+    for q in range(0, 20000, 1000):
+        away = (matrix != matrix[q]).sum(axis=1)
+        assert [got[q, i + 1] for i in range(10)] == [(away[j], j) for j in np.lexsort((np.arange(20000), away))[:10]]
+    assert sum(compared) < 20 * 20000
+    # Codes are compared by the join, in generated code, and not by functions called for each element.
+    assert not any("lambda" in plan for plan in plans)
+
+
+def test_hamming_of_codes_longer_than_a_word(spark):
+    rng = np.random.default_rng(9)
+    one = rng.integers(0, 2, 150)
+    # Near copies of one code, codes far from all, and too few codes of another length.
+    rows = [(i, (one ^ (rng.random(150) < 0.03)).tolist() if i % 2 else rng.integers(0, 2, 150).tolist()) for i in range(500)]
+    rows += [(1000 + i, rng.integers(0, 2, 65).tolist()) for i in range(4)]
+    codes = spark.createDataFrame(rows, "id long, bits array<int>")
+    queries = codes.filter("id in (1, 2, 3, 77, 1000)").withColumnRenamed("id", "query_id")
+    longer = spark.createDataFrame([(5, [1] * 200)], "query_id long, bits array<int>")
+    got = {}
+    for r in hamming.top_k(codes, queries.unionByName(longer), 6).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.distance, r.id))
+    for q in (1, 2, 3, 77, 1000):
+        bits = dict(rows)[q]
+        near = sorted((sum(x != y for x, y in zip(bits, b)), i) for i, b in rows if len(b) == len(bits))[:6]
+        assert sorted(got.pop(q)) == [(i + 1, *x) for i, x in enumerate(near)]
+    assert not got
+
+
 def test_mixing_meets_targets(spark, odd):
     rows = [(i, "w " * (i * 37 % 200 + 1), "abcd"[i % 4] if i % 9 else None) for i in range(2000)] + [(5000, "w " * 3, "z")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
