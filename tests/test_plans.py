@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from pagefacts.functions import nodes as N
+from pagefacts.functions import urls
 from pagefacts.operators import gate, jobs, links
 from pagefacts.plans import flows, skew
 from pagefacts.session import shared_folder
@@ -173,3 +174,21 @@ def test_pages_are_judged_after_their_route(spark, pages):
     plan = flows._cards(gated)._jdf.queryExecution().optimizedPlan().toString()
     condition = plan[plan.rindex("Filter ") :]
     assert 0 < condition.index("LISTING") < condition.index("maintenance")
+
+
+def test_staged_crawl_reads_a_listing_page_once(spark, monkeypatch, tmp_path):
+    page = "<ul class=list><li class=list__item><div class=list__item__text__title><a href=/careers/JobDetail/x/7>X</a></div></ul>"
+    page += "<a href=?jobOffset=20>Next</a><noscript><p>No <a href='?pageNumber=3'>3<a>open</noscript><a href='?jobOffset=9'>Go<noscript> back</noscript></a>"
+    rows = [(i, f"https://b.example.net/careers/SearchJobs/?jobOffset={i}", 200, page + f"<a href='?jobOffset=1{i}'>&amp;</a>") for i in range(3)]
+    rows.append((7, "https://b.example.net/careers/JobDetail/x/7", 200, "<h1>X</h1>"))
+    given = spark.createDataFrame(rows, "page_id long, url string, status_code int, html string")
+    plain, good = flows._good, []
+    monkeypatch.setattr(flows, "_good", lambda gated, route: good.append(route) or plain(gated, route))
+    out = flows.crawl_to(given, str(tmp_path))
+    assert good.count(urls.LISTING) == 1
+    listings = spark.read.parquet(f"{tmp_path}/listings").drop("url").join(given, "page_id")
+    assert listings.filter(F.col("anchors") == N.page_anchors(F.col("html"))).count() == 3
+    whole = flows.crawl(given)
+    for a, b in ((out.links, whole.links), (out.jobs.drop("site"), whole.jobs)):
+        assert sorted(map(str, a.select(b.columns).collect())) == sorted(map(str, b.collect()))
+    assert [r.href for r in listings.filter("page_id = 0").selectExpr("inline(anchors)").collect()][1:5] == ["?jobOffset=20", "?pageNumber=3", None, "?jobOffset=9"]
