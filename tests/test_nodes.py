@@ -124,3 +124,12 @@ def test_deep_and_long_pages_stay_linear():
     read("<!--" * 20000 + ">")
     read("<p a=\"" * 20000 + ">")
     assert len(rows) == 40000 and time.time() - start < 20
+
+
+def test_new_addresses_are_not_tried_against_the_selectors(monkeypatch):
+    plain, tried = N._fitting, []
+    monkeypatch.setattr(N, "_fitting", lambda *args: tried.append(args) or plain(*args))
+    _, rows = read("".join(f"<a class=title href='/p/{i}?a&amp;b'>{i}</a>" for i in range(300)))
+    assert [r["href"] for r in rows] == [f"/p/{i}?a&b" for i in range(300)]
+    assert len({r["own"] for r in rows}) == 1 and rows[0]["own"] != 0
+    assert len(tried) == 2  # marks and places, once for all
